@@ -62,6 +62,14 @@ def kafka_batch(src: DriverTables) -> DataFrame:
     return D.kafka_records(src.table("events"), src.table("nation"))
 
 
+def bronze_batch(run: Run, src: DriverTables) -> DataFrame:
+    """Bronze transactions as a written table of the run (as in the graph:
+    bronze is a table, silver reads it)."""
+    path = run.path("bronze_transactions")
+    bronze_transactions(kafka_batch(src)).write.parquet(path)
+    return run.spark.read.parquet(path)
+
+
 def kafka_stream(src: DriverTables) -> DataFrame:
     return D.kafka_records(src.stream("events"), src.table("nation"))
 
@@ -183,19 +191,18 @@ def q_silver_transactions(spark, sf_dir):
 
 
 def q_dq_drop(spark, sf_dir):
-    Run(spark, "dq_drop")
-    silver = silver_transactions(bronze_transactions(kafka_batch(DriverTables(spark, sf_dir))),
-                                 observation=None)
+    run = Run(spark, "dq_drop")
+    silver = silver_transactions(bronze_batch(run, DriverTables(spark, sf_dir)), observation=None)
     return silver.select("kafka_offset", "transaction_id", "customer_id", "card_number", "amount")
 
 
-def _parsed_batch(src: DriverTables) -> DataFrame:
-    return silver_transactions(bronze_transactions(kafka_batch(src)), expectations=[], observation=None)
+def _parsed_batch(run: Run, src: DriverTables) -> DataFrame:
+    return silver_transactions(bronze_batch(run, src), expectations=[], observation=None)
 
 
 def q_dq_warn_counts(spark, sf_dir):
-    Run(spark, "dq_warn_counts")
-    return expectation_report(_parsed_batch(DriverTables(spark, sf_dir)), TRANSACTION_EXPECTATIONS)
+    run = Run(spark, "dq_warn_counts")
+    return expectation_report(_parsed_batch(run, DriverTables(spark, sf_dir)), TRANSACTION_EXPECTATIONS)
 
 
 def q_dq_report(spark, sf_dir):
@@ -298,13 +305,13 @@ def q_late_rows_dropped(spark, sf_dir):
 
 # --- notifications ----------------------------------------------------------
 
-def _batch_high_value(src: DriverTables) -> DataFrame:
-    silver = silver_transactions(bronze_transactions(kafka_batch(src)), observation=None)
+def _batch_high_value(run: Run, src: DriverTables) -> DataFrame:
+    silver = silver_transactions(bronze_batch(run, src), observation=None)
     return high_value_alerts(silver, customers_dim(src), F.expr(FIXED_NOW))
 
 
 def _batch_fraud(run: Run, src: DriverTables) -> DataFrame:
-    silver = silver_transactions(bronze_transactions(kafka_batch(src)), observation=None)
+    silver = silver_transactions(bronze_batch(run, src), observation=None)
     wl = silver_watchlist(read_json_records(run.spark, watchlist_feed(run, src), WATCHLIST_RECORD),
                           observation=None)
     return fraud_card_alerts(silver, wl, customers_dim(src), F.expr(FIXED_NOW), watermark=None)
@@ -314,8 +321,8 @@ RENDER_COLUMNS = ["alert_id", "alert_type", "recipient", "subject", "body_html"]
 
 
 def q_render_high_value_notification(spark, sf_dir):
-    Run(spark, "render_high_value")
-    return render_high_value(_batch_high_value(DriverTables(spark, sf_dir))).select(*RENDER_COLUMNS)
+    run = Run(spark, "render_high_value")
+    return render_high_value(_batch_high_value(run, DriverTables(spark, sf_dir))).select(*RENDER_COLUMNS)
 
 
 def q_render_fraud_notification(spark, sf_dir):

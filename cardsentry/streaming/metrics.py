@@ -46,6 +46,8 @@ def observed(query: StreamingQuery, name: str) -> dict:
         metrics = (p.get("observedMetrics") or {}).get(name)
         if not metrics:
             continue
+        if hasattr(metrics, "asDict"):
+            metrics = metrics.asDict()
         for k, v in metrics.items():
             total[k] = total.get(k, 0) + int(v or 0)
     return total
