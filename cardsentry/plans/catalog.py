@@ -36,7 +36,7 @@ from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_p
 FIXED_NOW = "timestamp'2024-02-01 00:00:00'"      # alert time in rendered messages
 BOUNDED_LAG = "7 days"                             # watchlist_match_bounded
 SALT_BUCKETS = 8                                   # watchlist_match_salted
-PUBLISHED_BEFORE = "2024-01-15"                    # high_water_mark_slice: days already delivered
+PUBLISHED_BEFORE = "2024-02"                       # high_water_mark_slice: months already delivered
 LATE_SPLIT = "2024-01-15 00:00:00"                 # late_rows_dropped: second drop holds the older rows
 CLOCK_COLUMNS = {"ingesttime", "bronze_ingestion_ts", "silver_ingestion_ts", "ingestion_timestamp",
                  "bronze_ingestion_timestamp", "silver_ingestion_timestamp", "alert_ts",
@@ -148,8 +148,8 @@ def q_file_lineage(spark, sf_dir):
     run = Run(spark, "file_lineage")
     src = DriverTables(spark, sf_dir)
     bronze = run.materialize(stream_json_records(spark, watchlist_feed(run, src), WATCHLIST_RECORD))
-    day = F.regexp_extract("source_file", f"{D.WATCHLIST_DROP}=([^/]+)/", 1)
-    return bronze.groupBy(day.alias(D.WATCHLIST_DROP)).agg(F.count(F.lit(1)).alias("records"))
+    drop = F.regexp_extract("source_file", f"{D.WATCHLIST_DROP}=([^/]+)/", 1)
+    return bronze.groupBy(drop.alias(D.WATCHLIST_DROP)).agg(F.count(F.lit(1)).alias("records"))
 
 
 def q_high_water_mark_slice(spark, sf_dir):
@@ -157,9 +157,8 @@ def q_high_water_mark_slice(spark, sf_dir):
     src = DriverTables(spark, sf_dir)
     lines = D.watchlist_lines(src.table("customer"), src.table("nation"))
     published_dir, source_dir, slice_dir = (run.path("published"), run.path("source"), run.path("slice"))
-    lines.where(F.col(D.WATCHLIST_DROP) < F.lit(PUBLISHED_BEFORE).cast("date")) \
-        .write.partitionBy(D.WATCHLIST_DROP).text(published_dir)
-    lines.write.partitionBy(D.WATCHLIST_DROP).text(source_dir)
+    D.write_feed(lines.where(F.col(D.WATCHLIST_DROP) < F.lit(PUBLISHED_BEFORE)), published_dir)
+    D.write_feed(lines, source_dir)
     published = read_json_records(spark, published_dir, WATCHLIST_RECORD)
     source = read_json_records(spark, source_dir, WATCHLIST_RECORD)
     todo = unpublished(source, published).select(*WATCHLIST_RECORD.fieldNames())

@@ -47,14 +47,14 @@ def wl_cte() -> str:
     {_cols(D.WATCHLIST_COLUMNS)},
     {extra_when} AS has_extra,
     {D.WATCHLIST_TRUNCATED} AS cut,
-    CAST({D.render('{EFF}', 'duckdb')} AS DATE) AS effective_day
+    {D.WATCHLIST_DROP_TEXT['duckdb'].format(t=D.render('{EFF}', 'duckdb'))} AS effective_month
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
   WHERE {D.WATCHLIST_MEMBER}),
 bwl AS (
   SELECT {fields},
     CASE WHEN cut THEN substring('{{"watchlist_id":"' || watchlist_id, 1, {D.WATCHLIST_TRUNCATED_LENGTH})
          WHEN has_extra THEN '{{"{extra_name}":"' || {extra_value} || '"}}' END AS _rescued_data,
-    effective_day, c_custkey, cut
+    effective_month, c_custkey, cut
   FROM wl_src),
 swl AS (
   SELECT upper(watchlist_id) AS watchlist_id, watch_type, upper(entity_id) AS entity_id,
@@ -277,12 +277,12 @@ SELECT count(*) AS windows_emitted, CAST(sum(n) AS BIGINT) AS transactions_count
 FROM w WHERE ws + INTERVAL 1 MINUTE <= (SELECT max(transaction_timestamp) - INTERVAL 10 MINUTE FROM d1)"""
 
 
-def _hwm(before: str = "2024-01-15") -> str:
+def _hwm(before: str = "2024-02") -> str:
     return ALL() + f""", num AS (
   SELECT *, CASE WHEN watchlist_id LIKE 'WL%' THEN try_cast(substring(watchlist_id, 3) AS BIGINT) END AS n
   FROM bwl)
 SELECT {WL13} FROM num
-WHERE n > (SELECT coalesce(max(n), 0) FROM num WHERE effective_day < DATE '{before}')"""
+WHERE n > (SELECT coalesce(max(n), 0) FROM num WHERE effective_month < '{before}')"""
 
 
 def _status() -> str:
@@ -305,7 +305,7 @@ def oracles() -> dict[str, str]:
         "table_scan": with_ctes(cu_cte()) + "SELECT * FROM cu",
         "bronze_watchlist": ALL() + f"SELECT {WL13}, _rescued_data FROM bwl",
         "rescued_data": ALL() + "SELECT watchlist_id, _rescued_data FROM bwl WHERE _rescued_data IS NOT NULL",
-        "file_lineage": ALL() + "SELECT CAST(effective_day AS VARCHAR) AS effective_day, count(*) AS records "
+        "file_lineage": ALL() + "SELECT effective_month, count(*) AS records "
                                 "FROM bwl GROUP BY 1",
         "high_water_mark_slice": _hwm(),
         "stream_table_roundtrip": _roundtrip(),

@@ -104,7 +104,11 @@ WATCHLIST_COLUMNS = [
 WATCHLIST_EXTRA_FIELD = ("note", "'manual'", "c.c_custkey % 11 = 0")
 WATCHLIST_TRUNCATED = "c.c_custkey % 13 = 0"
 WATCHLIST_TRUNCATED_LENGTH = 24
-WATCHLIST_DROP = "effective_day"     # one folder per day of effective_from
+WATCHLIST_DROP = "effective_month"   # one folder per month of effective_from
+WATCHLIST_DROP_TEXT = {
+    "spark": "date_format({t}, 'yyyy-MM')",
+    "duckdb": "strftime({t}, '%Y-%m')",
+}
 
 
 def render(expr: str, dialect: str) -> str:
@@ -160,13 +164,13 @@ def customer_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 def watchlist_lines(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Watchlist feed lines (``value``: one JSON object) with the drop folder
-    they are delivered in (``effective_day``)."""
+    they are delivered in (``effective_month``)."""
     joined = _with_nation(customer, "c", nation, "c.c_nationkey").where(F.expr(WATCHLIST_MEMBER))
     extra_name, extra_value, extra_when = WATCHLIST_EXTRA_FIELD
     fields = _exprs(WATCHLIST_COLUMNS) + [
         f"CASE WHEN {extra_when} THEN {extra_value} END AS {extra_name}",
         f"{WATCHLIST_TRUNCATED} AS cut",
-        f"cast({render('{EFF}', 'spark')} AS DATE) AS {WATCHLIST_DROP}",
+        f"{WATCHLIST_DROP_TEXT['spark'].format(t=render('{EFF}', 'spark'))} AS {WATCHLIST_DROP}",
     ]
     rows = joined.selectExpr(*fields)
     text = F.to_json(F.struct(*[F.col(c) for c in WATCHLIST_FIELDS + [extra_name]]))
@@ -174,6 +178,14 @@ def watchlist_lines(customer: DataFrame, nation: DataFrame) -> DataFrame:
     return rows.select(text.alias("value"), F.col(WATCHLIST_DROP))
 
 
+def write_feed(lines: DataFrame, path: str) -> None:
+    """Write feed lines as text files, one folder per drop and one file per
+    folder (rows of a drop are brought together first; without that every
+    task would write a small file into every folder)."""
+    (lines.repartition(WATCHLIST_DROP).write.mode("append")
+     .partitionBy(WATCHLIST_DROP).text(path))
+
+
 def write_watchlist_feed(customer: DataFrame, nation: DataFrame, path: str) -> None:
-    """Deliver the watchlist feed as JSON-lines files, one folder per day."""
-    watchlist_lines(customer, nation).write.mode("append").partitionBy(WATCHLIST_DROP).text(path)
+    """Deliver the watchlist feed as JSON-lines files, one folder per month."""
+    write_feed(watchlist_lines(customer, nation), path)
