@@ -29,16 +29,18 @@ def _now(now: Column | None) -> Column:
 
 
 def high_value_alerts(txns: DataFrame, customers: DataFrame, now: Column | None = None,
-                      broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES) -> DataFrame:
+                      broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
+                      hot_customers: DataFrame | None = None) -> DataFrame:
     """Transactions whose amount exceeds the customer's ``transaction_limit``.
 
     Written as a left join followed by the limit test, as specified; a
     customer without a row (or without a limit) cannot pass the test, so the
     optimizer turns it into an inner join and pushes ``transaction_limit IS
-    NOT NULL`` into the dimension scan.
+    NOT NULL`` into the dimension scan.  ``hot_customers``: see
+    ``joins.dimension_join``.
     """
     cust = customers.select("customer_id", "transaction_limit", "email", "first_name", "last_name")
-    joined = (dimension_join(txns, cust, "customer_id", "left", broadcast_limit_bytes)
+    joined = (dimension_join(txns, cust, "customer_id", "left", broadcast_limit_bytes, hot_customers)
               .where(F.col("amount") > F.col("transaction_limit")))
     return joined.select(
         alert_id("ALERT", "transaction_id").alias("alert_id"),
@@ -110,11 +112,12 @@ def watchlist_matches(txns: DataFrame, watchlist: DataFrame, max_lag: str | None
 def fraud_card_alerts(txns: DataFrame, watchlist: DataFrame, customers: DataFrame,
                       now: Column | None = None,
                       broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
+                      hot_customers: DataFrame | None = None,
                       **match_options) -> DataFrame:
     """Watchlist matches with the customer's contact data (left join)."""
     matches = watchlist_matches(txns, watchlist, **match_options)
     cust = customers.select("customer_id", "email", "first_name", "last_name")
-    joined = dimension_join(matches, cust, "customer_id", "left", broadcast_limit_bytes)
+    joined = dimension_join(matches, cust, "customer_id", "left", broadcast_limit_bytes, hot_customers)
     return joined.select(
         alert_id("FRAUD", "transaction_id", "watchlist_id").alias("alert_id"),
         F.lit(WATCHLIST_MATCH_TYPE).alias("alert_type"),

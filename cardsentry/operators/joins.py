@@ -4,6 +4,11 @@
   dimension is broadcast only when its estimated size is known and below a
   limit; beyond it the join is left to a shuffle (sort-merge) join, which
   handles any size.
+* ``heavy_hitters`` / ``hot_keys=`` of ``dimension_join``: keys that carry
+  at least a given share of the fact rows (so there are at most 1/share of
+  them) are joined through a broadcast of just their dimension rows; all other
+  keys take the shuffle (or bucketed) path.  A key holding a third of the rows
+  then no longer lands in a single task.
 * ``salted_stream_join``: stream-stream equi-join whose key can be very hot
   (one card carrying a third of all transactions).  The large side is spread
   over ``buckets`` sub-keys by a hash of its own row id and the small side is
@@ -39,10 +44,36 @@ def maybe_broadcast(dim: DataFrame, limit_bytes: int | None = BROADCAST_LIMIT_BY
     return dim
 
 
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Join a fact (batch or stream) with a static dimension."""
-    return fact.join(maybe_broadcast(dim, broadcast_limit_bytes), on, how)
+def heavy_hitters(df: DataFrame, key: str, min_share: float = 0.001) -> DataFrame:
+    """Keys holding at least ``min_share`` of the rows of ``df`` (batch).
+
+    At most ``1 / min_share`` keys qualify, which bounds what a broadcast of
+    the result costs.  Counted with a map-side combined aggregation.  Write
+    the result to a table before a stream uses it, so that micro-batches do
+    not recount the history.
+    """
+    total = df.select(F.count(F.lit(1))).scalar()
+    return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+            .where(F.col("rows") >= F.lit(min_share) * total).select(key))
+
+
+def dimension_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "left",
+                   broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
+                   hot_keys: DataFrame | None = None) -> DataFrame:
+    """Join a fact (batch or stream) with a static dimension on key ``on``.
+
+    ``hot_keys`` (one column ``on``, bounded, e.g. from ``heavy_hitters`` over
+    recent history) splits the fact: rows of hot keys are joined with a
+    broadcast of the hot keys' dimension rows, the others with the whole
+    dimension (broadcast when small enough, else shuffled/bucketed).
+    """
+    if hot_keys is None:
+        return fact.join(maybe_broadcast(dim, broadcast_limit_bytes), on, how)
+    hot = F.broadcast(hot_keys.select(on).distinct())
+    hot_dim = F.broadcast(dim.join(hot, on, "left_semi"))
+    hot_part = fact.join(hot, on, "left_semi").join(hot_dim, on, how)
+    cold_part = fact.join(hot, on, "left_anti").join(maybe_broadcast(dim, broadcast_limit_bytes), on, how)
+    return hot_part.unionByName(cold_part)
 
 
 def salted_stream_join(big: DataFrame, small: DataFrame, condition: Column,

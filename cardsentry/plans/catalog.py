@@ -10,11 +10,14 @@ timestamps are returned without time zone, as DuckDB's are.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cardsentry.operators.alerts import fraud_card_alerts, high_value_alerts, watchlist_matches
+from cardsentry.operators.joins import heavy_hitters
 from cardsentry.operators.layers import (CUSTOMER_OBSERVATION, TRANSACTION_EXPECTATIONS,
-                                         TRANSACTION_OBSERVATION, bronze_transactions,
+                                         TRANSACTION_OBSERVATION, bronze_transactions, latest_customers,
                                          silver_customers, silver_transactions, silver_watchlist)
 from cardsentry.operators.notify import (batch_summary, render_fraud, render_high_value,
                                          undeliverable, with_delivery_status)
@@ -27,7 +30,7 @@ from cardsentry.plans.runs import DriverTables, Run
 from cardsentry.schemas import WATCHLIST_RECORD
 from cardsentry.sources import driver_tables as D
 from cardsentry.sources.files import read_json_records, stream_json_records
-from cardsentry.sources.tables import overwrite_table, scan
+from cardsentry.sources.tables import overwrite_table, scan, write_bucketed
 from cardsentry.streaming.metrics import observed, progress_rows
 from cardsentry.streaming.outbox import OutboxWriter
 from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_path
@@ -36,6 +39,8 @@ from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_p
 FIXED_NOW = "timestamp'2024-02-01 00:00:00'"      # alert time in rendered messages
 BOUNDED_LAG = "7 days"                             # watchlist_match_bounded
 SALT_BUCKETS = 8                                   # watchlist_match_salted
+HOT_SHARE = 0.0075                                 # high_value_alert_skew_split: share that makes a key hot
+DIMENSION_BUCKETS = 8                              # high_value_alert_skew_split: buckets of the customer table
 PUBLISHED_BEFORE = "2024-02"                       # high_water_mark_slice: months already delivered
 LATE_SPLIT = "2024-01-15 00:00:00"                 # late_rows_dropped: second drop holds the older rows
 CLOCK_COLUMNS = {"ingesttime", "bronze_ingestion_ts", "silver_ingestion_ts", "ingestion_timestamp",
@@ -56,6 +61,22 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict):
+    """Runtime SQL settings for the duration of a block."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 # --- shared inputs --------------------------------------------------------
 
 def kafka_batch(src: DriverTables) -> DataFrame:
@@ -238,6 +259,28 @@ def q_high_value_alert(spark, sf_dir):
     return comparable(run.materialize(high_value_alerts(silver_tx_stream(src), customers_dim(run, src))))
 
 
+def q_high_value_alert_skew_split(spark, sf_dir):
+    """High-value alerts with the customer dimension too large to broadcast:
+    published as a table bucketed by customer_id (latest row per customer),
+    joined without shuffling it; customers holding at least HOT_SHARE of the
+    landed transactions are split off to a broadcast of their rows only."""
+    run = Run(spark, "high_value_alert_skew_split")
+    src = DriverTables(spark, sf_dir)
+    table = f"fraud_customer_dim_{run.root.rsplit('-', 1)[-1]}"
+    write_bucketed(latest_customers(customers_dim(run, src)), table, "customer_id", DIMENSION_BUCKETS,
+                   path=run.path(table))
+    history = silver_transactions(bronze_batch(run, src), observation=None)
+    # Written once: otherwise every micro-batch would re-aggregate the history.
+    heavy_hitters(history, "customer_id", HOT_SHARE).write.parquet(run.path("hot_customers"))
+    hot = spark.read.parquet(run.path("hot_customers"))
+    alerts = high_value_alerts(silver_tx_stream(src), spark.table(table), broadcast_limit_bytes=0,
+                               hot_customers=hot)
+    # The test dimension is small; keep the planner from broadcasting it so
+    # that the run takes the path a large dimension takes.
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        return comparable(run.materialize(alerts))
+
+
 MATCH_COLUMNS = ["transaction_id", "watchlist_id", "card_number", "amount", "transaction_timestamp",
                  "effective_from", "risk_level"]
 
@@ -376,6 +419,7 @@ QUERIES = {
     "silver_customers": q_silver_customers,
     "silver_watchlist": q_silver_watchlist,
     "high_value_alert": q_high_value_alert,
+    "high_value_alert_skew_split": q_high_value_alert_skew_split,
     "watchlist_match": q_watchlist_match,
     "watchlist_match_bounded": q_watchlist_match_bounded,
     "watchlist_match_salted": q_watchlist_match_salted,

@@ -317,6 +317,8 @@ def oracles() -> dict[str, str]:
         "silver_customers": with_ctes(cu_cte()) + "SELECT * FROM cu",
         "silver_watchlist": ALL() + "SELECT * FROM swl",
         "high_value_alert": with_ctes(tx_cte(), cu_cte(), hv_cte()) + "SELECT * EXCLUDE (alert_ts) FROM hv",
+        "high_value_alert_skew_split": with_ctes(tx_cte(), cu_cte(), hv_cte())
+            + "SELECT * EXCLUDE (alert_ts) FROM hv",
         "watchlist_match": _matches(),
         "watchlist_match_bounded": _matches("7 DAY"),
         "watchlist_match_salted": _matches(),

@@ -31,10 +31,13 @@ class DriverTables:
 class Run:
     """Folder, checkpoints and sinks of one run."""
 
+    recent: list = []          # the latest runs, for plan inspection
+
     def __init__(self, spark: SparkSession, label: str):
         self.spark = prepare(spark)
         self.root = run_folder(spark, label)
         self.queries = []
+        Run.recent = (Run.recent + [self])[-4:]
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

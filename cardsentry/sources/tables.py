@@ -46,3 +46,19 @@ def overwrite_table(df: DataFrame, table: str, path: str | None = None,
 def comment_on(spark: SparkSession, table: str, comment: str) -> None:
     escaped = comment.replace("'", "\\'")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('comment' = '{escaped}')")
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None,
+                   fmt: str = "parquet") -> None:
+    """Replace a named table with ``df`` hash-bucketed and sorted by ``key``.
+
+    A later join on ``key`` reads each bucket as one partition and shuffles
+    only the other side (no exchange of this table), which is what a
+    dimension joined by every micro-batch needs.  Rows are brought to their
+    bucket first so that each bucket is one file per table, not one per task.
+    """
+    writer = (df.repartition(buckets, key).write.mode("overwrite").format(fmt)
+              .bucketBy(buckets, key).sortBy(key))
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
