@@ -5,11 +5,15 @@ removes them.  A predicate that evaluates to NULL counts as failed.  All
 expectations are evaluated on the same input rows; the drops are applied after
 every rule has been counted.  Counting uses ``DataFrame.observe``: the counts
 are gathered while the rows flow (no second pass, works on streams, where they
-appear in ``StreamingQueryProgress.observedMetrics``).
+appear in ``StreamingQueryProgress.observedMetrics``).  The observation also
+keeps the optimizer from copying the expressions the predicates read (the
+JSON parse of silver) into a pushed-down filter, which would evaluate them
+twice per row.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -43,10 +47,14 @@ def failure_counts(expectations: list[Expectation]) -> list[Column]:
 
 def apply_expectations(df: DataFrame, expectations: list[Expectation],
                        observation: str | Observation | None = None) -> DataFrame:
-    """Count failures per expectation (when ``observation`` is given) and drop
-    the rows that fail a ``drop`` expectation."""
-    if observation is not None and expectations:
-        df = df.observe(observation, *failure_counts(expectations))
+    """Count failures per expectation and drop the rows that fail a ``drop``
+    expectation.  ``observation``: name (or ``Observation``) under which the
+    counts are reported; a private name when not given."""
+    if not expectations:
+        return df
+    if observation is None:
+        observation = f"expectations_{uuid.uuid4().hex[:12]}"
+    df = df.observe(observation, *failure_counts(expectations))
     drops = [e.passed() for e in expectations if e.action == "drop"]
     if not drops:
         return df

@@ -388,7 +388,8 @@ def _outbox(spark, sf_dir, label):
     src = DriverTables(spark, sf_dir)
     alerts = _fraud_alert_stream(run, src, F.expr(FIXED_NOW))
     path = run.path("outbox")
-    finish(stream_foreach_batch(alerts, OutboxWriter(path, render_fraud), run.checkpoint("outbox")))
+    run.queries.append(finish(stream_foreach_batch(alerts, OutboxWriter(path, render_fraud),
+                                                   run.checkpoint("outbox"))))
     return spark.read.parquet(path)
 
 

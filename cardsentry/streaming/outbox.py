@@ -30,13 +30,15 @@ class OutboxWriter:
                 .select("alert_date", "alert_id"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
+        # Several actions follow; the micro-batch (joins and all) is computed
+        # once and its rendered rows kept for them.
         rows = outbox_rows(self.render(batch), batch_id).persist()
         try:
             # The days of one micro-batch: a handful of values.
             days = [r[0] for r in rows.select("alert_date").distinct().collect()]
+            if not days:
+                return
             existing = self._existing(spark, batch_id, days)
             fresh = rows if existing is None else rows.join(existing, ["alert_date", "alert_id"], "left_anti")
             (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
