@@ -19,12 +19,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from cardsentry.operators.alerts import fraud_card_alerts, high_value_alerts
-from cardsentry.operators.layers import (bronze_transactions, silver_customers, silver_transactions,
-                                         silver_watchlist)
+from cardsentry.operators.layers import (bronze_transactions, latest_customers, silver_customers,
+                                         silver_transactions, silver_watchlist)
 from cardsentry.operators.notify import render_fraud, render_high_value
 from cardsentry.operators.windows import sliding_counts, tumbling_counts
 from cardsentry.schemas import WATCHLIST_RECORD
 from cardsentry.sources.files import stream_json_records
+from cardsentry.sources.tables import comment_on, write_bucketed
 from cardsentry.streaming.outbox import OutboxWriter
 from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_table
 
@@ -38,6 +39,7 @@ TABLE_COMMENTS = {
     "fraud_card_alert": "Transactions on cards of the fraud watchlist",
     "transactions_count_by_min": "Transactions per minute (tumbling window)",
     "transactions_count_by_min_sliding_window": "Transactions per 5 minutes, every minute",
+    "customer_dimension": "Latest row per customer, bucketed by customer_id",
 }
 
 
@@ -58,12 +60,29 @@ class Layout:
         return f"{self.root}/checkpoints/{name}"
 
 
+def publish_customer_dimension(spark: SparkSession, layout: Layout, buckets: int) -> DataFrame:
+    """Batch step: latest row per customer from ``silver_customers``, written
+    as a table bucketed by ``customer_id`` (joined by every micro-batch
+    without being shuffled).  Re-run it to refresh the dimension."""
+    name = layout.table("customer_dimension")
+    write_bucketed(latest_customers(spark.read.table(layout.table("silver_customers"))), name,
+                   "customer_id", buckets, path=layout.path("customer_dimension"), fmt=layout.fmt)
+    comment_on(spark, name, layout.comments["customer_dimension"])
+    return spark.read.table(name)
+
+
 def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers: DataFrame,
               watchlist_dir: str, available_now: bool = True, now: Column | None = None,
               processing_time: str | None = None, fraud_options: dict | None = None,
-              notifications: bool = True) -> dict:
+              notifications: bool = True, dimension_buckets: int | None = None,
+              hot_customers: DataFrame | None = None) -> dict:
     """Start (or run to completion) every flow of the graph; returns the
-    streaming queries by table name."""
+    streaming queries by table name.
+
+    ``dimension_buckets``: publish the customer dimension as a bucketed table
+    (for dimensions too large to broadcast); ``hot_customers``: a bounded set
+    of customer ids split off to a broadcast path (see ``heavy_hitters``).
+    """
     queries = {}
 
     def flow(name: str, df: DataFrame) -> None:
@@ -71,6 +90,8 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
                             path=layout.path(name), available_now=available_now,
                             processing_time=processing_time, query_name=layout.table(name))
         queries[name] = finish(q) if available_now else q
+        if available_now and name in layout.comments:
+            comment_on(spark, layout.table(name), layout.comments[name])
 
     def read(name: str) -> DataFrame:
         return spark.readStream.table(layout.table(name))
@@ -80,10 +101,15 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     flow("silver_customers", silver_customers(customers, now))
     flow("bronze_watchlist", stream_json_records(spark, watchlist_dir, WATCHLIST_RECORD, now))
     flow("silver_watchlist", silver_watchlist(read("bronze_watchlist"), now))
-    dim = spark.read.table(layout.table("silver_customers"))
-    flow("high_value_transaction_alert", high_value_alerts(read("silver_transactions"), dim, now))
+    if dimension_buckets:
+        dim = publish_customer_dimension(spark, layout, dimension_buckets)
+    else:
+        dim = spark.read.table(layout.table("silver_customers"))
+    flow("high_value_transaction_alert", high_value_alerts(read("silver_transactions"), dim, now,
+                                                           hot_customers=hot_customers))
     flow("fraud_card_alert", fraud_card_alerts(read("silver_transactions"), read("silver_watchlist"),
-                                               dim, now, **(fraud_options or {})))
+                                               dim, now, hot_customers=hot_customers,
+                                               **(fraud_options or {})))
     flow("transactions_count_by_min", tumbling_counts(read("silver_transactions")))
     flow("transactions_count_by_min_sliding_window", sliding_counts(read("silver_transactions")))
     if notifications:

@@ -37,10 +37,15 @@ def kafka_options(bootstrap_servers: str, topic: str, api_key: str | None = None
     return opts
 
 
-def _missing(err: Exception) -> RuntimeError:
+def _missing() -> RuntimeError:
     return RuntimeError(
         "the Kafka source is not on the classpath; start Spark with "
-        "--packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>") from err
+        "--packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>")
+
+
+def _connector_missing(err: Exception) -> bool:
+    text = str(err).lower()
+    return "kafka" in text and ("not_found" in text or "failed to find" in text)
 
 
 def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
@@ -50,8 +55,8 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     try:
         return spark.read.format("kafka").options(**opts).load()
     except Exception as err:  # noqa: BLE001 - surfaced with a hint
-        if "kafka" in str(err).lower() and "not" in str(err).lower():
-            raise _missing(err)
+        if _connector_missing(err):
+            raise _missing() from err
         raise
 
 
@@ -65,6 +70,6 @@ def read_kafka_stream(spark: SparkSession, options: dict[str, str],
     try:
         return spark.readStream.format("kafka").options(**opts).load()
     except Exception as err:  # noqa: BLE001
-        if "kafka" in str(err).lower() and "not" in str(err).lower():
-            raise _missing(err)
+        if _connector_missing(err):
+            raise _missing() from err
         raise
