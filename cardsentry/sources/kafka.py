@@ -61,12 +61,22 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def read_kafka_stream(spark: SparkSession, options: dict[str, str],
-                      max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """The topic as an unbounded stream; one Spark task per topic partition
-    (raise ``minPartitions`` to split large partitions further)."""
+                      max_offsets_per_trigger: int | None = None,
+                      min_partitions: int | None = None) -> DataFrame:
+    """The topic as an unbounded stream.
+
+    By default one Spark task reads one topic partition, so a partition that
+    carries a third of the traffic would be read by a single task;
+    ``min_partitions`` (e.g. a few times the executor cores) makes Spark split
+    the offset ranges of large partitions over several tasks.
+    ``max_offsets_per_trigger`` bounds the size of a micro-batch (and so the
+    memory a stateful micro-batch needs after a backlog).
+    """
     opts = dict(options)
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     try:
         return spark.readStream.format("kafka").options(**opts).load()
     except Exception as err:  # noqa: BLE001
