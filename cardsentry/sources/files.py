@@ -37,10 +37,17 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType,
     return _project(reader.load(path), schema, now)
 
 
-def stream_json_records(spark: SparkSession, path: str, schema: T.StructType,
+def stream_json_records(spark: SparkSession, path: str, schema: T.StructType | None = None,
                         now=None, path_glob: str | None = None,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Only files not seen before, each once; sub-folders are included."""
+                        max_files_per_trigger: int | None = None,
+                        schema_location: str | None = None) -> DataFrame:
+    """Only files not seen before, each once; ``key=value`` sub-folders are
+    included.  Without ``schema``, the schema inferred from the files present
+    at the first run and kept at ``schema_location`` is used."""
+    if schema is None:
+        if schema_location is None:
+            raise ValueError("give a schema or a schema_location")
+        schema = stored_schema(spark, path, schema_location)
     reader = spark.readStream.format("text")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)

@@ -57,3 +57,16 @@ def test_latest_customer_and_broadcast_check(spark):
     assert "BroadcastHashJoin" in plan
     refused = maybe_broadcast(small, 1)          # above the limit: left to the planner
     assert refused is small
+
+
+def test_stream_with_stored_schema(spark, tmp_dir):
+    spark.createDataFrame([('{"watchlist_id":"W1","risk":"high"}',)], "value string") \
+        .write.text(f"{tmp_dir}/feed/d=1")
+    stream = stream_json_records(spark, f"{tmp_dir}/feed", schema_location=f"{tmp_dir}/schema")
+    finish(stream_to_path(stream, f"{tmp_dir}/bronze", f"{tmp_dir}/ck"))
+    spark.createDataFrame([('{"watchlist_id":"W2","risk":"low","extra":1}',)], "value string") \
+        .write.text(f"{tmp_dir}/feed/d=2")
+    stream = stream_json_records(spark, f"{tmp_dir}/feed", schema_location=f"{tmp_dir}/schema")
+    finish(stream_to_path(stream, f"{tmp_dir}/bronze", f"{tmp_dir}/ck"))
+    got = {r.watchlist_id: (r.risk, r._rescued_data) for r in spark.read.parquet(f"{tmp_dir}/bronze").collect()}
+    assert got == {"W1": ("high", None), "W2": ("low", '{"extra":"1"}')}

@@ -128,3 +128,21 @@ def test_batch_stream_agreement_on_windows(spark, tmp_dir):
     watermark = t(10, 19) - dt.timedelta(minutes=10)
     expected = {(r.window_start, r.transactions_count) for r in batch.collect() if r.window_end <= watermark}
     assert closed == expected
+
+
+def test_watchlist_filters_and_event_time(spark):
+    """D4: entries can be restricted by type and status; D2: the watchlist
+    side can be watermarked on its ingestion time instead."""
+    txs = spark.createDataFrame([tx_row("T1", "C1", t(10, 0)), tx_row("T2", "C2", t(10, 0))],
+                                TRANSACTION_PAYLOAD)
+    rows = [("W1", "CARD", "C1", "HIGH", "BLOCK", None, None, "ACTIVE", t(9, 0), None, None, None, None),
+            ("W2", "ACCOUNT", "C2", "HIGH", "BLOCK", None, None, "ACTIVE", t(9, 0), None, None, None, None),
+            ("W3", "CARD", "C2", "HIGH", "BLOCK", None, None, "INACTIVE", t(9, 0), None, None, None, None)]
+    wl = spark.createDataFrame(rows, WL_SCHEMA)
+    pairs = lambda df: sorted((r.transaction_id, r.watchlist_id) for r in df.collect())
+    assert pairs(watchlist_matches(txs, wl, watermark=None)) == [("T1", "W1"), ("T2", "W2"), ("T2", "W3")]
+    assert pairs(watchlist_matches(txs, wl, watermark=None, watch_types=["CARD"], statuses=["ACTIVE"])) \
+        == [("T1", "W1")]
+    wl_ing = wl.withColumn("bronze_ingestion_timestamp", F.lit(t(15, 0)))
+    got = watchlist_matches(txs, wl_ing, watermark=None, watchlist_event_time="bronze_ingestion_timestamp")
+    assert pairs(got) == [("T1", "W1"), ("T2", "W2"), ("T2", "W3")]
