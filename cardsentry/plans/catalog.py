@@ -32,6 +32,7 @@ from cardsentry.sources import driver_tables as D
 from cardsentry.sources.files import read_json_records, stream_json_records
 from cardsentry.sources.tables import overwrite_table, scan, write_bucketed
 from cardsentry.streaming.metrics import observed, progress_rows
+from cardsentry.streaming.matcher import WatchlistMatcher
 from cardsentry.streaming.outbox import OutboxWriter
 from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_path
 
@@ -41,6 +42,8 @@ BOUNDED_LAG = "7 days"                             # watchlist_match_bounded
 SALT_BUCKETS = 8                                   # watchlist_match_salted
 HOT_SHARE = 0.0075                                 # high_value_alert_skew_split: share that makes a key hot
 DIMENSION_BUCKETS = 8                              # high_value_alert_skew_split: buckets of the customer table
+CARD_BUCKETS = 16                                  # watchlist_match_incremental: card buckets of the history
+FIRST_DROP_BEFORE = "2024-02"                      # watchlist_match_incremental: months delivered first
 PUBLISHED_BEFORE = "2024-02"                       # high_water_mark_slice: months already delivered
 LATE_SPLIT = "2024-01-15 00:00:00"                 # late_rows_dropped: second drop holds the older rows
 CLOCK_COLUMNS = {"ingesttime", "bronze_ingestion_ts", "silver_ingestion_ts", "ingestion_timestamp",
@@ -304,6 +307,24 @@ def q_watchlist_match_salted(spark, sf_dir):
     return _matches(spark, sf_dir, "watchlist_match_salted", salt_buckets=SALT_BUCKETS)
 
 
+def q_watchlist_match_incremental(spark, sf_dir):
+    """The unbounded match with its history in tables (WatchlistMatcher).
+    The watchlist arrives in two drops: January's entries with all
+    transactions, then the later entries, which are matched against the
+    transaction history."""
+    run = Run(spark, "watchlist_match_incremental")
+    src = DriverTables(spark, sf_dir)
+    lines = D.watchlist_lines(src.table("customer"), src.table("nation"))
+    feed = run.path("watchlist_feed")
+    matcher = WatchlistMatcher(run.path("matcher"), card_buckets=CARD_BUCKETS)
+    for part in (F.col(D.WATCHLIST_DROP) < F.lit(FIRST_DROP_BEFORE),
+                 F.col(D.WATCHLIST_DROP) >= F.lit(FIRST_DROP_BEFORE)):
+        D.write_feed(lines.where(part), feed)
+        wl = silver_watchlist(stream_json_records(spark, feed, WATCHLIST_RECORD))
+        run.queries.append(finish(matcher.start(silver_tx_stream(src), wl, run.checkpoint("matcher"))))
+    return comparable(matcher.matches(spark).select(*MATCH_COLUMNS))
+
+
 def _fraud_alert_stream(run: Run, src: DriverTables, now=None) -> DataFrame:
     return fraud_card_alerts(silver_tx_stream(src), silver_wl_stream(run, src), customers_dim(run, src), now)
 
@@ -424,6 +445,7 @@ QUERIES = {
     "watchlist_match": q_watchlist_match,
     "watchlist_match_bounded": q_watchlist_match_bounded,
     "watchlist_match_salted": q_watchlist_match_salted,
+    "watchlist_match_incremental": q_watchlist_match_incremental,
     "fraud_card_alert": q_fraud_card_alert,
     "tumbling_counts": q_tumbling_counts,
     "sliding_counts": q_sliding_counts,

@@ -322,6 +322,7 @@ def oracles() -> dict[str, str]:
         "watchlist_match": _matches(),
         "watchlist_match_bounded": _matches("7 DAY"),
         "watchlist_match_salted": _matches(),
+        "watchlist_match_incremental": _matches(),
         "fraud_card_alert": fraud + "SELECT * EXCLUDE (alert_timestamp) FROM fca",
         "tumbling_counts": with_ctes(tx_cte(), tumbling_cte()) + "SELECT * FROM tumbling",
         "sliding_counts": with_ctes(tx_cte(), sliding_cte()) + "SELECT * FROM sliding",

@@ -14,6 +14,7 @@ from check_oracles import TABLES, digest  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
 KEYS = ["silver_transactions", "high_value_alert", "fraud_card_alert", "watchlist_match_bounded",
+        "watchlist_match_incremental", "high_value_alert_skew_split",
         "tumbling_counts", "sliding_counts", "bronze_watchlist", "dq_warn_counts", "notification_outbox",
         "render_high_value_notification"]
 
