@@ -57,8 +57,18 @@ def risk_color(level: Column | str) -> Column:
 
 
 def money_text(amount: Column | str) -> Column:
-    """Amount with two decimals, e.g. ``1234.50``."""
-    return F.format_string("%.2f", _c(amount))
+    """Amount with two decimals, e.g. ``1234.50``.
+
+    Rounded to whole cents as ``floor(amount * 100 + 0.5)``: one rule with
+    the same result in every engine (formatting functions differ on exact
+    halves such as 90.125).
+    """
+    cents = F.floor(_c(amount) * F.lit(100) + F.lit(0.5))
+    whole = F.abs(cents)
+    text = F.concat(F.when(cents < 0, F.lit("-")).otherwise(F.lit("")),
+                    F.floor(whole / F.lit(100)).cast("string"), F.lit("."),
+                    F.lpad((whole % F.lit(100)).cast("string"), 2, "0"))
+    return F.when(cents.isNull(), F.lit(None).cast("string")).otherwise(text)
 
 
 def time_text(ts: Column | str) -> Column:

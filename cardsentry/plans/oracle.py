@@ -105,7 +105,9 @@ def _na(x: str, default: str = MISSING) -> str:
 
 
 def _money(x: str) -> str:
-    return f"printf('%.2f', {x})"
+    cents = f"CAST(floor({x} * 100 + 0.5) AS BIGINT)"
+    return (f"(CASE WHEN {cents} < 0 THEN '-' ELSE '' END || CAST(abs({cents}) // 100 AS VARCHAR) || '.' "
+            f"|| lpad(CAST(abs({cents}) % 100 AS VARCHAR), 2, '0'))")
 
 
 def _time(x: str) -> str:
