@@ -200,7 +200,8 @@ def q_stream_table_roundtrip(spark, sf_dir):
     src = DriverTables(spark, sf_dir)
     layout = Layout(run.root, prefix=f"fraud_{run.root.rsplit('-', 1)[-1]}")
     customers = D.customer_records(src.stream("customer"), src.table("nation"))
-    run_graph(spark, layout, kafka_stream(src), customers, watchlist_feed(run, src), notifications=False)
+    run_graph(spark, layout, kafka_stream(src), customers, watchlist_feed(run, src), notifications=False,
+              dimension_buckets=DIMENSION_BUCKETS)
     counts = None
     for name in ["bronze_transactions", "silver_transactions", "silver_customers", "bronze_watchlist",
                  "silver_watchlist", "high_value_transaction_alert", "fraud_card_alert",

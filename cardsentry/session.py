@@ -30,6 +30,23 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Sizing for a large cluster (about 1000 executors, 100 TB of input).  Batch
+# jobs let AQE pick the number of shuffle partitions from the data (coalescing
+# towards ~256 MB per partition, splitting skewed ones); file scans cut input
+# into 256 MB splits.  Stateful streaming queries cannot re-plan their state
+# partitions: ``spark.sql.shuffle.partitions`` at the first start of such a
+# query fixes them for the life of its checkpoint, so it is set for the
+# largest expected state (a few partitions per core).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.minBatchesToRetain": "20",
+}
+
 # Runtime SQL settings a query of this library needs even in a session it did
 # not build (the defaults above that can still be changed after start-up).
 RUNTIME_CONF = {
