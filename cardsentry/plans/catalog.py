@@ -95,7 +95,12 @@ def bronze_batch(run: Run, src: DriverTables) -> DataFrame:
 
 
 def kafka_stream(src: DriverTables) -> DataFrame:
-    return D.kafka_records(src.stream("events"), src.table("nation"))
+    """Replayed Kafka records as a stream.  A topic is read by one task per
+    partition (or more, with ``minPartitions``); the test table is a single
+    file, read by one task, so the records are spread over the session's
+    task slots as a multi-partition topic would deliver them."""
+    events = src.stream("events").repartition(src.spark.sparkContext.defaultParallelism)
+    return D.kafka_records(events, src.table("nation"))
 
 
 def customers_dim(run: Run, src: DriverTables) -> DataFrame:
