@@ -83,7 +83,9 @@ def session_conf(spark: SparkSession, settings: dict):
 # --- shared inputs --------------------------------------------------------
 
 def kafka_batch(src: DriverTables) -> DataFrame:
-    return D.kafka_records(src.table("events"), src.table("nation"))
+    """Replayed Kafka records (batch), spread like ``kafka_stream``."""
+    events = src.table("events").repartition(src.spark.sparkContext.defaultParallelism)
+    return D.kafka_records(events, src.table("nation"))
 
 
 def bronze_batch(run: Run, src: DriverTables) -> DataFrame:
