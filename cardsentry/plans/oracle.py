@@ -234,7 +234,10 @@ def sliding_cte() -> str:
 
 
 FIXED_NOW_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
-ALL = lambda: with_ctes(tx_cte(), cu_cte(), wl_cte())
+
+
+def ALL() -> str:  # noqa: N802 - the three input views
+    return with_ctes(tx_cte(), cu_cte(), wl_cte())
 
 
 def _dq_counts() -> str:
@@ -296,7 +299,7 @@ def oracles() -> dict[str, str]:
     silver = with_ctes(tx_cte()) + f"""SELECT {PAYLOAD}, 'transactions' AS kafka_topic,
   CAST(event_id % 4 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
   transaction_timestamp AS kafka_timestamp FROM good"""
-    fraud = ALL() + ", " + fca_cte().replace("fca AS (", "fca AS (", 1)
+    fraud = with_ctes(tx_cte(), cu_cte(), wl_cte(), fca_cte())
     fraud_now = with_ctes(tx_cte(), cu_cte(), wl_cte(), fca_cte(FIXED_NOW_SQL))
     return {
         "kafka_envelope_batch": envelope,
