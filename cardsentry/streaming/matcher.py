@@ -10,17 +10,18 @@ needs.
 One streaming query reads both inputs (a union), and every micro-batch ``k``:
 
 1. appends its transactions ``T_k`` and entries ``W_k`` to the history tables,
-   partitioned by ``batch_id`` and ``card_bucket`` (a hash of the card);
+   in folders ``card_bucket=<hash of the card>/batch_id=<k>``;
 2. emits ``T_k JOIN W(batch <= k)`` -- new transactions against all entries;
-3. emits ``W_k JOIN T(batch < k)`` -- new entries against earlier transactions;
-   the join carries ``card_bucket``, so dynamic partition pruning reads only
-   the buckets of the (few) new entries from the transaction history.
+3. emits ``W_k JOIN T(batch < k)`` -- new entries against earlier transactions,
+   reading only the folders of the card buckets of the (few) new entries (a
+   path glob: the rest of the history is neither listed nor read).
 
 A pair is produced in the batch where its later record arrives, so exactly
 once.  Every write replaces only the partitions of batch ``k`` and lookups
 only read batches before it, so a replayed micro-batch rewrites the same rows.
-Each micro-batch writes at most ``card_buckets`` files per history table; run
-a compaction (or use a table format that has one) for long-lived histories.
+Each micro-batch writes at most ``card_buckets`` files per history table;
+for a long-lived history, compact old batch folders of a bucket (or keep the
+history in a table format that has compaction and a file log).
 """
 
 from __future__ import annotations
@@ -69,9 +70,10 @@ class WatchlistMatcher:
          .partitionBy(*partition_by).parquet(path))
 
     @staticmethod
-    def _read(spark, path: str) -> DataFrame | None:
+    def _read(spark, base: str, pattern: str) -> DataFrame | None:
+        """Folders of ``base`` matching ``pattern``; None when there are none."""
         try:
-            return spark.read.parquet(path)
+            return spark.read.option("basePath", base).parquet(f"{base}/{pattern}")
         except AnalysisException:
             return None
 
@@ -92,27 +94,32 @@ class WatchlistMatcher:
         # 1. history first (read back below, with file-size statistics)
         tx_new = new.where(F.col("side") == "T").select("card_key", "t", "batch_id", "card_bucket")
         wl_new = new.where(F.col("side") == "W").select("card_key", "w", "batch_id", "card_bucket")
-        self._write(tx_new.repartition("card_bucket"), self.tx_path, ["batch_id", "card_bucket"])
-        self._write(wl_new.repartition("card_bucket"), self.wl_path, ["batch_id", "card_bucket"])
-        tx_hist, wl_hist = self._read(spark, self.tx_path), self._read(spark, self.wl_path)
-        if tx_hist is None or wl_hist is None:
-            return
-        t_k = tx_hist.where(F.col("batch_id") == batch_id)
-        w_all = wl_hist.where(F.col("batch_id") <= batch_id)
-        w_k = wl_hist.where(F.col("batch_id") == batch_id)
-        t_old = tx_hist.where(F.col("batch_id") < batch_id)
+        self._write(tx_new.repartition("card_bucket"), self.tx_path, ["card_bucket", "batch_id"])
+        self._write(wl_new.repartition("card_bucket"), self.wl_path, ["card_bucket", "batch_id"])
+        parts = []
+        t_k = self._read(spark, self.tx_path, f"card_bucket=*/batch_id={batch_id}")
+        w_all = self._read(spark, self.wl_path, "card_bucket=*/batch_id=*")
+        w_k = self._read(spark, self.wl_path, f"card_bucket=*/batch_id={batch_id}")
         # 2. new transactions against every entry so far
-        w_side = maybe_broadcast(w_all, self.broadcast_limit_bytes)
-        first = self._pairs(t_k, w_side, (t_k["card_key"] == w_side["card_key"])
-                            & self._time_bound(t_k, w_side))
-        # 3. new entries against earlier transactions, pruned to their buckets
-        w_new_side = maybe_broadcast(w_k, self.broadcast_limit_bytes)
-        second = self._pairs(t_old, w_new_side,
-                             (t_old["card_bucket"] == w_new_side["card_bucket"])
-                             & (t_old["card_key"] == w_new_side["card_key"])
-                             & self._time_bound(t_old, w_new_side))
-        out = first.unionByName(second).withColumn("batch_id", k)
-        self._write(out, self.out_path, ["batch_id"])
+        if t_k is not None and w_all is not None:
+            w_side = maybe_broadcast(w_all.where(F.col("batch_id") <= batch_id), self.broadcast_limit_bytes)
+            parts.append(self._pairs(t_k, w_side, (t_k["card_key"] == w_side["card_key"])
+                                     & self._time_bound(t_k, w_side)))
+        # 3. new entries against earlier transactions of their card buckets
+        if w_k is not None:
+            # at most card_buckets values
+            buckets = sorted(r[0] for r in w_k.select("card_bucket").distinct().collect())
+            t_old = self._read(spark, self.tx_path,
+                               "card_bucket={" + ",".join(str(b) for b in buckets) + "}/batch_id=*")
+            if t_old is not None:
+                t_old = t_old.where(F.col("batch_id") < batch_id)
+                w_new_side = maybe_broadcast(w_k, self.broadcast_limit_bytes)
+                parts.append(self._pairs(t_old, w_new_side, (t_old["card_key"] == w_new_side["card_key"])
+                                         & self._time_bound(t_old, w_new_side)))
+        if not parts:
+            return
+        out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        self._write(out.withColumn("batch_id", k), self.out_path, ["batch_id"])
 
     # -- wiring ---------------------------------------------------------------
 

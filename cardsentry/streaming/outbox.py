@@ -5,7 +5,8 @@ leave out alerts already in the outbox from *other* batches, and overwrite the
 outbox partitions of *this* batch (dynamic partition overwrite).  Replaying a
 batch after a failure therefore rewrites the same rows instead of adding a
 second copy.  The outbox is partitioned by ``alert_date`` so the look-up of
-earlier alerts only reads the days present in the batch.
+earlier alerts only lists and reads the folders of the days present in the
+batch (a path glob, not a listing of the whole outbox).
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ class OutboxWriter:
         self.render = render
 
     def _existing(self, spark, batch_id: int, days: list) -> DataFrame | None:
+        folders = ",".join(sorted("__HIVE_DEFAULT_PARTITION__" if d is None else str(d) for d in days))
         try:
-            old = spark.read.parquet(self.path)
-        except AnalysisException:
+            old = (spark.read.option("basePath", self.path)
+                   .parquet(f"{self.path}/alert_date={{{folders}}}"))
+        except AnalysisException:       # none of these days has alerts yet
             return None
-        return (old.where(F.col("alert_date").isin(days) & (F.col("batch_id") != batch_id))
-                .select("alert_date", "alert_id"))
+        return old.where(F.col("batch_id") != batch_id).select("alert_date", "alert_id")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
