@@ -58,20 +58,20 @@ def high_value_alerts(txns: DataFrame, customers: DataFrame, now: Column | None
 
 # Columns each side contributes to an alert, renamed where both sides carry
 # the same name (city, country, status).
-_TXN_COLUMNS = [
+TXN_ALERT_COLUMNS = [
     "transaction_id", "customer_id", "card_number", "amount", "currency", "merchant_id",
     "merchant_name", "merchant_category", "transaction_type", "payment_channel", "device_id",
     ("city", "transaction_city"), ("country", "transaction_country"),
     "transaction_timestamp", "is_international", ("status", "transaction_status"),
 ]
-_WATCHLIST_COLUMNS = [
+WATCHLIST_ALERT_COLUMNS = [
     "watchlist_id", "watch_type", "entity_id", "risk_level", "action", "reason_code",
     "reason_description", "effective_from", "reported_by", "reported_source",
     ("city", "watchlist_city"), ("country", "watchlist_country"), ("status", "watchlist_status"),
 ]
 
 
-def _pick(columns) -> list[Column]:
+def select_renamed(columns) -> list[Column]:
     return [F.col(c[0]).alias(c[1]) if isinstance(c, tuple) else F.col(c) for c in columns]
 
 
@@ -90,11 +90,11 @@ def watchlist_matches(txns: DataFrame, watchlist: DataFrame, max_lag: str | None
     ``watchlist_event_time`` can name the ingestion time instead, so that old
     entries arriving late are not dropped by the watermark.
     """
-    t = txns.select(*_pick(_TXN_COLUMNS))
-    wl_cols = list(_WATCHLIST_COLUMNS)
+    t = txns.select(*select_renamed(TXN_ALERT_COLUMNS))
+    wl_cols = list(WATCHLIST_ALERT_COLUMNS)
     if watchlist_event_time != "effective_from":
         wl_cols.append(watchlist_event_time)
-    w = watchlist.select(*_pick(wl_cols))
+    w = watchlist.select(*select_renamed(wl_cols))
     if watch_types:
         w = w.where(F.col("watch_type").isin(*watch_types))
     if statuses:

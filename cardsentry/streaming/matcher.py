@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardsentry.operators.alerts import _TXN_COLUMNS, _WATCHLIST_COLUMNS, _pick
+from cardsentry.operators.alerts import TXN_ALERT_COLUMNS, WATCHLIST_ALERT_COLUMNS, select_renamed
 from cardsentry.operators.joins import BROADCAST_LIMIT_BYTES, maybe_broadcast
 from cardsentry.streaming.sinks import stream_foreach_batch
 
@@ -53,10 +53,10 @@ class WatchlistMatcher:
     def source(self, txns: DataFrame, watchlist: DataFrame) -> DataFrame:
         """Both inputs as one stream: ``side``, ``card_key``, ``card_bucket``,
         and the transaction (``t``) or watchlist (``w``) columns."""
-        t = txns.select(*_pick(_TXN_COLUMNS))
+        t = txns.select(*select_renamed(TXN_ALERT_COLUMNS))
         t = t.select(F.lit("T").alias("side"), F.upper("card_number").alias("card_key"),
                      F.struct(*t.columns).alias("t"))
-        w = watchlist.select(*_pick(_WATCHLIST_COLUMNS))
+        w = watchlist.select(*select_renamed(WATCHLIST_ALERT_COLUMNS))
         w = w.select(F.lit("W").alias("side"), F.col("entity_id").alias("card_key"),
                      F.struct(*w.columns).alias("w"))
         both = t.unionByName(w, allowMissingColumns=True)
