@@ -109,13 +109,11 @@ def watchlist_matches(txns: DataFrame, watchlist: DataFrame, max_lag: str | None
     return salted_stream_join(t, w, cond, "transaction_id", salt_buckets)
 
 
-def fraud_card_alerts(txns: DataFrame, watchlist: DataFrame, customers: DataFrame,
-                      now: Column | None = None,
-                      broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
-                      hot_customers: DataFrame | None = None,
-                      **match_options) -> DataFrame:
-    """Watchlist matches with the customer's contact data (left join)."""
-    matches = watchlist_matches(txns, watchlist, **match_options)
+def enrich_matches(matches: DataFrame, customers: DataFrame, now: Column | None = None,
+                   broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
+                   hot_customers: DataFrame | None = None) -> DataFrame:
+    """Watchlist matches with the customer's contact data (left join: the
+    alert survives a missing customer), in the alert layout."""
     cust = customers.select("customer_id", "email", "first_name", "last_name")
     joined = dimension_join(matches, cust, "customer_id", "left", broadcast_limit_bytes, hot_customers)
     return joined.select(
@@ -132,3 +130,13 @@ def fraud_card_alerts(txns: DataFrame, watchlist: DataFrame, customers: DataFram
         F.col("effective_from").alias("watchlist_effective_from"),
         "reported_by", "reported_source", "watchlist_city", "watchlist_country",
     )
+
+
+def fraud_card_alerts(txns: DataFrame, watchlist: DataFrame, customers: DataFrame,
+                      now: Column | None = None,
+                      broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
+                      hot_customers: DataFrame | None = None,
+                      **match_options) -> DataFrame:
+    """Watchlist matches (stream-stream join) enriched with customer data."""
+    matches = watchlist_matches(txns, watchlist, **match_options)
+    return enrich_matches(matches, customers, now, broadcast_limit_bytes, hot_customers)

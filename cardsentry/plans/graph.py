@@ -18,7 +18,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from cardsentry.operators.alerts import fraud_card_alerts, high_value_alerts
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from cardsentry.operators.alerts import enrich_matches, fraud_card_alerts, high_value_alerts, watchlist_matches
 from cardsentry.operators.layers import (bronze_transactions, latest_customers, silver_customers,
                                          silver_transactions, silver_watchlist)
 from cardsentry.operators.notify import render_fraud, render_high_value
@@ -26,6 +29,7 @@ from cardsentry.operators.windows import sliding_counts, tumbling_counts
 from cardsentry.schemas import WATCHLIST_RECORD
 from cardsentry.sources.files import stream_json_records
 from cardsentry.sources.tables import comment_on, write_bucketed
+from cardsentry.streaming.matcher import WatchlistMatcher
 from cardsentry.streaming.outbox import OutboxWriter
 from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_table
 
@@ -71,17 +75,56 @@ def publish_customer_dimension(spark: SparkSession, layout: Layout, buckets: int
     return spark.read.table(name)
 
 
+def _fraud_alerts_by_tables(spark: SparkSession, layout: Layout, dim_table: str, now, hot_customers,
+                            card_buckets: int, max_lag: str | None, available_now: bool,
+                            processing_time: str | None):
+    """``fraud_card_alert`` from the table-backed matcher.  Each micro-batch
+    re-reads the customer dimension (after a refresh), so a long-running job
+    sees its updates."""
+    def enrich(pairs: DataFrame) -> DataFrame:
+        s = pairs.sparkSession
+        s.catalog.refreshTable(dim_table)
+        return enrich_matches(pairs, s.read.table(dim_table), now, hot_customers=hot_customers)
+
+    path = layout.path("fraud_card_alert")
+    matcher = WatchlistMatcher(layout.path("watchlist_matcher"), card_buckets=card_buckets,
+                               max_lag=max_lag, transform=enrich, out_path=path)
+    txns = spark.readStream.table(layout.table("silver_transactions"))
+    wl = spark.readStream.table(layout.table("silver_watchlist"))
+    q = matcher.start(txns, wl, layout.checkpoint("fraud_card_alert"), available_now, processing_time)
+    if available_now:
+        finish(q)
+        name = layout.table("fraud_card_alert")
+        try:
+            if not spark.catalog.tableExists(name):
+                spark.catalog.createTable(name, path=path, source=layout.fmt)
+            spark.catalog.recoverPartitions(name)      # the batch_id folders written so far
+        except AnalysisException:       # no alert written yet
+            pass
+    # Layout of the alerts (analysis only, nothing runs).
+    empty = watchlist_matches(spark.read.table(layout.table("silver_transactions")).limit(0),
+                              spark.read.table(layout.table("silver_watchlist")).limit(0), watermark=None)
+    schema = enrich_matches(empty, spark.read.table(dim_table), now) \
+        .withColumn("batch_id", F.lit(0).cast("long")).schema
+    return q, spark.readStream.schema(schema).format(layout.fmt).load(path)
+
+
 def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers: DataFrame,
               watchlist_dir: str, available_now: bool = True, now: Column | None = None,
               processing_time: str | None = None, fraud_options: dict | None = None,
               notifications: bool = True, dimension_buckets: int | None = None,
-              hot_customers: DataFrame | None = None) -> dict:
+              hot_customers: DataFrame | None = None, watchlist_join: str = "state",
+              card_buckets: int = 64) -> dict:
     """Start (or run to completion) every flow of the graph; returns the
     streaming queries by table name.
 
     ``dimension_buckets``: publish the customer dimension as a bucketed table
     (for dimensions too large to broadcast); ``hot_customers``: a bounded set
     of customer ids split off to a broadcast path (see ``heavy_hitters``).
+    ``watchlist_join``: ``"state"`` -- the stream-stream join (its state holds
+    every transaction unless ``fraud_options["max_lag"]`` bounds it);
+    ``"tables"`` -- the same pairs from ``WatchlistMatcher``, with the
+    history in tables laid out by card bucket (``card_buckets``).
     """
     queries = {}
 
@@ -103,20 +146,30 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     flow("silver_watchlist", silver_watchlist(read("bronze_watchlist"), now))
     if dimension_buckets:
         dim = publish_customer_dimension(spark, layout, dimension_buckets)
+        dim_table = layout.table("customer_dimension")
     else:
-        dim = spark.read.table(layout.table("silver_customers"))
+        dim_table = layout.table("silver_customers")
+        dim = spark.read.table(dim_table)
     flow("high_value_transaction_alert", high_value_alerts(read("silver_transactions"), dim, now,
                                                            hot_customers=hot_customers))
-    flow("fraud_card_alert", fraud_card_alerts(read("silver_transactions"), read("silver_watchlist"),
-                                               dim, now, hot_customers=hot_customers,
-                                               **(fraud_options or {})))
+    fraud_stream = None
+    if watchlist_join == "tables":
+        q, fraud_stream = _fraud_alerts_by_tables(
+            spark, layout, dim_table, now, hot_customers, card_buckets,
+            (fraud_options or {}).get("max_lag"), available_now, processing_time)
+        queries["fraud_card_alert"] = q
+    else:
+        flow("fraud_card_alert", fraud_card_alerts(read("silver_transactions"), read("silver_watchlist"),
+                                                   dim, now, hot_customers=hot_customers,
+                                                   **(fraud_options or {})))
     flow("transactions_count_by_min", tumbling_counts(read("silver_transactions")))
     flow("transactions_count_by_min_sliding_window", sliding_counts(read("silver_transactions")))
     if notifications:
         for name, render in (("high_value_transaction_alert", render_high_value),
                              ("fraud_card_alert", render_fraud)):
             sink = OutboxWriter(layout.path(f"{name}_outbox"), render)
-            q = stream_foreach_batch(read(name), sink, layout.checkpoint(f"{name}_outbox"),
+            source = fraud_stream if (name == "fraud_card_alert" and fraud_stream is not None) else read(name)
+            q = stream_foreach_batch(source, sink, layout.checkpoint(f"{name}_outbox"),
                                      available_now=available_now, processing_time=processing_time,
                                      query_name=layout.table(f"{name}_outbox"))
             queries[f"{name}_outbox"] = finish(q) if available_now else q

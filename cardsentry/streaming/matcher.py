@@ -35,15 +35,20 @@ from cardsentry.streaming.sinks import stream_foreach_batch
 
 
 class WatchlistMatcher:
+    """``transform`` (optional) is applied to each micro-batch's pairs before
+    they are written to ``out_path`` (e.g. ``alerts.enrich_matches``)."""
+
     def __init__(self, root: str, card_buckets: int = 64, max_lag: str | None = None,
-                 broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES):
+                 broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
+                 transform=None, out_path: str | None = None):
         self.root = root
         self.card_buckets = card_buckets
         self.max_lag = max_lag
         self.broadcast_limit_bytes = broadcast_limit_bytes
+        self.transform = transform
         self.tx_path = f"{root}/transaction_history"
         self.wl_path = f"{root}/watchlist_history"
-        self.out_path = f"{root}/matches"
+        self.out_path = out_path or f"{root}/matches"
 
     # -- input ------------------------------------------------------------
 
@@ -119,6 +124,8 @@ class WatchlistMatcher:
         if not parts:
             return
         out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if self.transform is not None:
+            out = self.transform(out)
         self._write(out.withColumn("batch_id", k), self.out_path, ["batch_id"])
 
     # -- wiring ---------------------------------------------------------------

@@ -34,3 +34,17 @@ def test_kafka_options_and_missing_connector(spark):
     with pytest.raises(Exception) as err:
         read_kafka(spark, opts)
     assert "kafka" in str(err.value).lower()
+
+
+def test_graph_with_table_backed_watchlist_join(spark):
+    run = Run(spark, "graph_tables")
+    src = DriverTables(spark, SF_SMALL)
+    layout = Layout(run.root, prefix="graph_tables")
+    run_graph(spark, layout, C.kafka_stream(src), D.customer_records(src.stream("customer"), src.table("nation")),
+              C.watchlist_feed(run, src), watchlist_join="tables", card_buckets=8)
+    direct = C.q_fraud_card_alert(spark, SF_SMALL)
+    fraud = spark.table(layout.table("fraud_card_alert"))
+    cols = [c for c in direct.columns]
+    assert sorted(map(tuple, C.comparable(fraud).select(*cols).collect())) == sorted(map(tuple, direct.collect()))
+    outbox = spark.read.parquet(layout.path("fraud_card_alert_outbox"))
+    assert outbox.select("alert_id").distinct().count() == outbox.count() == direct.count()
