@@ -10,12 +10,14 @@ timestamps are returned without time zone, as DuckDB's are.
 
 from __future__ import annotations
 
+import functools
+import math
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cardsentry.operators.alerts import fraud_card_alerts, high_value_alerts, watchlist_matches
-from cardsentry.operators.joins import heavy_hitters
+from cardsentry.operators.joins import estimated_bytes, heavy_hitters
 from cardsentry.operators.layers import (CUSTOMER_OBSERVATION, TRANSACTION_EXPECTATIONS,
                                          TRANSACTION_OBSERVATION, bronze_transactions, latest_customers,
                                          silver_customers, silver_transactions, silver_watchlist)
@@ -80,6 +82,34 @@ def session_conf(spark: SparkSession, settings: dict):
                 spark.conf.set(k, v)
 
 
+# Bytes of operator state one partition should hold, and how much larger the
+# rows are in state than in compressed parquet (rough).
+STATE_PARTITION_BYTES = 64 * 1024 * 1024
+STATE_EXPANSION = 10
+
+
+def state_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """State partitions for the stateful streams of a run: as many as the
+    input needs at ``STATE_PARTITION_BYTES`` each, at least one per task slot,
+    at most the session's ``spark.sql.shuffle.partitions``.  (Stateful
+    operators keep the count of their first run in the checkpoint; AQE does
+    not resize them.)"""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")) or 0
+    wanted = max(spark.sparkContext.defaultParallelism,
+                 math.ceil(size * STATE_EXPANSION / STATE_PARTITION_BYTES))
+    return min(configured, wanted)
+
+
+def sized(fn):
+    """Run a catalog query with state partitions sized to its input."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with session_conf(spark, {"spark.sql.shuffle.partitions": str(state_partitions(spark, sf_dir))}):
+            return fn(spark, sf_dir)
+    return run
+
+
 # --- shared inputs --------------------------------------------------------
 
 def kafka_batch(src: DriverTables, spread: bool = True) -> DataFrame:
@@ -434,7 +464,7 @@ def q_notification_batch_summary(spark, sf_dir):
     return batch_summary(_outbox(spark, sf_dir, "notification_batch_summary"))
 
 
-QUERIES = {
+QUERIES = {k: sized(v) for k, v in {
     "kafka_envelope_batch": q_kafka_envelope_batch,
     "message_count": q_message_count,
     "bronze_transactions": q_bronze_transactions,
@@ -466,4 +496,4 @@ QUERIES = {
     "notification_undeliverable": q_notification_undeliverable,
     "notification_outbox": q_notification_outbox,
     "notification_batch_summary": q_notification_batch_summary,
-}
+}.items()}
