@@ -179,10 +179,11 @@ def watchlist_lines(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def write_feed(lines: DataFrame, path: str) -> None:
-    """Write feed lines as text files, one folder per drop and one file per
-    folder (rows of a drop are brought together first; without that every
-    task would write a small file into every folder)."""
-    (lines.repartition(WATCHLIST_DROP).write.mode("append")
+    """Write feed lines as text files, one folder per drop and few files per
+    folder (rows of a drop are brought together first -- without that every
+    task would write a small file into every folder; AQE still splits a drop
+    that is much larger than the others)."""
+    (lines.hint("rebalance", WATCHLIST_DROP).write.mode("append")
      .partitionBy(WATCHLIST_DROP).text(path))
 
 

@@ -99,8 +99,10 @@ class WatchlistMatcher:
         # 1. history first (read back below, with file-size statistics)
         tx_new = new.where(F.col("side") == "T").select("card_key", "t", "batch_id", "card_bucket")
         wl_new = new.where(F.col("side") == "W").select("card_key", "w", "batch_id", "card_bucket")
-        self._write(tx_new.repartition("card_bucket"), self.tx_path, ["card_bucket", "batch_id"])
-        self._write(wl_new.repartition("card_bucket"), self.wl_path, ["card_bucket", "batch_id"])
+        # rows of a bucket written together (few files); AQE splits a bucket
+        # that holds a hot card over several tasks instead of one
+        self._write(tx_new.hint("rebalance", "card_bucket"), self.tx_path, ["card_bucket", "batch_id"])
+        self._write(wl_new.hint("rebalance", "card_bucket"), self.wl_path, ["card_bucket", "batch_id"])
         parts = []
         t_k = self._read(spark, self.tx_path, f"card_bucket=*/batch_id={batch_id}")
         w_all = self._read(spark, self.wl_path, "card_bucket=*/batch_id=*")

@@ -43,7 +43,8 @@ class OutboxWriter:
                 return
             existing = self._existing(spark, batch_id, days)
             fresh = rows if existing is None else rows.join(existing, ["alert_date", "alert_id"], "left_anti")
-            (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (fresh.hint("rebalance", "alert_date").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
              .partitionBy("alert_date", "batch_id").parquet(self.path))
         finally:
             rows.unpersist()
