@@ -16,7 +16,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from cardsentry.functions.parsing import parse_json, rescued_data
 
 
+def _all_text(schema: T.StructType) -> bool:
+    return all(isinstance(f.dataType, T.StringType) for f in schema.fields)
+
+
 def _project(lines: DataFrame, schema: T.StructType, now=None) -> DataFrame:
+    if _all_text(schema):
+        # Every field is text: one parse into a map gives the fields (any JSON
+        # value reads as its text, as it would into a string field) and the
+        # unknown keys to rescue.
+        raw = F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType()), {"mode": "PERMISSIVE"})
+        parsed = lines.select(F.col("value"), raw.alias("m"),
+                              F.col("_metadata.file_path").alias("source_file"))
+        known = F.array(*[F.lit(f.name) for f in schema.fields])
+        extra = F.map_filter(F.col("m"), lambda k, v: ~F.array_contains(known, k))
+        rescued = (F.when(F.col("value").isNull(), F.lit(None).cast("string"))
+                   .when(F.col("m").isNull(), F.col("value"))
+                   .otherwise(F.nullif(F.to_json(extra), F.lit("{}"))))
+        cols = [F.col("m").getItem(f.name).alias(f.name) for f in schema.fields]
+        cols += [rescued.alias("_rescued_data"), F.col("source_file"),
+                 (now if now is not None else F.current_timestamp()).alias("ingestion_timestamp")]
+        return parsed.select(*cols)
     parsed = lines.select(
         parse_json(F.col("value"), schema).alias("data"),
         rescued_data(F.col("value"), schema).alias("_rescued_data"),

@@ -65,3 +65,30 @@ def test_rescued_data_direct(spark, obj):
         assert got is None
     else:
         assert set(json.loads(got)) == set(lost)
+
+
+TEXT_SCHEMA = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+leaf = st.one_of(st.none(), st.integers(-99, 99), st.text("xy", max_size=2), st.booleans())
+json_any = st.recursive(leaf, lambda inner: st.one_of(st.lists(inner, max_size=2),
+                                                      st.dictionaries(st.sampled_from(["p", "q"]), inner, max_size=2)),
+                        max_leaves=4)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(
+    st.dictionaries(st.sampled_from(["a", "b", "c"]), json_any, max_size=3).map(
+        lambda d: json.dumps(d, separators=(",", ":"))),
+    st.sampled_from(["{bad", "[1,2]", "null", "{}", "7"])), min_size=1, max_size=8))
+def test_single_parse_equals_general_path(spark, tmp_dir, lines):
+    from cardsentry.functions.parsing import parse_json
+    from cardsentry.sources.files import read_json_records
+    import uuid
+    path = f"{tmp_dir}/f{uuid.uuid4().hex}"
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    fast = read_json_records(spark, path, TEXT_SCHEMA).select("a", "b", "_rescued_data")
+    raw = spark.read.text(path)
+    general = raw.select(parse_json("value", TEXT_SCHEMA).alias("d"),
+                         rescued_data("value", TEXT_SCHEMA).alias("_rescued_data")) \
+        .select("d.a", "d.b", "_rescued_data")
+    key = lambda r: tuple("" if v is None else v for v in r)
+    assert sorted(map(tuple, fast.collect()), key=key) == sorted(map(tuple, general.collect()), key=key)
