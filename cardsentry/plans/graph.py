@@ -22,7 +22,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cardsentry.operators.alerts import enrich_matches, fraud_card_alerts, high_value_alerts, watchlist_matches
-from cardsentry.operators.layers import (bronze_transactions, latest_customers, silver_customers,
+from cardsentry.operators.layers import (CUSTOMER_EXPECTATIONS, CUSTOMER_OBSERVATION,
+                                         TRANSACTION_EXPECTATIONS, TRANSACTION_OBSERVATION,
+                                         WATCHLIST_EXPECTATIONS, WATCHLIST_OBSERVATION,
+                                         bronze_transactions, latest_customers, silver_customers,
                                          silver_transactions, silver_watchlist)
 from cardsentry.operators.notify import render_fraud, render_high_value
 from cardsentry.operators.windows import sliding_counts, tumbling_counts
@@ -30,6 +33,7 @@ from cardsentry.schemas import WATCHLIST_RECORD
 from cardsentry.sources.files import stream_json_records
 from cardsentry.sources.tables import comment_on, write_bucketed
 from cardsentry.streaming.matcher import WatchlistMatcher
+from cardsentry.streaming.metrics import record_quality
 from cardsentry.streaming.outbox import OutboxWriter
 from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_table
 
@@ -46,6 +50,13 @@ TABLE_COMMENTS = {
     "customer_dimension": "Latest row per customer, bucketed by customer_id",
 }
 
+# Expectations of the silver flows: observation name and rules.
+QUALITY = {
+    "silver_transactions": (TRANSACTION_OBSERVATION, TRANSACTION_EXPECTATIONS),
+    "silver_customers": (CUSTOMER_OBSERVATION, CUSTOMER_EXPECTATIONS),
+    "silver_watchlist": (WATCHLIST_OBSERVATION, WATCHLIST_EXPECTATIONS),
+}
+
 
 @dataclass
 class Layout:
@@ -135,6 +146,9 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
         queries[name] = finish(q) if available_now else q
         if available_now and name in layout.comments:
             comment_on(spark, layout.table(name), layout.comments[name])
+        if available_now and name in QUALITY:
+            observation, rules = QUALITY[name]
+            record_quality(spark, q, observation, name, rules, layout.path("dq_metrics"))
 
     def read(name: str) -> DataFrame:
         return spark.readStream.table(layout.table(name))

@@ -39,6 +39,37 @@ def progress_frame(spark: SparkSession, queries: list[StreamingQuery]) -> DataFr
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
 
 
+QUALITY_SCHEMA = ("dataset string, batch_id long, expectation string, action string, "
+                  "passed_records long, failed_records long")
+
+
+def quality_rows(query: StreamingQuery, name: str, dataset: str, expectations) -> list[tuple]:
+    """Per micro-batch and expectation: passed and failed records, from the
+    metrics observed under ``name``."""
+    rows = []
+    for p in _progress(query):
+        metrics = (p.get("observedMetrics") or {}).get(name)
+        if not metrics:
+            continue
+        if hasattr(metrics, "asDict"):
+            metrics = metrics.asDict()
+        total = int(metrics.get("input_records") or 0)
+        for e in expectations:
+            failed = int(metrics.get(e.name) or 0)
+            rows.append((dataset, int(p.get("batchId", -1)), e.name, e.action, total - failed, failed))
+    return rows
+
+
+def record_quality(spark: SparkSession, query: StreamingQuery, name: str, dataset: str,
+                   expectations, path: str) -> None:
+    """Append the query's expectation metrics to the table at ``path``
+    (a few rows per micro-batch; partitioned by dataset)."""
+    rows = quality_rows(query, name, dataset, expectations)
+    if rows:
+        (spark.createDataFrame(rows, QUALITY_SCHEMA).coalesce(1).write.mode("append")
+         .partitionBy("dataset").parquet(path))
+
+
 def observed(query: StreamingQuery, name: str) -> dict:
     """Sum of the observed metrics ``name`` over the query's micro-batches."""
     total: dict = {}

@@ -48,3 +48,20 @@ def test_graph_with_table_backed_watchlist_join(spark):
     assert sorted(map(tuple, C.comparable(fraud).select(*cols).collect())) == sorted(map(tuple, direct.collect()))
     outbox = spark.read.parquet(layout.path("fraud_card_alert_outbox"))
     assert outbox.select("alert_id").distinct().count() == outbox.count() == direct.count()
+
+
+def test_graph_records_quality_metrics(spark):
+    run = Run(spark, "graph_dq")
+    src = DriverTables(spark, SF_SMALL)
+    layout = Layout(run.root, prefix="graph_dq")
+    run_graph(spark, layout, C.kafka_stream(src), D.customer_records(src.stream("customer"), src.table("nation")),
+              C.watchlist_feed(run, src), notifications=False)
+    dq = spark.read.parquet(layout.path("dq_metrics"))
+    got = {(r.dataset, r.expectation): (r.passed_records, r.failed_records)
+           for r in dq.groupBy("dataset", "expectation").sum("passed_records", "failed_records")
+           .toDF("dataset", "expectation", "passed_records", "failed_records").collect()}
+    events = src.table("events").count()
+    silver = spark.table(layout.table("silver_transactions")).count()
+    assert got[("silver_transactions", "valid_customer_id")][0] == silver
+    assert sum(got[("silver_transactions", "valid_transaction_id")]) == events
+    assert ("silver_watchlist", "no_rescued_data") in got and ("silver_customers", "valid_customer_id") in got
