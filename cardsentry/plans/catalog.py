@@ -2,8 +2,9 @@
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` runs the Spark job (a stream
 with ``availableNow`` to a fresh folder where the dataset is a stream in the
-application, a batch job otherwise) and returns its result; ``oracle(name)`` is
-DuckDB SQL over the same tables that must give the same rows.  Columns made
+application, a batch job otherwise) and returns its result;
+``plans.oracle.oracles()[name]`` is DuckDB SQL over the same tables that must
+give the same rows.  Columns made
 from the clock (ingestion and alert times) are left out of compared results;
 timestamps are returned without time zone, as DuckDB's are.
 """
@@ -26,7 +27,6 @@ from cardsentry.operators.notify import (batch_summary, render_fraud, render_hig
 from cardsentry.operators.quality import expectation_report, metrics_report
 from cardsentry.operators.resume import unpublished
 from cardsentry.operators.windows import sliding_counts, tumbling_counts
-from cardsentry.plans import oracle as O
 from cardsentry.plans.graph import Layout, run_graph
 from cardsentry.plans.runs import DriverTables, Run
 from cardsentry.schemas import WATCHLIST_RECORD
