@@ -93,6 +93,15 @@ class WatchlistMatcher:
         return t.join(w, cond, "inner").select("t.*", "w.*")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        # Both history writes read the micro-batch: compute it (source read,
+        # parsing) once and keep it for them.
+        batch = batch.persist()
+        try:
+            self._process(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         k = F.lit(batch_id).cast("long")
         new = batch.withColumn("batch_id", k)
