@@ -21,7 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+import math
+
 from cardsentry.operators.alerts import enrich_matches, fraud_card_alerts, high_value_alerts, watchlist_matches
+from cardsentry.operators.joins import BROADCAST_LIMIT_BYTES, estimated_bytes
 from cardsentry.operators.layers import (CUSTOMER_EXPECTATIONS, CUSTOMER_OBSERVATION,
                                          TRANSACTION_EXPECTATIONS, TRANSACTION_OBSERVATION,
                                          WATCHLIST_EXPECTATIONS, WATCHLIST_OBSERVATION,
@@ -120,17 +123,32 @@ def _fraud_alerts_by_tables(spark: SparkSession, layout: Layout, dim_table: str,
     return q, spark.readStream.schema(schema).format(layout.fmt).load(path)
 
 
+BUCKET_BYTES = 128 * 1024 * 1024     # target size of one dimension bucket
+
+
+def dimension_layout(spark: SparkSession, table: str, buckets) -> int | None:
+    """Buckets for the published customer dimension: ``"auto"`` buckets it
+    (about ``BUCKET_BYTES`` each) only when it is too large to broadcast."""
+    if buckets != "auto":
+        return buckets
+    size = estimated_bytes(spark.read.table(table))
+    if size is None or size <= BROADCAST_LIMIT_BYTES:
+        return None
+    return max(8, math.ceil(size / BUCKET_BYTES))
+
+
 def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers: DataFrame,
               watchlist_dir: str, available_now: bool = True, now: Column | None = None,
               processing_time: str | None = None, fraud_options: dict | None = None,
-              notifications: bool = True, dimension_buckets: int | None = None,
+              notifications: bool = True, dimension_buckets: int | str | None = "auto",
               hot_customers: DataFrame | None = None, watchlist_join: str = "state",
               card_buckets: int = 64) -> dict:
     """Start (or run to completion) every flow of the graph; returns the
     streaming queries by table name.
 
     ``dimension_buckets``: publish the customer dimension as a bucketed table
-    (for dimensions too large to broadcast); ``hot_customers``: a bounded set
+    with that many buckets; ``"auto"`` does so only when it is too large to
+    broadcast (with an available_now run); ``hot_customers``: a bounded set
     of customer ids split off to a broadcast path (see ``heavy_hitters``).
     ``watchlist_join``: ``"state"`` -- the stream-stream join (its state holds
     every transaction unless ``fraud_options["max_lag"]`` bounds it);
@@ -158,6 +176,10 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     flow("silver_customers", silver_customers(customers, now))
     flow("bronze_watchlist", stream_json_records(spark, watchlist_dir, WATCHLIST_RECORD, now))
     flow("silver_watchlist", silver_watchlist(read("bronze_watchlist"), now))
+    if available_now:
+        dimension_buckets = dimension_layout(spark, layout.table("silver_customers"), dimension_buckets)
+    elif dimension_buckets == "auto":
+        dimension_buckets = None
     if dimension_buckets:
         dim = publish_customer_dimension(spark, layout, dimension_buckets)
         dim_table = layout.table("customer_dimension")

@@ -65,3 +65,13 @@ def test_graph_records_quality_metrics(spark):
     assert got[("silver_transactions", "valid_customer_id")][0] == silver
     assert sum(got[("silver_transactions", "valid_transaction_id")]) == events
     assert ("silver_watchlist", "no_rescued_data") in got and ("silver_customers", "valid_customer_id") in got
+
+
+def test_dimension_layout_auto(spark, tmp_dir, monkeypatch):
+    from cardsentry.plans import graph
+    spark.range(1000).selectExpr("cast(id AS string) AS customer_id").write.parquet(f"{tmp_dir}/dim")
+    spark.catalog.createTable("dim_layout_test", path=f"{tmp_dir}/dim", source="parquet")
+    assert graph.dimension_layout(spark, "dim_layout_test", "auto") is None       # small: broadcast
+    assert graph.dimension_layout(spark, "dim_layout_test", 16) == 16
+    monkeypatch.setattr(graph, "BROADCAST_LIMIT_BYTES", 0)                        # as if too large
+    assert graph.dimension_layout(spark, "dim_layout_test", "auto") == 8
