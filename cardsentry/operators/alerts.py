@@ -78,7 +78,8 @@ def select_renamed(columns) -> list[Column]:
 def watchlist_matches(txns: DataFrame, watchlist: DataFrame, max_lag: str | None = None,
                       watermark: str | None = WATERMARK_DELAY, salt_buckets: int = 1,
                       watch_types: list[str] | None = None, statuses: list[str] | None = None,
-                      watchlist_event_time: str = "effective_from") -> DataFrame:
+                      watchlist_event_time: str = "effective_from",
+                      hot_cards: DataFrame | None = None) -> DataFrame:
     """Transactions joined with watchlist entries on the card number.
 
     ``max_lag=None`` matches at any time distance and in either arrival order,
@@ -86,7 +87,9 @@ def watchlist_matches(txns: DataFrame, watchlist: DataFrame, max_lag: str | None
     matches transactions made from ``effective_from`` up to ``max_lag`` after
     it; then the watermarks bound the state of both sides.
     ``watch_types`` / ``statuses`` restrict the entries used (default: all).
-    ``salt_buckets`` > 1 spreads a hot card over several state partitions.
+    ``salt_buckets`` > 1 spreads a hot card over several state partitions;
+    with ``hot_cards`` (one column of upper-cased card numbers, bounded, e.g.
+    from ``heavy_hitters``) only those cards are spread and copied.
     ``watchlist_event_time`` can name the ingestion time instead, so that old
     entries arriving late are not dropped by the watermark.
     """
@@ -106,7 +109,8 @@ def watchlist_matches(txns: DataFrame, watchlist: DataFrame, max_lag: str | None
     if max_lag:
         cond = (cond & (t["transaction_timestamp"] >= w["effective_from"])
                 & (t["transaction_timestamp"] <= w["effective_from"] + F.expr(f"INTERVAL {max_lag}")))
-    return salted_stream_join(t, w, cond, "transaction_id", salt_buckets)
+    return salted_stream_join(t, w, cond, "transaction_id", salt_buckets, hot_keys=hot_cards,
+                              big_key=F.upper(t["card_number"]), small_key="entity_id")
 
 
 def enrich_matches(matches: DataFrame, customers: DataFrame, now: Column | None = None,

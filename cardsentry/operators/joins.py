@@ -77,16 +77,32 @@ def dimension_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "left",
 
 
 def salted_stream_join(big: DataFrame, small: DataFrame, condition: Column,
-                       big_row_id: str, buckets: int = 1, how: str = "inner") -> DataFrame:
+                       big_row_id: str, buckets: int = 1, how: str = "inner",
+                       hot_keys: DataFrame | None = None, big_key: Column | None = None,
+                       small_key: str | None = None) -> DataFrame:
     """``big JOIN small ON condition`` with the key split over ``buckets``.
 
     ``condition`` must contain the equality on the (hot) key; the sub-key is
     added to it.  The sub-key of a ``big`` row is a hash of ``big_row_id``, so
-    replays put the row in the same place.
+    replays put the row in the same place.  With ``hot_keys`` (one column,
+    bounded; ``big_key``/``small_key`` give the key on each side) only those
+    keys are split: other rows keep sub-key 0 and are not copied.
     """
     if buckets <= 1:
         return big.join(small, condition, how)
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(F.col(big_row_id)), F.lit(buckets)).cast("int"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    spread = F.pmod(F.xxhash64(F.col(big_row_id)), F.lit(buckets)).cast("int")
+    copies = F.sequence(F.lit(0), F.lit(buckets - 1))
+    if hot_keys is None:
+        b = big.withColumn("_salt", spread)
+        s = small.withColumn("_salt", F.explode(copies))
+    else:
+        hot = F.broadcast(hot_keys.select(F.col(hot_keys.columns[0]).alias("_hot_key")).distinct()
+                          .withColumn("_is_hot", F.lit(True)))
+        b = (big.join(hot, big_key == hot["_hot_key"], "left")
+             .withColumn("_salt", F.when(F.col("_is_hot"), spread).otherwise(F.lit(0)))
+             .drop("_hot_key", "_is_hot"))
+        s = (small.join(hot, F.col(small_key) == hot["_hot_key"], "left")
+             .withColumn("_salt", F.explode(F.when(F.col("_is_hot"), copies).otherwise(F.array(F.lit(0)))))
+             .drop("_hot_key", "_is_hot"))
     joined = b.join(s, condition & (b["_salt"] == s["_salt"]), how)
     return joined.drop(b["_salt"]).drop(s["_salt"])

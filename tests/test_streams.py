@@ -188,3 +188,9 @@ def test_table_backed_matcher_replay(spark, tmp_dir):
     m(batch, 0)                                  # the same micro-batch again
     assert sorted((r.transaction_id, r.watchlist_id) for r in m.matches(spark).collect()) == [("T1", "W1")]
     assert spark.read.parquet(m.tx_path).count() == 3
+
+
+def test_salted_join_hot_cards_only(spark, tmp_dir):
+    hot = spark.createDataFrame([("C1",)], "card string")
+    pairs, _ = run_join_steps(spark, tmp_dir, salt_buckets=4, hot_cards=hot)
+    assert pairs == [("T0", "W3"), ("T0", "W4"), ("T1", "W1"), ("T3", "W1")]
