@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 import math
 
 from cardsentry.operators.alerts import enrich_matches, fraud_card_alerts, high_value_alerts, watchlist_matches
-from cardsentry.operators.joins import BROADCAST_LIMIT_BYTES, estimated_bytes
+from cardsentry.operators.joins import BROADCAST_LIMIT_BYTES, estimated_bytes, heavy_hitters
 from cardsentry.operators.layers import (CUSTOMER_EXPECTATIONS, CUSTOMER_OBSERVATION,
                                          TRANSACTION_EXPECTATIONS, TRANSACTION_OBSERVATION,
                                          WATCHLIST_EXPECTATIONS, WATCHLIST_OBSERVATION,
@@ -142,7 +142,8 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
               processing_time: str | None = None, fraud_options: dict | None = None,
               notifications: bool = True, dimension_buckets: int | str | None = "auto",
               hot_customers: DataFrame | None = None, watchlist_join: str = "state",
-              card_buckets: int = 64) -> dict:
+              card_buckets: int = 64, hot_share: float | None = None,
+              hot_salt_buckets: int = 8) -> dict:
     """Start (or run to completion) every flow of the graph; returns the
     streaming queries by table name.
 
@@ -154,6 +155,10 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     every transaction unless ``fraud_options["max_lag"]`` bounds it);
     ``"tables"`` -- the same pairs from ``WatchlistMatcher``, with the
     history in tables laid out by card bucket (``card_buckets``).
+    ``hot_share``: find the customers and cards holding at least that share of
+    the silver transactions (at most 1/share of each; written once as small
+    tables) and split them off: hot customers to a broadcast path, hot cards
+    over ``hot_salt_buckets`` sub-keys of the watchlist join.
     """
     queries = {}
 
@@ -174,6 +179,15 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     flow("bronze_transactions", bronze_transactions(kafka, now))
     flow("silver_transactions", silver_transactions(read("bronze_transactions"), now))
     flow("silver_customers", silver_customers(customers, now))
+    fraud_options = dict(fraud_options or {})
+    if hot_share:
+        history = spark.read.table(layout.table("silver_transactions"))
+        heavy_hitters(history, "customer_id", hot_share).write.mode("overwrite").parquet(layout.path("hot_customers"))
+        heavy_hitters(history.select(F.upper("card_number").alias("card")), "card", hot_share) \
+            .write.mode("overwrite").parquet(layout.path("hot_cards"))
+        hot_customers = spark.read.parquet(layout.path("hot_customers"))
+        fraud_options.setdefault("hot_cards", spark.read.parquet(layout.path("hot_cards")))
+        fraud_options.setdefault("salt_buckets", hot_salt_buckets)
     flow("bronze_watchlist", stream_json_records(spark, watchlist_dir, WATCHLIST_RECORD, now))
     flow("silver_watchlist", silver_watchlist(read("bronze_watchlist"), now))
     if available_now:
@@ -192,12 +206,12 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     if watchlist_join == "tables":
         q, fraud_stream = _fraud_alerts_by_tables(
             spark, layout, dim_table, now, hot_customers, card_buckets,
-            (fraud_options or {}).get("max_lag"), available_now, processing_time)
+            fraud_options.get("max_lag"), available_now, processing_time)
         queries["fraud_card_alert"] = q
     else:
         flow("fraud_card_alert", fraud_card_alerts(read("silver_transactions"), read("silver_watchlist"),
                                                    dim, now, hot_customers=hot_customers,
-                                                   **(fraud_options or {})))
+                                                   **fraud_options))
     flow("transactions_count_by_min", tumbling_counts(read("silver_transactions")))
     flow("transactions_count_by_min_sliding_window", sliding_counts(read("silver_transactions")))
     if notifications:

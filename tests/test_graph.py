@@ -75,3 +75,18 @@ def test_dimension_layout_auto(spark, tmp_dir, monkeypatch):
     assert graph.dimension_layout(spark, "dim_layout_test", 16) == 16
     monkeypatch.setattr(graph, "BROADCAST_LIMIT_BYTES", 0)                        # as if too large
     assert graph.dimension_layout(spark, "dim_layout_test", "auto") == 8
+
+
+def test_graph_with_hot_keys(spark):
+    run = Run(spark, "graph_hot")
+    src = DriverTables(spark, SF_SMALL)
+    layout = Layout(run.root, prefix="graph_hot")
+    run_graph(spark, layout, C.kafka_stream(src), D.customer_records(src.stream("customer"), src.table("nation")),
+              C.watchlist_feed(run, src), notifications=False, hot_share=0.08)
+    assert spark.read.parquet(layout.path("hot_cards")).count() > 0      # sf0.001: 15 users, some hot
+    direct_fraud = C.q_fraud_card_alert(spark, SF_SMALL)
+    fraud = C.comparable(spark.table(layout.table("fraud_card_alert"))).select(*direct_fraud.columns)
+    assert sorted(map(tuple, fraud.collect())) == sorted(map(tuple, direct_fraud.collect()))
+    direct_hv = C.q_high_value_alert(spark, SF_SMALL)
+    hv = C.comparable(spark.table(layout.table("high_value_transaction_alert"))).select(*direct_hv.columns)
+    assert sorted(map(tuple, hv.collect())) == sorted(map(tuple, direct_hv.collect()))
