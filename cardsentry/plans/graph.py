@@ -141,7 +141,7 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
               watchlist_dir: str, available_now: bool = True, now: Column | None = None,
               processing_time: str | None = None, fraud_options: dict | None = None,
               notifications: bool = True, dimension_buckets: int | str | None = "auto",
-              hot_customers: DataFrame | None = None, watchlist_join: str = "state",
+              hot_customers: DataFrame | None = None, watchlist_join: str = "tables",
               card_buckets: int = 64, hot_share: float | None = None,
               hot_salt_buckets: int = 8) -> dict:
     """Start (or run to completion) every flow of the graph; returns the
@@ -151,10 +151,11 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     with that many buckets; ``"auto"`` does so only when it is too large to
     broadcast (with an available_now run); ``hot_customers``: a bounded set
     of customer ids split off to a broadcast path (see ``heavy_hitters``).
-    ``watchlist_join``: ``"state"`` -- the stream-stream join (its state holds
-    every transaction unless ``fraud_options["max_lag"]`` bounds it);
-    ``"tables"`` -- the same pairs from ``WatchlistMatcher``, with the
-    history in tables laid out by card bucket (``card_buckets``).
+    ``watchlist_join``: ``"tables"`` (default) -- the pairs of the unbounded
+    stream-stream join from ``WatchlistMatcher``, with the history in tables
+    laid out by card bucket (``card_buckets``), so no join state grows with
+    every transaction; ``"state"`` -- the stream-stream join itself (its state
+    holds every transaction unless ``fraud_options["max_lag"]`` bounds it).
     ``hot_share``: find the customers and cards holding at least that share of
     the silver transactions (at most 1/share of each; written once as small
     tables) and split them off: hot customers to a broadcast path, hot cards
