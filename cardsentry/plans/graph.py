@@ -34,7 +34,7 @@ from cardsentry.operators.notify import render_fraud, render_high_value
 from cardsentry.operators.windows import sliding_counts, tumbling_counts
 from cardsentry.schemas import WATCHLIST_RECORD
 from cardsentry.sources.files import stream_json_records
-from cardsentry.sources.tables import comment_on, write_bucketed
+from cardsentry.sources.tables import comment_on, overwrite_table, write_bucketed
 from cardsentry.streaming.matcher import WatchlistMatcher
 from cardsentry.streaming.metrics import record_quality
 from cardsentry.streaming.outbox import OutboxWriter
@@ -179,7 +179,12 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
 
     flow("bronze_transactions", bronze_transactions(kafka, now))
     flow("silver_transactions", silver_transactions(read("bronze_transactions"), now))
-    flow("silver_customers", silver_customers(customers, now))
+    if customers.isStreaming:
+        flow("silver_customers", silver_customers(customers, now))
+    else:
+        # a snapshot (e.g. a partitioned JDBC read): replace the table
+        overwrite_table(silver_customers(customers, now), layout.table("silver_customers"),
+                        path=layout.path("silver_customers"), fmt=layout.fmt)
     fraud_options = dict(fraud_options or {})
     if hot_share:
         history = spark.read.table(layout.table("silver_transactions"))

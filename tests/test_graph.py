@@ -90,3 +90,14 @@ def test_graph_with_hot_keys(spark):
     direct_hv = C.q_high_value_alert(spark, SF_SMALL)
     hv = C.comparable(spark.table(layout.table("high_value_transaction_alert"))).select(*direct_hv.columns)
     assert sorted(map(tuple, hv.collect())) == sorted(map(tuple, direct_hv.collect()))
+
+
+def test_graph_with_customer_snapshot(spark):
+    """Customers as a batch snapshot (as a JDBC read gives them)."""
+    run = Run(spark, "graph_snapshot")
+    src = DriverTables(spark, SF_SMALL)
+    layout = Layout(run.root, prefix="graph_snapshot")
+    run_graph(spark, layout, C.kafka_stream(src), D.customer_records(src.table("customer"), src.table("nation")),
+              C.watchlist_feed(run, src), notifications=False)
+    assert spark.table(layout.table("high_value_transaction_alert")).count() == \
+        C.q_high_value_alert(spark, SF_SMALL).count()
