@@ -14,6 +14,8 @@ TRANSACTION_EXPECTATIONS = [
     expect_or_drop("valid_customer_id", "customer_id IS NOT NULL"),
     expect_or_drop("valid_card_number", "card_number IS NOT NULL"),
     expect("valid_amount", "amount > 0"),
+    # counted only: the window counts lose such rows without a trace
+    expect("valid_event_time", "transaction_timestamp IS NOT NULL"),
 ]
 CUSTOMER_EXPECTATIONS = [
     expect_or_drop("valid_customer_id", "customer_id IS NOT NULL"),

@@ -242,7 +242,8 @@ def ALL() -> str:  # noqa: N802 - the three input views
 
 def _dq_counts() -> str:
     return with_ctes(tx_cte(), """flags AS (
-  SELECT event_id % 97 = 0 AS cut, customer_id IS NULL AS nocust, amount FROM tx)""") + """
+  SELECT event_id % 97 = 0 AS cut, customer_id IS NULL AS nocust, amount, transaction_timestamp AS ts
+  FROM tx)""") + """
 SELECT 'valid_transaction_id' AS expectation, 'drop' AS action,
   count(*) FILTER (WHERE NOT cut) AS passed_records, count(*) FILTER (WHERE cut) AS failed_records FROM flags
 UNION ALL SELECT 'valid_customer_id', 'drop', count(*) FILTER (WHERE NOT cut AND NOT nocust),
@@ -250,7 +251,9 @@ UNION ALL SELECT 'valid_customer_id', 'drop', count(*) FILTER (WHERE NOT cut AND
 UNION ALL SELECT 'valid_card_number', 'drop', count(*) FILTER (WHERE NOT cut),
   count(*) FILTER (WHERE cut) FROM flags
 UNION ALL SELECT 'valid_amount', 'warn', count(*) FILTER (WHERE NOT cut AND coalesce(amount > 0, false)),
-  count(*) FILTER (WHERE cut OR NOT coalesce(amount > 0, false)) FROM flags"""
+  count(*) FILTER (WHERE cut OR NOT coalesce(amount > 0, false)) FROM flags
+UNION ALL SELECT 'valid_event_time', 'warn', count(*) FILTER (WHERE NOT cut AND ts IS NOT NULL),
+  count(*) FILTER (WHERE cut OR ts IS NULL) FROM flags"""
 
 
 def _matches(bound=None) -> str:
