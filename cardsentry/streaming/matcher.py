@@ -105,31 +105,27 @@ class WatchlistMatcher:
         spark = batch.sparkSession
         k = F.lit(batch_id).cast("long")
         new = batch.withColumn("batch_id", k)
-        # 1. history first (read back below, with file-size statistics)
         tx_new = new.where(F.col("side") == "T").select("card_key", "t", "batch_id", "card_bucket")
         wl_new = new.where(F.col("side") == "W").select("card_key", "w", "batch_id", "card_bucket")
-        # rows of a bucket written together (few files); AQE splits a bucket
-        # that holds a hot card over several tasks instead of one
+        # 1. history: rows of a bucket written together (few files); AQE
+        # splits a bucket that holds a hot card over several tasks
         self._write(tx_new.hint("rebalance", "card_bucket"), self.tx_path, ["card_bucket", "batch_id"])
         self._write(wl_new.hint("rebalance", "card_bucket"), self.wl_path, ["card_bucket", "batch_id"])
         parts = []
-        t_k = self._read(spark, self.tx_path, f"card_bucket=*/batch_id={batch_id}")
+        # 2. new transactions (the persisted micro-batch) against every entry so far
         w_all = self._read(spark, self.wl_path, "card_bucket=*/batch_id=*")
-        w_k = self._read(spark, self.wl_path, f"card_bucket=*/batch_id={batch_id}")
-        # 2. new transactions against every entry so far
-        if t_k is not None and w_all is not None:
+        if w_all is not None:
             w_side = maybe_broadcast(w_all.where(F.col("batch_id") <= batch_id), self.broadcast_limit_bytes)
-            parts.append(self._pairs(t_k, w_side, (t_k["card_key"] == w_side["card_key"])
-                                     & self._time_bound(t_k, w_side)))
+            parts.append(self._pairs(tx_new, w_side, (tx_new["card_key"] == w_side["card_key"])
+                                     & self._time_bound(tx_new, w_side)))
         # 3. new entries against earlier transactions of their card buckets
-        if w_k is not None:
-            # at most card_buckets values
-            buckets = sorted(r[0] for r in w_k.select("card_bucket").distinct().collect())
+        buckets = sorted(r[0] for r in wl_new.select("card_bucket").distinct().collect())  # <= card_buckets
+        if buckets:
             t_old = self._read(spark, self.tx_path,
                                "card_bucket={" + ",".join(str(b) for b in buckets) + "}/batch_id=*")
             if t_old is not None:
                 t_old = t_old.where(F.col("batch_id") < batch_id)
-                w_new_side = maybe_broadcast(w_k, self.broadcast_limit_bytes)
+                w_new_side = maybe_broadcast(wl_new, self.broadcast_limit_bytes)
                 parts.append(self._pairs(t_old, w_new_side, (t_old["card_key"] == w_new_side["card_key"])
                                          & self._time_bound(t_old, w_new_side)))
         if not parts:
