@@ -61,12 +61,26 @@ QUALITY = {
 }
 
 
+# Event time of the tables that can be partitioned by day (``Layout.by_date``).
+EVENT_TIME = {
+    "bronze_transactions": "timestamp",
+    "silver_transactions": "transaction_timestamp",
+    "high_value_transaction_alert": "transaction_timestamp",
+    "fraud_card_alert": "transaction_timestamp",
+    "transactions_count_by_min": "window_start",
+    "transactions_count_by_min_sliding_window": "window_start",
+}
+
+
 @dataclass
 class Layout:
     root: str
     prefix: str = "fraud"
     fmt: str = "parquet"
     comments: dict = field(default_factory=lambda: dict(TABLE_COMMENTS))
+    # Add ``event_date`` to the tables of EVENT_TIME and partition them by it,
+    # so that reads filtered by day only list and read those days.
+    by_date: bool = False
 
     def table(self, name: str) -> str:
         return f"{self.prefix}_{name}"
@@ -164,9 +178,14 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     queries = {}
 
     def flow(name: str, df: DataFrame) -> None:
+        partition_by = None
+        if layout.by_date and name in EVENT_TIME:
+            df = df.withColumn("event_date", F.to_date(EVENT_TIME[name]))
+            partition_by = ["event_date"]
         q = stream_to_table(df, layout.table(name), layout.checkpoint(name), fmt=layout.fmt,
                             path=layout.path(name), available_now=available_now,
-                            processing_time=processing_time, query_name=layout.table(name))
+                            processing_time=processing_time, partition_by=partition_by,
+                            query_name=layout.table(name))
         queries[name] = finish(q) if available_now else q
         if available_now and name in layout.comments:
             comment_on(spark, layout.table(name), layout.comments[name])

@@ -101,3 +101,17 @@ def test_graph_with_customer_snapshot(spark):
               C.watchlist_feed(run, src), notifications=False)
     assert spark.table(layout.table("high_value_transaction_alert")).count() == \
         C.q_high_value_alert(spark, SF_SMALL).count()
+
+
+def test_graph_partitioned_by_date(spark):
+    run = Run(spark, "graph_dates")
+    src = DriverTables(spark, SF_SMALL)
+    layout = Layout(run.root, prefix="graph_dates", by_date=True)
+    run_graph(spark, layout, C.kafka_stream(src), D.customer_records(src.stream("customer"), src.table("nation")),
+              C.watchlist_feed(run, src), notifications=False, watchlist_join="state")
+    silver = spark.table(layout.table("silver_transactions"))
+    day = silver.where("event_date = DATE'2024-01-02'")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert day.count() == silver.where("to_date(transaction_timestamp) = DATE'2024-01-02'").count() > 0
+    assert "event_date" in spark.table(layout.table("fraud_card_alert")).columns
