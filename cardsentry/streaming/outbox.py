@@ -42,7 +42,13 @@ class OutboxWriter:
             if not days:
                 return
             existing = self._existing(spark, batch_id, days)
-            fresh = rows if existing is None else rows.join(existing, ["alert_date", "alert_id"], "left_anti")
+            if existing is None:
+                fresh = rows
+            else:
+                # alerts without event time have no day: compare days NULL-safe
+                same = (rows["alert_id"] == existing["alert_id"]) & \
+                    rows["alert_date"].eqNullSafe(existing["alert_date"])
+                fresh = rows.join(existing, same, "left_anti")
             (fresh.hint("rebalance", "alert_date").write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy("alert_date", "batch_id").parquet(self.path))

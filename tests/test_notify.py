@@ -47,3 +47,14 @@ def test_outbox_one_row_per_alert_and_replay(spark, tmp_dir):
     assert rows == {"A1": (0, "ready"), "A2": (0, "no_recipient"), "A3": (1, "no_recipient")}
     summary = {r.batch_id: (r.alerts, r.ready, r.no_recipient) for r in batch_summary(out).collect()}
     assert summary == {0: (2, 1, 1), 1: (1, 0, 1)}
+
+
+def test_outbox_alert_without_event_time(spark, tmp_dir):
+    path = f"{tmp_dir}/outbox"
+    sink = OutboxWriter(path, render_fraud)
+    row = list(alert("N1", "x@example.com"))
+    row[18] = None                                   # transaction_timestamp
+    sink(spark.createDataFrame([tuple(row)], ALERT_COLUMNS), 0)
+    sink(spark.createDataFrame([tuple(row)], ALERT_COLUMNS), 1)    # the same alert again, later batch
+    out = spark.read.parquet(path)
+    assert [(r.alert_id, r.batch_id, r.alert_date) for r in out.collect()] == [("N1", 0, None)]
