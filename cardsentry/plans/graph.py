@@ -37,6 +37,7 @@ from cardsentry.sources.files import stream_json_records
 from cardsentry.sources.tables import comment_on, overwrite_table, write_bucketed
 from cardsentry.streaming.matcher import WatchlistMatcher
 from cardsentry.streaming.metrics import record_quality
+from cardsentry.streaming.refresh import RefreshingJoinWriter
 from cardsentry.streaming.outbox import OutboxWriter
 from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_table
 
@@ -103,6 +104,37 @@ def publish_customer_dimension(spark: SparkSession, layout: Layout, buckets: int
     return spark.read.table(name)
 
 
+def _register(spark: SparkSession, layout: Layout, name: str) -> None:
+    """Make a folder written by ``foreachBatch`` (partitioned by batch_id)
+    queryable as a named table, with the batches written so far."""
+    table = layout.table(name)
+    try:
+        if not spark.catalog.tableExists(table):
+            spark.catalog.createTable(table, path=layout.path(name), source=layout.fmt)
+        spark.catalog.recoverPartitions(table)
+    except AnalysisException:       # nothing written yet
+        pass
+
+
+def _high_value_refreshing(spark: SparkSession, layout: Layout, dim_table: str, now, hot_customers,
+                           available_now: bool, processing_time: str | None):
+    """``high_value_transaction_alert`` joined per micro-batch with the
+    freshly refreshed dimension (for long-running jobs)."""
+    name = "high_value_transaction_alert"
+    sink = RefreshingJoinWriter(dim_table, lambda b, d: high_value_alerts(b, d, now, hot_customers=hot_customers),
+                                layout.path(name))
+    q = stream_foreach_batch(spark.readStream.table(layout.table("silver_transactions")), sink,
+                             layout.checkpoint(name), available_now=available_now,
+                             processing_time=processing_time, query_name=layout.table(name))
+    if available_now:
+        finish(q)
+        _register(spark, layout, name)
+    empty = spark.read.table(layout.table("silver_transactions")).limit(0)
+    schema = high_value_alerts(empty, spark.read.table(dim_table), now) \
+        .withColumn("batch_id", F.lit(0).cast("long")).schema
+    return q, spark.readStream.schema(schema).format(layout.fmt).load(layout.path(name))
+
+
 def _fraud_alerts_by_tables(spark: SparkSession, layout: Layout, dim_table: str, now, hot_customers,
                             card_buckets: int, max_lag: str | None, available_now: bool,
                             processing_time: str | None):
@@ -122,13 +154,7 @@ def _fraud_alerts_by_tables(spark: SparkSession, layout: Layout, dim_table: str,
     q = matcher.start(txns, wl, layout.checkpoint("fraud_card_alert"), available_now, processing_time)
     if available_now:
         finish(q)
-        name = layout.table("fraud_card_alert")
-        try:
-            if not spark.catalog.tableExists(name):
-                spark.catalog.createTable(name, path=path, source=layout.fmt)
-            spark.catalog.recoverPartitions(name)      # the batch_id folders written so far
-        except AnalysisException:       # no alert written yet
-            pass
+        _register(spark, layout, "fraud_card_alert")
     # Layout of the alerts (analysis only, nothing runs).
     empty = watchlist_matches(spark.read.table(layout.table("silver_transactions")).limit(0),
                               spark.read.table(layout.table("silver_watchlist")).limit(0), watermark=None)
@@ -157,7 +183,7 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
               notifications: bool = True, dimension_buckets: int | str | None = "auto",
               hot_customers: DataFrame | None = None, watchlist_join: str = "tables",
               card_buckets: int = 64, hot_share: float | None = None,
-              hot_salt_buckets: int = 8) -> dict:
+              hot_salt_buckets: int = 8, refresh_dimension: bool = False) -> dict:
     """Start (or run to completion) every flow of the graph; returns the
     streaming queries by table name.
 
@@ -174,6 +200,9 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     the silver transactions (at most 1/share of each; written once as small
     tables) and split them off: hot customers to a broadcast path, hot cards
     over ``hot_salt_buckets`` sub-keys of the watchlist join.
+    ``refresh_dimension``: join high-value alerts with the customer dimension
+    refreshed for every micro-batch (a long-running job then sees updates
+    written by other jobs); the tables-mode watchlist join always does.
     """
     queries = {}
 
@@ -225,11 +254,16 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
     else:
         dim_table = layout.table("silver_customers")
         dim = spark.read.table(dim_table)
-    flow("high_value_transaction_alert", high_value_alerts(read("silver_transactions"), dim, now,
-                                                           hot_customers=hot_customers))
-    fraud_stream = None
+    streams = {}
+    if refresh_dimension:
+        q, streams["high_value_transaction_alert"] = _high_value_refreshing(
+            spark, layout, dim_table, now, hot_customers, available_now, processing_time)
+        queries["high_value_transaction_alert"] = q
+    else:
+        flow("high_value_transaction_alert", high_value_alerts(read("silver_transactions"), dim, now,
+                                                               hot_customers=hot_customers))
     if watchlist_join == "tables":
-        q, fraud_stream = _fraud_alerts_by_tables(
+        q, streams["fraud_card_alert"] = _fraud_alerts_by_tables(
             spark, layout, dim_table, now, hot_customers, card_buckets,
             fraud_options.get("max_lag"), available_now, processing_time)
         queries["fraud_card_alert"] = q
@@ -243,7 +277,7 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
         for name, render in (("high_value_transaction_alert", render_high_value),
                              ("fraud_card_alert", render_fraud)):
             sink = OutboxWriter(layout.path(f"{name}_outbox"), render)
-            source = fraud_stream if (name == "fraud_card_alert" and fraud_stream is not None) else read(name)
+            source = streams.get(name) or read(name)
             q = stream_foreach_batch(source, sink, layout.checkpoint(f"{name}_outbox"),
                                      available_now=available_now, processing_time=processing_time,
                                      query_name=layout.table(f"{name}_outbox"))

@@ -115,3 +115,16 @@ def test_graph_partitioned_by_date(spark):
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert day.count() == silver.where("to_date(transaction_timestamp) = DATE'2024-01-02'").count() > 0
     assert "event_date" in spark.table(layout.table("fraud_card_alert")).columns
+
+
+def test_graph_refreshing_dimension(spark):
+    run = Run(spark, "graph_refresh")
+    src = DriverTables(spark, SF_SMALL)
+    layout = Layout(run.root, prefix="graph_refresh")
+    run_graph(spark, layout, C.kafka_stream(src), D.customer_records(src.stream("customer"), src.table("nation")),
+              C.watchlist_feed(run, src), refresh_dimension=True)
+    direct = C.q_high_value_alert(spark, SF_SMALL)
+    hv = C.comparable(spark.table(layout.table("high_value_transaction_alert"))).select(*direct.columns)
+    assert sorted(map(tuple, hv.collect())) == sorted(map(tuple, direct.collect()))
+    outbox = spark.read.parquet(layout.path("high_value_transaction_alert_outbox"))
+    assert outbox.count() == direct.count()

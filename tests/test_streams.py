@@ -194,3 +194,34 @@ def test_salted_join_hot_cards_only(spark, tmp_dir):
     hot = spark.createDataFrame([("C1",)], "card string")
     pairs, _ = run_join_steps(spark, tmp_dir, salt_buckets=4, hot_cards=hot)
     assert pairs == [("T0", "W3"), ("T0", "W4"), ("T1", "W1"), ("T3", "W1")]
+
+
+def test_refreshing_join_sees_dimension_updates(spark, tmp_dir):
+    """A dimension rewritten by another job while the stream runs: the
+    refreshing writer uses the new limits from the next micro-batch on."""
+    from cardsentry.operators.alerts import high_value_alerts
+    from cardsentry.streaming.refresh import RefreshingJoinWriter
+    from cardsentry.streaming.sinks import stream_foreach_batch
+    dim_cols = "customer_id string, transaction_limit double, email string, first_name string, last_name string"
+    spark.createDataFrame([("c", 100.0, "c@x", "A", "B")], dim_cols).write.parquet(f"{tmp_dir}/dim")
+    spark.catalog.createTable("refresh_dim_test", path=f"{tmp_dir}/dim", source="parquet")
+
+    def drop(i, amount):
+        row = tx_row(f"T{i}", "K", t(10, i))
+        row = tuple(amount if f.name == "amount" else v for f, v in zip(TRANSACTION_PAYLOAD.fields, row))
+        spark.createDataFrame([row], TRANSACTION_PAYLOAD).write.mode("append").parquet(f"{tmp_dir}/in/d={i}")
+
+    drop(0, 50.0)
+    stream = spark.readStream.schema(TRANSACTION_PAYLOAD).parquet(f"{tmp_dir}/in")
+    sink = RefreshingJoinWriter("refresh_dim_test", lambda b, d: high_value_alerts(b, d), f"{tmp_dir}/out")
+    q = stream_foreach_batch(stream, sink, f"{tmp_dir}/ck", available_now=False, processing_time="100 milliseconds")
+    try:
+        q.processAllAvailable()
+        # another job lowers the limit
+        spark.createDataFrame([("c", 10.0, "c@x", "A", "B")], dim_cols).write.mode("overwrite").parquet(f"{tmp_dir}/dim")
+        drop(1, 50.0)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.transaction_id, r.transaction_limit) for r in spark.read.parquet(f"{tmp_dir}/out").collect())
+    assert got == [("T1", 10.0)]
