@@ -277,7 +277,7 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
         for name, render in (("high_value_transaction_alert", render_high_value),
                              ("fraud_card_alert", render_fraud)):
             sink = OutboxWriter(layout.path(f"{name}_outbox"), render)
-            source = streams.get(name) or read(name)
+            source = streams[name] if name in streams else read(name)
             q = stream_foreach_batch(source, sink, layout.checkpoint(f"{name}_outbox"),
                                      available_now=available_now, processing_time=processing_time,
                                      query_name=layout.table(f"{name}_outbox"))
