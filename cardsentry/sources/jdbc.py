@@ -10,11 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_jdbc_table(spark: SparkSession, url: str, table: str, user: str | None = None,
-                    password: str | None = None, partition_column: str | None = None,
-                    lower_bound: int | None = None, upper_bound: int | None = None,
-                    num_partitions: int = 8, fetch_size: int = 10_000,
-                    driver: str | None = None) -> DataFrame:
+def _props(user, password, driver, fetch_size) -> dict:
     props = {"fetchsize": str(fetch_size)}
     if user is not None:
         props["user"] = user
@@ -22,6 +18,30 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, user: str | None
         props["password"] = password
     if driver:
         props["driver"] = driver
+    return props
+
+
+def column_bounds(spark: SparkSession, url: str, table: str, column: str, props: dict) -> tuple:
+    """``min`` and ``max`` of ``column``, computed by the database (one row)."""
+    query = f"(SELECT min({column}) AS lo, max({column}) AS hi FROM {table}) bounds"
+    row = spark.read.jdbc(url, query, properties=props).first()
+    return row["lo"], row["hi"]
+
+
+def read_jdbc_table(spark: SparkSession, url: str, table: str, user: str | None = None,
+                    password: str | None = None, partition_column: str | None = None,
+                    lower_bound: int | None = None, upper_bound: int | None = None,
+                    num_partitions: int = 8, fetch_size: int = 10_000,
+                    driver: str | None = None) -> DataFrame:
+    """Read ``table``; with ``partition_column`` in ``num_partitions`` range
+    queries.  Bounds left out are taken from the data (``column_bounds``)."""
+    props = _props(user, password, driver, fetch_size)
+    if partition_column is not None and (lower_bound is None or upper_bound is None):
+        lo, hi = column_bounds(spark, url, table, partition_column, props)
+        lower_bound = lo if lower_bound is None else lower_bound
+        upper_bound = hi if upper_bound is None else upper_bound
+        if lower_bound is None:              # empty table
+            partition_column = None
     if partition_column is None:
         return spark.read.jdbc(url, table, properties=props)
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,

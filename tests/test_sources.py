@@ -70,3 +70,24 @@ def test_stream_with_stored_schema(spark, tmp_dir):
     finish(stream_to_path(stream, f"{tmp_dir}/bronze", f"{tmp_dir}/ck"))
     got = {r.watchlist_id: (r.risk, r._rescued_data) for r in spark.read.parquet(f"{tmp_dir}/bronze").collect()}
     assert got == {"W1": ("high", None), "W2": ("low", '{"extra":"1"}')}
+
+
+def test_jdbc_partitioned_read_arguments():
+    """No database may be started here: check the calls with a stand-in reader."""
+    from types import SimpleNamespace
+
+    from cardsentry.sources.jdbc import read_jdbc_table
+    calls = []
+
+    class Reader:
+        def jdbc(self, url, table, column=None, lowerBound=None, upperBound=None, numPartitions=None,
+                 properties=None):
+            calls.append((table, column, lowerBound, upperBound, numPartitions, dict(properties)))
+            return SimpleNamespace(first=lambda: {"lo": 5, "hi": 905})
+
+    fake = SimpleNamespace(read=Reader())
+    read_jdbc_table(fake, "jdbc:x", "customers", user="u", password="p", partition_column="id",
+                    num_partitions=16)
+    assert calls[0][0].startswith("(SELECT min(id) AS lo, max(id) AS hi FROM customers)")
+    assert calls[1][:5] == ("customers", "id", 5, 905, 16)
+    assert calls[1][5] == {"fetchsize": "10000", "user": "u", "password": "p"}
