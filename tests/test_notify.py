@@ -58,3 +58,23 @@ def test_outbox_alert_without_event_time(spark, tmp_dir):
     sink(spark.createDataFrame([tuple(row)], ALERT_COLUMNS), 1)    # the same alert again, later batch
     out = spark.read.parquet(path)
     assert [(r.alert_id, r.batch_id, r.alert_date) for r in out.collect()] == [("N1", 0, None)]
+
+
+def test_delivery_counts_and_rerun(spark, tmp_dir):
+    from cardsentry.streaming.delivery import deliver, delivery_summary
+
+    def flaky_send(recipient, subject, body):      # runs on the executors
+        if recipient.startswith("bounce"):
+            raise RuntimeError("mailbox unavailable")
+
+    path = f"{tmp_dir}/outbox"
+    OutboxWriter(path, render_fraud)(spark.createDataFrame(
+        [alert("A1", "x@example.com"), alert("A2", "bounce@example.com"), alert("A3", None)], ALERT_COLUMNS), 0)
+    outbox = spark.read.parquet(path)
+    first = deliver(outbox, flaky_send, f"{tmp_dir}/log", "r1")
+    assert {(r.alert_id, r.delivered) for r in first.collect()} == {("A1", True), ("A2", False)}
+    second = deliver(outbox, flaky_send, f"{tmp_dir}/log", "r2")     # A1 not sent again, A2 retried
+    assert {(r.alert_id, r.delivered) for r in second.collect()} == {("A2", False)}
+    summary = {r.run_id: (r.attempted, r.sent, r.failed)
+               for r in delivery_summary(spark.read.parquet(f"{tmp_dir}/log")).collect()}
+    assert summary == {"r1": (2, 1, 1), "r2": (1, 0, 1)}
