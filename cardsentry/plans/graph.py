@@ -82,6 +82,10 @@ class Layout:
     # Add ``event_date`` to the tables of EVENT_TIME and partition them by it,
     # so that reads filtered by day only list and read those days.
     by_date: bool = False
+    # Upper bound of new files per micro-batch for every flow that reads a
+    # table or the watchlist folder: a backlog (say, after an outage) is then
+    # worked off in bounded micro-batches instead of one huge one.
+    max_files_per_trigger: int | None = None
 
     def table(self, name: str) -> str:
         return f"{self.prefix}_{name}"
@@ -92,6 +96,12 @@ class Layout:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    def read_stream(self, spark: SparkSession, name: str) -> DataFrame:
+        reader = spark.readStream
+        if self.max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
+        return reader.table(self.table(name))
+
 
 def publish_customer_dimension(spark: SparkSession, layout: Layout, buckets: int) -> DataFrame:
     """Batch step: latest row per customer from ``silver_customers``, written
@@ -123,7 +133,7 @@ def _high_value_refreshing(spark: SparkSession, layout: Layout, dim_table: str,
     name = "high_value_transaction_alert"
     sink = RefreshingJoinWriter(dim_table, lambda b, d: high_value_alerts(b, d, now, hot_customers=hot_customers),
                                 layout.path(name))
-    q = stream_foreach_batch(spark.readStream.table(layout.table("silver_transactions")), sink,
+    q = stream_foreach_batch(layout.read_stream(spark, "silver_transactions"), sink,
                              layout.checkpoint(name), available_now=available_now,
                              processing_time=processing_time, query_name=layout.table(name))
     if available_now:
@@ -149,8 +159,8 @@ def _fraud_alerts_by_tables(spark: SparkSession, layout: Layout, dim_table: str,
     path = layout.path("fraud_card_alert")
     matcher = WatchlistMatcher(layout.path("watchlist_matcher"), card_buckets=card_buckets,
                                max_lag=max_lag, transform=enrich, out_path=path)
-    txns = spark.readStream.table(layout.table("silver_transactions"))
-    wl = spark.readStream.table(layout.table("silver_watchlist"))
+    txns = layout.read_stream(spark, "silver_transactions")
+    wl = layout.read_stream(spark, "silver_watchlist")
     q = matcher.start(txns, wl, layout.checkpoint("fraud_card_alert"), available_now, processing_time)
     if available_now:
         finish(q)
@@ -223,7 +233,7 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
             record_quality(spark, q, observation, name, rules, layout.path("dq_metrics"))
 
     def read(name: str) -> DataFrame:
-        return spark.readStream.table(layout.table(name))
+        return layout.read_stream(spark, name)
 
     flow("bronze_transactions", bronze_transactions(kafka, now))
     flow("silver_transactions", silver_transactions(read("bronze_transactions"), now))
@@ -242,7 +252,8 @@ def run_graph(spark: SparkSession, layout: Layout, kafka: DataFrame, customers:
         hot_customers = spark.read.parquet(layout.path("hot_customers"))
         fraud_options.setdefault("hot_cards", spark.read.parquet(layout.path("hot_cards")))
         fraud_options.setdefault("salt_buckets", hot_salt_buckets)
-    flow("bronze_watchlist", stream_json_records(spark, watchlist_dir, WATCHLIST_RECORD, now))
+    flow("bronze_watchlist", stream_json_records(spark, watchlist_dir, WATCHLIST_RECORD, now,
+                                                 max_files_per_trigger=layout.max_files_per_trigger))
     flow("silver_watchlist", silver_watchlist(read("bronze_watchlist"), now))
     if available_now:
         dimension_buckets = dimension_layout(spark, layout.table("silver_customers"), dimension_buckets)
