@@ -9,8 +9,9 @@ needs.
 
 One streaming query reads both inputs (a union), and every micro-batch ``k``:
 
-1. appends its transactions ``T_k`` and entries ``W_k`` to the history tables,
-   in folders ``card_bucket=<hash of the card>/batch_id=<k>``;
+1. appends its transactions ``T_k`` to the transaction history, in folders
+   ``card_bucket=<hash of the card>/batch_id=<k>``, and its entries ``W_k``
+   to the watchlist history, in folders ``batch_id=<k>``;
 2. emits ``T_k JOIN W(batch <= k)`` -- new transactions against all entries;
 3. emits ``W_k JOIN T(batch < k)`` -- new entries against earlier transactions,
    reading only the folders of the card buckets of the (few) new entries (a
@@ -110,10 +111,12 @@ class WatchlistMatcher:
         # 1. history: rows of a bucket written together (few files); AQE
         # splits a bucket that holds a hot card over several tasks
         self._write(tx_new.hint("rebalance", "card_bucket"), self.tx_path, ["card_bucket", "batch_id"])
-        self._write(wl_new.hint("rebalance", "card_bucket"), self.wl_path, ["card_bucket", "batch_id"])
+        # the watchlist is always read whole: folders by batch only (a batch
+        # without new entries adds none)
+        self._write(wl_new.hint("rebalance", "card_bucket"), self.wl_path, ["batch_id"])
         parts = []
         # 2. new transactions (the persisted micro-batch) against every entry so far
-        w_all = self._read(spark, self.wl_path, "card_bucket=*/batch_id=*")
+        w_all = self._read(spark, self.wl_path, "batch_id=*")
         if w_all is not None:
             w_side = maybe_broadcast(w_all.where(F.col("batch_id") <= batch_id), self.broadcast_limit_bytes)
             parts.append(self._pairs(tx_new, w_side, (tx_new["card_key"] == w_side["card_key"])
