@@ -56,11 +56,15 @@ RUNTIME_CONF = {
 
 def build_session(master: str | None = None, app_name: str = "cardsentry",
                   shuffle_partitions: int | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
+                  conf: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """Session with the library's settings; ``cluster=True`` adds the sizing
+    of ``CLUSTER_CONF`` (explicit ``shuffle_partitions`` / ``conf`` win)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if cluster:
+        settings.update(CLUSTER_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
