@@ -151,14 +151,18 @@ def _fraud_alerts_by_tables(spark: SparkSession, layout: Layout, dim_table: str,
     """``fraud_card_alert`` from the table-backed matcher.  Each micro-batch
     re-reads the customer dimension (after a refresh), so a long-running job
     sees its updates."""
+    by_date = layout.by_date and "fraud_card_alert" in EVENT_TIME
+
     def enrich(pairs: DataFrame) -> DataFrame:
         s = pairs.sparkSession
         s.catalog.refreshTable(dim_table)
-        return enrich_matches(pairs, s.read.table(dim_table), now, hot_customers=hot_customers)
+        out = enrich_matches(pairs, s.read.table(dim_table), now, hot_customers=hot_customers)
+        return out.withColumn("event_date", F.to_date(EVENT_TIME["fraud_card_alert"])) if by_date else out
 
     path = layout.path("fraud_card_alert")
     matcher = WatchlistMatcher(layout.path("watchlist_matcher"), card_buckets=card_buckets,
-                               max_lag=max_lag, transform=enrich, out_path=path)
+                               max_lag=max_lag, transform=enrich, out_path=path,
+                               out_partition_by=["event_date"] if by_date else None)
     txns = layout.read_stream(spark, "silver_transactions")
     wl = layout.read_stream(spark, "silver_watchlist")
     q = matcher.start(txns, wl, layout.checkpoint("fraud_card_alert"), available_now, processing_time)
@@ -168,9 +172,10 @@ def _fraud_alerts_by_tables(spark: SparkSession, layout: Layout, dim_table: str,
     # Layout of the alerts (analysis only, nothing runs).
     empty = watchlist_matches(spark.read.table(layout.table("silver_transactions")).limit(0),
                               spark.read.table(layout.table("silver_watchlist")).limit(0), watermark=None)
-    schema = enrich_matches(empty, spark.read.table(dim_table), now) \
-        .withColumn("batch_id", F.lit(0).cast("long")).schema
-    return q, spark.readStream.schema(schema).format(layout.fmt).load(path)
+    sample = enrich_matches(empty, spark.read.table(dim_table), now).withColumn("batch_id", F.lit(0).cast("long"))
+    if by_date:
+        sample = sample.withColumn("event_date", F.to_date(EVENT_TIME["fraud_card_alert"]))
+    return q, spark.readStream.schema(sample.schema).format(layout.fmt).load(path)
 
 
 BUCKET_BYTES = 128 * 1024 * 1024     # target size of one dimension bucket

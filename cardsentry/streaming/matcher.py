@@ -41,7 +41,7 @@ class WatchlistMatcher:
 
     def __init__(self, root: str, card_buckets: int = 64, max_lag: str | None = None,
                  broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
-                 transform=None, out_path: str | None = None):
+                 transform=None, out_path: str | None = None, out_partition_by: list[str] | None = None):
         self.root = root
         self.card_buckets = card_buckets
         self.max_lag = max_lag
@@ -50,6 +50,8 @@ class WatchlistMatcher:
         self.tx_path = f"{root}/transaction_history"
         self.wl_path = f"{root}/watchlist_history"
         self.out_path = out_path or f"{root}/matches"
+        # output folders: batch_id first (a replay rewrites its own), then these
+        self.out_partition_by = ["batch_id"] + list(out_partition_by or [])
 
     # -- input ------------------------------------------------------------
 
@@ -136,7 +138,7 @@ class WatchlistMatcher:
         out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         if self.transform is not None:
             out = self.transform(out)
-        self._write(out.withColumn("batch_id", k), self.out_path, ["batch_id"])
+        self._write(out.withColumn("batch_id", k), self.out_path, self.out_partition_by)
 
     # -- wiring ---------------------------------------------------------------
 

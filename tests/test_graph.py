@@ -108,13 +108,16 @@ def test_graph_partitioned_by_date(spark):
     src = DriverTables(spark, SF_SMALL)
     layout = Layout(run.root, prefix="graph_dates", by_date=True)
     run_graph(spark, layout, C.kafka_stream(src), D.customer_records(src.stream("customer"), src.table("nation")),
-              C.watchlist_feed(run, src), notifications=False, watchlist_join="state")
+              C.watchlist_feed(run, src))
     silver = spark.table(layout.table("silver_transactions"))
     day = silver.where("event_date = DATE'2024-01-02'")
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert day.count() == silver.where("to_date(transaction_timestamp) = DATE'2024-01-02'").count() > 0
-    assert "event_date" in spark.table(layout.table("fraud_card_alert")).columns
+    fraud = spark.table(layout.table("fraud_card_alert"))
+    assert "event_date" in fraud.columns and fraud.count() == C.q_fraud_card_alert(spark, SF_SMALL).count()
+    outbox = spark.read.parquet(layout.path("fraud_card_alert_outbox"))
+    assert outbox.count() == fraud.count()
 
 
 def test_graph_refreshing_dimension(spark):
