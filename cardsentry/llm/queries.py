@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op3_mixing, op6_secrets, op8_topk, op10_warc
+from . import op2_toxicity, op3_mixing, op6_secrets, op8_topk, op9_decontamination, op10_warc
 from .common import table
 
 
+def op2_toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op2_toxicity.classify(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", op2_toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= op2_toxicity.THRESHOLD).cast("int").alias("predicted"), "offending")
+
+
 def op3_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")) \
         .select("doc_id", "size", "source_size", "target", "taken")
@@ -25,15 +32,21 @@ def op8_topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op9_decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_warc.round_trip(table(spark, sf_dir, "pages")) \
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity_query,
     "op3_mixing": op3_mixing_query,
     "op6_secrets": op6_secrets_query,
     "op8_topk": op8_topk_query,
+    "op9_decontamination": op9_decontamination_query,
     "op10_warc": op10_warc_query,
 }
 
