@@ -30,9 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate (file sizes for a plain scan)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+def plan_bytes(df: DataFrame, text_col: str = "text") -> int:
+    """Stored input bytes: the optimizer's estimate of a plain scan (its file sizes),
+    else half the text's bytes, counted."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    size = int(str(plan.stats().sizeInBytes()))
+    if size < 1 << 50 and "Join" not in plan.toString():
+        return size
+    return (df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0) // 2
 
 
 def partitions(spark: SparkSession) -> int:
@@ -44,15 +49,14 @@ def block_count(df: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
     return max(partitions(df.sparkSession), -(-plan_bytes(df) // block_bytes))
 
 
-def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           size_of: DataFrame | None = None) -> tuple[DataFrame, int]:
+def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
     """``(doc_id, text, block)`` hash-partitioned by block, and the block count.
 
     All rows of an id share a block.  A plan that uses the result in several
     branches shuffles the texts once (the exchange is reused).  A null text is
     empty, a null id sorts last.
     """
-    n = block_count(docs if size_of is None else size_of)
+    n = block_count(docs)
     out = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

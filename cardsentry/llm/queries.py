@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op2_toxicity, op3_mixing, op6_secrets, op8_topk, op9_decontamination, op10_warc
+from . import (op2_toxicity, op3_mixing, op4_suffixes, op6_secrets, op7_recompression, op8_topk,
+               op9_decontamination, op10_warc)
 from .common import table
 
 
@@ -23,10 +24,21 @@ def op3_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_suffixes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_suffixes.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op7_recompression_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_recompression.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
 def op8_topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return op8_topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
@@ -44,7 +56,9 @@ def op10_warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity_query,
     "op3_mixing": op3_mixing_query,
+    "op4_suffixes": op4_suffixes_query,
     "op6_secrets": op6_secrets_query,
+    "op7_recompression": op7_recompression_query,
     "op8_topk": op8_topk_query,
     "op9_decontamination": op9_decontamination_query,
     "op10_warc": op10_warc_query,
