@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (op2_toxicity, op3_mixing, op4_suffixes, op6_secrets, op7_recompression, op8_topk,
+from . import (op1_ctw, op2_toxicity, op3_mixing, op4_suffixes, op6_secrets, op7_recompression, op8_topk,
                op9_decontamination, op10_warc)
 from .common import table
 
 
+def op1_ctw_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_ctw.score(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return op2_toxicity.classify(docs, table(spark, sf_dir, "labels")).select(
@@ -54,6 +58,7 @@ def op10_warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ctw": op1_ctw_query,
     "op2_toxicity": op2_toxicity_query,
     "op3_mixing": op3_mixing_query,
     "op4_suffixes": op4_suffixes_query,
