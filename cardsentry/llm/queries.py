@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (op1_ctw, op2_toxicity, op3_mixing, op4_suffixes, op6_secrets, op7_recompression, op8_topk,
+from . import (op1_ctw, op2_toxicity, op3_mixing, op4_suffixes, op5_jaccard, op6_secrets, op7_recompression, op8_topk,
                op9_decontamination, op10_warc)
 from .common import table
 
@@ -34,6 +34,10 @@ def op4_suffixes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_secrets.report(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity_query,
     "op3_mixing": op3_mixing_query,
     "op4_suffixes": op4_suffixes_query,
+    "op5_jaccard": op5_jaccard_query,
     "op6_secrets": op6_secrets_query,
     "op7_recompression": op7_recompression_query,
     "op8_topk": op8_topk_query,
