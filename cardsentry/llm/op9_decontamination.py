@@ -103,7 +103,10 @@ def _in_set(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def candidates(docs: DataFrame, prefix: DataFrame) -> DataFrame:
-    """``(doc_id, n_words, hits)`` per row; a hit is ``(start, len, window, shingle)``."""
+    """``(doc_id, print, n_words, hits)`` per row; a hit is ``(start, len, window, shingle)``.
+
+    ``print`` is the text's xxhash64.
+    """
     shapes = [tuple(r) for r in prefix.select("len", "off").distinct().collect()]  # at most WINDOW * WINDOW
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast((bit_set(prefix, "shingle"), bit_set(prefix, "window")))
@@ -148,11 +151,14 @@ def candidates(docs: DataFrame, prefix: DataFrame) -> DataFrame:
                 hits = pa.StructArray.from_arrays([pa.array(local), pa.array(size, pa.int32()), _long(window), _long(shingle)],
                                                   ["start", "len", "window", "shingle"])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), pa.array(np.diff(first).astype(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(lists, pa.int32()), hits)], ["doc_id", "n_words", "hits"])
+                    [batch.column("doc_id").slice(i, j - i), batch.column("print").slice(i, j - i),
+                     pa.array(np.diff(first).astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(lists, pa.int32()), hits)], ["doc_id", "print", "n_words", "hits"])
 
-    return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(
-        run, "doc_id long, n_words long, hits array<struct<start:int,len:int,window:bigint,shingle:bigint>>")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return texts.withColumn("print", F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, print long, n_words long, hits array<struct<start:int,len:int,window:bigint,shingle:bigint>>")
 
 
 def covered(runs: str) -> Column:
@@ -168,7 +174,7 @@ def covered(runs: str) -> Column:
 
 
 def judge(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``(row, doc_id, n_words, n_hit, n_items, items, contaminated)`` per document row.
+    """``(row, doc_id, print, n_words, n_hit, n_items, items, contaminated)`` per document row.
 
     ``items`` is the sorted array of the contained items' ids as text.
     """
@@ -194,3 +200,10 @@ def judge(docs: DataFrame, items: DataFrame) -> DataFrame:
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     return judge(docs, items).select("doc_id", "n_words", "n_hit", "n_items",
                                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, in their own columns."""
+    bad = judge(docs, items).filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"))
+    print_ = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return docs.join(bad, (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))) & (print_ == F.col("__print")), "left_anti")

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import (op1_ctw, op2_toxicity, op3_mixing, op4_suffixes, op5_jaccard, op6_secrets, op7_recompression, op8_topk,
                op9_decontamination, op10_warc)
 from .common import table
@@ -72,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk_query,
     "op9_decontamination": op9_decontamination_query,
     "op10_warc": op10_warc_query,
+    "pipeline": corpus_pipeline.run,
 }
 
 
