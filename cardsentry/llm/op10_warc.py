@@ -20,9 +20,7 @@ import base64
 import gzip
 import hashlib
 import io
-import os
 import uuid
-import zlib
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -80,23 +78,30 @@ def open_store(uri: str):
     return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
-def with_first(pages: DataFrame, id_col="page_id", url_col="url", html_col="html") -> DataFrame:
-    """``(page_id, url, html, first)``: ``first`` is the page to revisit, null for a response."""
+def records_and_links(pages: DataFrame, id_col="page_id", url_col="url", html_col="html") -> DataFrame:
+    """Page rows, and in front of each page that revisits another a small row that says which.
+
+    The payloads are not joined: digests meet by digest, the links then travel with
+    the pages to their place in the order, so payloads are shuffled once.
+    """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": F.sha1("html"), "bytes": F.octet_length("html")})
     firsts = rows.groupBy("digest", "bytes").agg(F.min("page_id").alias("first"))
-    joined = rows.join(firsts, ["digest", "bytes"])
-    return joined.select("page_id", "url", "html",
-                         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("first"))
+    links = (rows.select("page_id", "digest", "bytes").distinct().join(firsts, ["digest", "bytes"])
+             .filter(~F.col("page_id").eqNullSafe(F.col("first"))))
+    none = F.lit(None).cast("string")
+    return rows.select("page_id", "digest", "bytes", F.lit(1).alias("is_page"), "url", "html",
+                       F.lit(None).cast("long").alias("first")).union(
+        links.select("page_id", "digest", "bytes", F.lit(0), none, none, "first"))
 
 
 def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, **columns) -> DataFrame:
     """Write the archives and their manifest; return the manifest's rows."""
     n = partitions(pages.sparkSession)
-    ranged = (with_first(pages, **columns)
-              .repartitionByRange(n, F.col("page_id").asc_nulls_last())
-              .sortWithinPartitions(F.col("page_id").asc_nulls_last(), "html", "url"))
+    by_id = F.col("page_id").asc_nulls_last()
+    ranged = (records_and_links(pages, **columns).repartitionByRange(n, by_id, "digest", "bytes")
+              .sortWithinPartitions(by_id, "digest", "bytes", "is_page", "url"))
 
     def shard(batches):
         from pyspark import TaskContext
@@ -104,6 +109,7 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, **columns
         task = TaskContext.get()
         fs, path = open_store(folder)
         done, state = [], {"out": None}
+        link = (None, None, None)  # id and digest of the last link, and the page it refers to
 
         def close():
             state["out"].close()
@@ -113,12 +119,18 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, **columns
             state["out"] = None
 
         for batch in batches:
-            ids, urls, html, first = (batch.column(c) for c in ("page_id", "url", "html", "first"))
+            ids, digests, pages_, urls, html, firsts = (batch.column(c) for c in (
+                "page_id", "digest", "is_page", "url", "html", "first"))
             for i in range(batch.num_rows):
+                own = ids[i].as_py(), digests[i].as_py()
+                if not pages_[i].as_py():
+                    link = (*own, firsts[i].as_py())
+                    continue
+                first = link[2] if link[:2] == own else None
                 if state["out"] is None:
                     temp = f"{path}/_temporary-{task.partitionId()}-{task.taskAttemptId()}-{len(done)}"
                     state.update(out=fs.open_output_stream(temp), temp=temp, records=0, bytes=0, sha=hashlib.sha1())
-                data = _member(record(ids[i].as_py(), urls[i].as_py(), html[i].as_py().encode(), first[i].as_py()))
+                data = _member(record(own[0], urls[i].as_py(), html[i].as_py().encode(), first))
                 state["out"].write(data)
                 state["sha"].update(data)
                 state["records"] += 1
