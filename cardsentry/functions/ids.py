@@ -14,5 +14,5 @@ def id_number(ident: Column | str, prefix: str = "WL") -> Column:
     """Numeric part of an id such as ``WL000017`` (17); NULL when unreadable
     or when the id does not carry ``prefix``."""
     col = F.col(ident) if isinstance(ident, str) else ident
-    digits = F.substring(col, len(prefix) + 1, 1 << 20)
+    digits = F.substr(col, F.lit(len(prefix) + 1))      # to the end of the text
     return F.when(col.startswith(prefix), digits.try_cast("bigint"))

@@ -6,7 +6,7 @@ malformed value would otherwise fail the task and stop a streaming query.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def parse_json(value: Column | str, schema: T.StructType) -> Column:
@@ -19,6 +19,21 @@ def parse_json(value: Column | str, schema: T.StructType) -> Column:
     return F.from_json(value, schema, {"mode": "PERMISSIVE"})
 
 
+def loose_fields(value: Column | str) -> Column:
+    """The top-level fields of a JSON object as text."""
+    raw = F.col(value) if isinstance(value, str) else value
+    return F.from_json(raw, T.MapType(T.StringType(), T.StringType()), {"mode": "PERMISSIVE"})
+
+
+def _lost(value: Column, typed: Column, loose: Column, schema: T.StructType) -> Column:
+    names = F.array(*[F.lit(f.name) for f in schema.fields])
+    mistyped = F.array_compact(F.array(*[
+        F.when(typed[f.name].isNull() & loose[f.name].isNotNull(), F.lit(f.name)) for f in schema.fields]))
+    kept = F.map_filter(loose, lambda k, v: ~F.array_contains(names, k) | F.array_contains(mistyped, k))
+    return (F.when(value.isNull(), F.lit(None).cast("string")).when(loose.isNull(), value)
+            .otherwise(F.nullif(F.to_json(kept), F.lit("{}"))))
+
+
 def rescued_data(value: Column | str, schema: T.StructType) -> Column:
     """JSON text of whatever the typed parse of ``value`` could not keep.
 
@@ -28,24 +43,22 @@ def rescued_data(value: Column | str, schema: T.StructType) -> Column:
       (a mistyped value) -> kept;
     * nothing lost -> NULL.
 
-    Evaluated on each row with two parses of the same text (typed struct and
-    raw ``map<string,string>``); no Python involved.
+    The text is parsed twice: once typed, once into a map.  No Python involved.
     """
     raw = F.col(value) if isinstance(value, str) else value
-    typed = parse_json(raw, schema)
-    loose = F.from_json(raw, T.MapType(T.StringType(), T.StringType()), {"mode": "PERMISSIVE"})
-
-    def lost(k: Column, v: Column) -> Column:
-        verdict = F.lit(True)
-        for field in reversed(schema.fields):
-            verdict = F.when(k == F.lit(field.name),
-                             typed.getField(field.name).isNull() & v.isNotNull()).otherwise(verdict)
-        return verdict
-
-    kept = F.map_filter(loose, lost)
-    return (F.when(raw.isNull(), F.lit(None).cast("string"))
-            .when(loose.isNull(), raw)
-            .otherwise(F.nullif(F.to_json(kept), F.lit("{}"))))
+    parsed = F.struct(raw.alias("v"), parse_json(raw, schema).alias("t"), loose_fields(raw).alias("m"))
+    # a lambda over one element: its variable stands for the parsed text
+    return F.transform(F.array(parsed), lambda p: _lost(p["v"], p["t"], p["m"], schema))[0]
+
+
+def with_rescued(df: DataFrame, value: str, schema: T.StructType, data: str = "data",
+                 rescued: str = "_rescued_data") -> DataFrame:
+    """Adds ``data`` (the typed struct of ``value``) and ``rescued`` (see
+    ``rescued_data``) from the same two parses."""
+    parsed = F.struct(parse_json(F.col(value), schema).alias("t"), loose_fields(value).alias("m"))
+    both = F.transform(F.array(parsed), lambda p: F.struct(
+        p["t"].alias(data), _lost(F.col(value), p["t"], p["m"], schema).alias(rescued)))[0]
+    return df.withColumn("_parsed", both).select("*", f"_parsed.{data}", f"_parsed.{rescued}").drop("_parsed")
 
 
 def parse_timestamp(text: Column | str, fmt: str) -> Column:

@@ -89,7 +89,8 @@ def watchlist_matches(txns: DataFrame, watchlist: DataFrame, max_lag: str | None
     ``watch_types`` / ``statuses`` restrict the entries used (default: all).
     ``salt_buckets`` > 1 spreads a hot card over several state partitions;
     with ``hot_cards`` (one column of upper-cased card numbers, bounded, e.g.
-    from ``heavy_hitters``) only those cards are spread and copied.
+    from ``heavy_hitters``) only those cards are spread; the set may change
+    between runs.  Entries are kept under every sub-key.
     ``watchlist_event_time`` can name the ingestion time instead, so that old
     entries arriving late are not dropped by the watermark.
     """
@@ -110,7 +111,7 @@ def watchlist_matches(txns: DataFrame, watchlist: DataFrame, max_lag: str | None
         cond = (cond & (t["transaction_timestamp"] >= w["effective_from"])
                 & (t["transaction_timestamp"] <= w["effective_from"] + F.expr(f"INTERVAL {max_lag}")))
     return salted_stream_join(t, w, cond, "transaction_id", salt_buckets, hot_keys=hot_cards,
-                              big_key=F.upper(t["card_number"]), small_key="entity_id")
+                              big_key=F.upper(t["card_number"]))
 
 
 def enrich_matches(matches: DataFrame, customers: DataFrame, now: Column | None = None,

@@ -98,12 +98,16 @@ def silver_customers(bronze: DataFrame, now: Column | None = None,
 
 
 def latest_customers(customers: DataFrame, order_by: str = "silver_ingestion_timestamp") -> DataFrame:
-    """One row per ``customer_id``: the most recent by ``order_by`` (batch).
+    """One row per ``customer_id``: the greatest by ``order_by`` (batch).
 
-    A hash aggregation with ``max_by``: combined map-side before the shuffle,
-    so a customer with very many versions costs one row per task, not one
-    sort of all of them.
+    Name a version or update time of the source where there is one: the
+    ingestion clock is one value per micro-batch.  Rows that tie are ordered by
+    their other columns, so the choice does not depend on the row order.
+
+    A hash aggregation: combined map-side before the shuffle, so a customer
+    with very many versions costs one row per task, not one sort of all.
     """
-    others = [c for c in customers.columns if c != "customer_id"]
-    picked = F.max_by(F.struct(*others), F.col(order_by)).alias("r")
-    return customers.groupBy("customer_id").agg(picked).select("customer_id", "r.*")
+    others = [c for c in customers.columns if c not in ("customer_id", order_by)]
+    picked = F.max(F.struct(order_by, *others)).alias("r")
+    return customers.groupBy("customer_id").agg(picked).select(
+        *[F.col(c) if c == "customer_id" else F.col(f"r.{c}") for c in customers.columns])

@@ -157,10 +157,17 @@ def undeliverable(rendered: DataFrame) -> DataFrame:
     return rendered.where(~has_recipient())
 
 
+def one_per_alert(alerts: DataFrame) -> DataFrame:
+    """One row per ``alert_id``: the least by all its columns, so that a replay
+    keeps the same one."""
+    others = [c for c in alerts.columns if c != "alert_id"]
+    return (alerts.groupBy("alert_id").agg(F.min(F.struct(*others)).alias("_r"))
+            .select(*[F.col(c) if c == "alert_id" else F.col(f"_r.{c}") for c in alerts.columns]))
+
+
 def outbox_rows(rendered: DataFrame, batch_id: int) -> DataFrame:
-    """One outbox row per ``alert_id`` of a micro-batch."""
+    """Outbox rows of a micro-batch's alerts (one per ``alert_id``)."""
     return (with_delivery_status(rendered)
-            .dropDuplicates(["alert_id"])
             .select(F.lit(batch_id).cast("long").alias("batch_id"),
                     F.to_date("event_time").alias("alert_date"),
                     "alert_id", "alert_type", "recipient", "status", "subject", "body_html"))

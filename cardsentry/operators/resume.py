@@ -14,11 +14,14 @@ from cardsentry.functions.ids import id_number
 
 
 def high_water_mark(published: DataFrame, id_col: str = "watchlist_id", prefix: str = "WL"):
-    """Scalar column: the largest published id number, 0 when none."""
+    """Scalar column: the largest published id number, 0 when none is readable."""
     return published.select(F.coalesce(F.max(id_number(id_col, prefix)), F.lit(0))).scalar()
 
 
 def unpublished(source: DataFrame, published: DataFrame, id_col: str = "watchlist_id",
                 prefix: str = "WL") -> DataFrame:
-    """Rows of ``source`` whose id number is above the high-water mark."""
-    return source.where(id_number(id_col, prefix) > high_water_mark(published, id_col, prefix))
+    """Rows of ``source`` whose id number is above the high-water mark; every
+    row, readable or not, while nothing has been published."""
+    nothing = published.select(F.count(F.lit(1)) == 0).scalar()
+    above = id_number(id_col, prefix) > high_water_mark(published, id_col, prefix)
+    return source.where(nothing | F.coalesce(above, F.lit(False)))

@@ -17,7 +17,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from cardsentry.operators.alerts import fraud_card_alerts, high_value_alerts, watchlist_matches
+from cardsentry.operators.alerts import (enrich_matches, fraud_card_alerts, high_value_alerts,
+                                         watchlist_matches)
 from cardsentry.operators.joins import estimated_bytes, heavy_hitters
 from cardsentry.operators.layers import (CUSTOMER_OBSERVATION, TRANSACTION_EXPECTATIONS,
                                          TRANSACTION_OBSERVATION, bronze_transactions, latest_customers,
@@ -32,11 +33,11 @@ from cardsentry.plans.runs import DriverTables, Run
 from cardsentry.schemas import WATCHLIST_RECORD
 from cardsentry.sources import driver_tables as D
 from cardsentry.sources.files import read_json_records, stream_json_records
-from cardsentry.sources.tables import overwrite_table, scan, write_bucketed
+from cardsentry.sources.tables import overwrite_table, scan, stream_scan, write_bucketed
 from cardsentry.streaming.metrics import observed, progress_rows
 from cardsentry.streaming.matcher import WatchlistMatcher
 from cardsentry.streaming.outbox import OutboxWriter
-from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_path
+from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_path, stream_to_table
 
 # Fixed values of the scenarios.
 FIXED_NOW = "timestamp'2024-02-01 00:00:00'"      # alert time in rendered messages
@@ -46,6 +47,8 @@ HOT_SHARE = 0.0075                                 # high_value_alert_skew_split
 DIMENSION_BUCKETS = 8                              # high_value_alert_skew_split: buckets of the customer table
 CARD_BUCKETS = 16                                  # watchlist_match_incremental: card buckets of the history
 FIRST_DROP_BEFORE = "2024-02"                      # watchlist_match_incremental: months delivered first
+MANY_FILES = 6                                     # dq_report_many_batches: micro-batches of the run
+MATCH_STATUSES = ["ACTIVE"]                        # watchlist_match_filtered
 PUBLISHED_BEFORE = "2024-02"                       # high_water_mark_slice: months already delivered
 LATE_SPLIT = "2024-01-15 00:00:00"                 # late_rows_dropped: second drop holds the older rows
 CLOCK_COLUMNS = {"ingesttime", "bronze_ingestion_ts", "silver_ingestion_ts", "ingestion_timestamp",
@@ -112,13 +115,9 @@ def sized(fn):
 
 # --- shared inputs --------------------------------------------------------
 
-def kafka_batch(src: DriverTables, spread: bool = True) -> DataFrame:
-    """Replayed Kafka records (batch), spread like ``kafka_stream`` when the
-    records are processed further (not for a plain count)."""
-    events = src.table("events")
-    if spread:
-        events = events.repartition(src.spark.sparkContext.defaultParallelism)
-    return D.kafka_records(events, src.table("nation"))
+def kafka_batch(src: DriverTables) -> DataFrame:
+    """Replayed Kafka records (batch); the scan's splits give the parallelism."""
+    return D.kafka_records(src.table("events"), src.table("nation"))
 
 
 def bronze_batch(run: Run, src: DriverTables) -> DataFrame:
@@ -130,12 +129,10 @@ def bronze_batch(run: Run, src: DriverTables) -> DataFrame:
 
 
 def kafka_stream(src: DriverTables) -> DataFrame:
-    """Replayed Kafka records as a stream.  A topic is read by one task per
-    partition (or more, with ``minPartitions``); the test table is a single
-    file, read by one task, so the records are spread over the session's
-    task slots as a multi-partition topic would deliver them."""
-    events = src.stream("events").repartition(src.spark.sparkContext.defaultParallelism)
-    return D.kafka_records(events, src.table("nation"))
+    """Replayed Kafka records as a stream.  The scan's splits give the
+    parallelism, as a topic's partitions (or ``minPartitions``) would; nothing
+    is shuffled to spread them."""
+    return D.kafka_records(src.stream("events"), src.table("nation"))
 
 
 def customers_dim(run: Run, src: DriverTables) -> DataFrame:
@@ -171,7 +168,7 @@ def q_kafka_envelope_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_message_count(spark, sf_dir):
     Run(spark, "message_count")
-    return kafka_batch(DriverTables(spark, sf_dir), spread=False).agg(F.count(F.lit(1)).alias("messages"))
+    return kafka_batch(DriverTables(spark, sf_dir)).agg(F.count(F.lit(1)).alias("messages"))
 
 
 def q_bronze_transactions(spark, sf_dir):
@@ -187,7 +184,7 @@ def q_batch_overwrite(spark, sf_dir):
     bronze = bronze_transactions(kafka_batch(src))
     for _ in range(2):      # a second overwrite must not add rows
         overwrite_table(bronze, table, path=run.path(table))
-    return comparable(spark.table(table).select("topic", "partition", "offset", "timestamp"))
+    return comparable(spark.table(table))
 
 
 def q_table_scan(spark, sf_dir):
@@ -235,6 +232,32 @@ def q_high_water_mark_slice(spark, sf_dir):
     return spark.read.schema(WATCHLIST_RECORD).json(slice_dir)
 
 
+def q_high_water_mark_empty(spark, sf_dir):
+    """Nothing published yet: everything is to be published, unreadable ids too."""
+    run = Run(spark, "high_water_mark_empty")
+    src = DriverTables(spark, sf_dir)
+    source = read_json_records(spark, watchlist_feed(run, src), WATCHLIST_RECORD)
+    return unpublished(source, source.limit(0)).select(*WATCHLIST_RECORD.fieldNames(), "_rescued_data")
+
+
+def q_inferred_schema_stream(spark, sf_dir):
+    """The feed as a stream whose schema was inferred from its files and stored."""
+    run = Run(spark, "inferred_schema_stream")
+    src = DriverTables(spark, sf_dir)
+    stream = stream_json_records(spark, watchlist_feed(run, src), schema_location=run.path("schema"))
+    return comparable(run.materialize(stream))
+
+
+def q_rescued_data_typed(spark, sf_dir):
+    """A typed schema: a value of another type goes to ``_rescued_data``."""
+    run = Run(spark, "rescued_data_typed")
+    src = DriverTables(spark, sf_dir)
+    schema = T.StructType([T.StructField(f.name, T.LongType() if f.name == "reason_code" else f.dataType)
+                           for f in WATCHLIST_RECORD.fields])
+    rows = read_json_records(spark, watchlist_feed(run, src), schema)
+    return rows.select("watchlist_id", "entity_id", "reason_code", "_rescued_data")
+
+
 def q_stream_table_roundtrip(spark, sf_dir):
     run = Run(spark, "stream_table_roundtrip")
     src = DriverTables(spark, sf_dir)
@@ -243,15 +266,36 @@ def q_stream_table_roundtrip(spark, sf_dir):
     run_graph(spark, layout, kafka_stream(src), customers, watchlist_feed(run, src), notifications=False,
               dimension_buckets=DIMENSION_BUCKETS)
     counts = None
-    for name in ["bronze_transactions", "silver_transactions", "silver_customers", "bronze_watchlist",
-                 "silver_watchlist", "high_value_transaction_alert", "fraud_card_alert",
-                 "transactions_count_by_min", "transactions_count_by_min_sliding_window"]:
-        one = spark.table(layout.table(name)).agg(F.count(F.lit(1)).alias("records")) \
-            .select(F.lit(name).alias("table_name"), "records")
+    for name, columns in ROUNDTRIP_COLUMNS.items():
+        text = F.concat_ws("|", *[F.coalesce(_plain_text(spark.table(layout.table(name)), c), F.lit("~")) for c in columns])
+        one = spark.table(layout.table(name)).agg(
+            F.count(F.lit(1)).alias("records"),
+            F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")).alias("checksum")) \
+            .select(F.lit(name).alias("table_name"), "records", "checksum")
         counts = one if counts is None else counts.unionByName(one)
     return counts
 
 
+# Columns whose values stream_table_roundtrip compares, beside the row counts.
+ROUNDTRIP_COLUMNS = {
+    "bronze_transactions": ["value", "topic", "partition", "offset", "timestamp"],
+    "silver_transactions": ["transaction_id", "customer_id", "card_number", "merchant_name", "country",
+                            "transaction_timestamp", "kafka_offset"],
+    "silver_customers": ["customer_id", "last_name", "country", "account_open_date", "email"],
+    "bronze_watchlist": ["watchlist_id", "entity_id", "risk_level", "effective_from", "_rescued_data"],
+    "silver_watchlist": ["watchlist_id", "entity_id", "risk_level", "action", "effective_from", "city"],
+    "high_value_transaction_alert": ["alert_id", "customer_id", "customer_email", "customer_name", "transaction_timestamp"],
+    "fraud_card_alert": ["alert_id", "customer_id", "customer_email", "risk_level", "watchlist_effective_from"],
+    "transactions_count_by_min": ["window_start", "window_end", "transactions_count"],
+    "transactions_count_by_min_sliding_window": ["window_start", "window_end", "transactions_count"],
+}
+
+
+def _plain_text(df: DataFrame, column: str):
+    kind = df.schema[column].dataType
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss") if isinstance(kind, T.TimestampType) else F.col(column).cast("string")
+
+
 # --- silver and data quality ----------------------------------------------
 
 def q_silver_transactions(spark, sf_dir):
@@ -282,6 +326,47 @@ def q_dq_report(spark, sf_dir):
                                  "expectation string, action string, passed_records long, failed_records long")
 
 
+def q_dq_report_many_batches(spark, sf_dir):
+    """The report of a run of many micro-batches: every batch counts, however
+    many reports the session keeps."""
+    run = Run(spark, "dq_report_many_batches")
+    src = DriverTables(spark, sf_dir)
+    events = src.table("events")
+    drops = run.path("event_files")
+    slot = F.pmod(F.xxhash64("event_id"), F.lit(MANY_FILES)).cast("int")
+    events.withColumn("slot", slot).repartition("slot").write.partitionBy("slot").parquet(drops)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(drops)
+    run.materialize(silver_transactions(bronze_transactions(D.kafka_records(stream, src.table("nation")))))
+    assert len(progress_rows(run.queries[-1])) >= MANY_FILES
+    metrics = observed(run.queries[-1], TRANSACTION_OBSERVATION)
+    return spark.createDataFrame(metrics_report(metrics, TRANSACTION_EXPECTATIONS),
+                                 "expectation string, action string, passed_records long, failed_records long")
+
+
+def q_customer_versions(spark, sf_dir):
+    """High-value alerts against a dimension that holds two versions of every
+    customer, joined with all rows and with the latest ones, broadcast and
+    shuffled: the layout must not change the answer."""
+    run = Run(spark, "customer_versions")
+    src = DriverTables(spark, sf_dir)
+    versions = customers_dim(run, src)
+    older = versions.withColumns({"transaction_limit": F.col("transaction_limit") / 2,
+                                  "silver_ingestion_timestamp": F.expr("timestamp'2020-01-01 00:00:00'")})
+    path = run.path("customer_versions")
+    versions.unionByName(older).write.parquet(path)
+    both = spark.read.parquet(path)
+    silver = silver_transactions(bronze_batch(run, src), observation=None)
+    heavy_hitters(silver, "customer_id", HOT_SHARE).write.parquet(run.path("hot_customers"))
+    hot = spark.read.parquet(run.path("hot_customers"))
+    out = None
+    for rule, dim in (("all", both), ("latest", latest_customers(both))):
+        for layout, limit in (("broadcast", 1 << 30), ("shuffled", 0)):
+            one = high_value_alerts(silver, dim, broadcast_limit_bytes=limit, hot_customers=hot) \
+                .select(F.lit(rule).alias("rule"), F.lit(layout).alias("layout"), "alert_id", "transaction_limit")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_silver_customers(spark, sf_dir):
     run = Run(spark, "silver_customers")
     src = DriverTables(spark, sf_dir)
@@ -305,9 +390,9 @@ def q_high_value_alert(spark, sf_dir):
 
 def q_high_value_alert_skew_split(spark, sf_dir):
     """High-value alerts with the customer dimension too large to broadcast:
-    published as a table bucketed by customer_id (latest row per customer),
-    joined without shuffling it; customers holding at least HOT_SHARE of the
-    landed transactions are split off to a broadcast of their rows only."""
+    published as a table bucketed by customer_id (latest row per customer);
+    the rows of customers holding at least HOT_SHARE of the landed transactions
+    are spread over sub-keys, in one join."""
     run = Run(spark, "high_value_alert_skew_split")
     src = DriverTables(spark, sf_dir)
     table = f"fraud_customer_dim_{run.root.rsplit('-', 1)[-1]}"
@@ -366,12 +451,41 @@ def q_watchlist_match_incremental(spark, sf_dir):
     return comparable(matcher.matches(spark).select(*MATCH_COLUMNS))
 
 
+def q_watchlist_match_filtered(spark, sf_dir):
+    """Only entries of one status, by both ways to match."""
+    run = Run(spark, "watchlist_match_filtered")
+    src = DriverTables(spark, sf_dir)
+    wl = silver_wl_stream(run, src)
+    joined = run.materialize(watchlist_matches(silver_tx_stream(src), wl, statuses=MATCH_STATUSES).select(*MATCH_COLUMNS))
+    matcher = WatchlistMatcher(run.path("matcher"), card_buckets=CARD_BUCKETS, statuses=MATCH_STATUSES)
+    run.queries.append(finish(matcher.start(silver_tx_stream(src), wl, run.checkpoint("matcher"))))
+    both = [df.select(F.lit(way).alias("way"), *MATCH_COLUMNS)
+            for way, df in (("state", joined), ("tables", matcher.matches(spark)))]
+    return comparable(both[0].unionByName(both[1]))
+
+
 def _fraud_alert_stream(run: Run, src: DriverTables, now=None) -> DataFrame:
     return fraud_card_alerts(silver_tx_stream(src), silver_wl_stream(run, src), customers_dim(run, src), now)
 
 
+def _fraud_alerts_matched(run: Run, src: DriverTables, now=None) -> DataFrame:
+    """Fraud-card alerts as the graph makes them: the matcher's pairs of every
+    micro-batch, enriched with the customers."""
+    dim = customers_dim(run, src)
+    matcher = WatchlistMatcher(run.path("matcher"), card_buckets=CARD_BUCKETS,
+                               transform=lambda pairs: enrich_matches(pairs, dim, now))
+    run.queries.append(finish(matcher.start(silver_tx_stream(src), silver_wl_stream(run, src), run.checkpoint("matcher"))))
+    return matcher.matches(run.spark).drop("batch_id")
+
+
 def q_fraud_card_alert(spark, sf_dir):
     run = Run(spark, "fraud_card_alert")
+    return comparable(_fraud_alerts_matched(run, DriverTables(spark, sf_dir)))
+
+
+def q_fraud_card_alert_state(spark, sf_dir):
+    """The same alerts from the stream-stream join, which keeps every transaction in state."""
+    run = Run(spark, "fraud_card_alert_state")
     return comparable(run.materialize(_fraud_alert_stream(run, DriverTables(spark, sf_dir))))
 
 
@@ -445,6 +559,29 @@ def q_notification_undeliverable(spark, sf_dir):
     return undeliverable(with_delivery_status(rendered)).select("alert_id", "alert_type", "status")
 
 
+def q_notification_outbox_high_value(spark, sf_dir):
+    """High-value alerts straight into their outbox."""
+    run = Run(spark, "notification_outbox_high_value")
+    src = DriverTables(spark, sf_dir)
+    alerts = high_value_alerts(silver_tx_stream(src), customers_dim(run, src), F.expr(FIXED_NOW))
+    path = run.path("outbox")
+    run.queries.append(finish(stream_foreach_batch(alerts, OutboxWriter(path, render_high_value), run.checkpoint("outbox"))))
+    return spark.read.parquet(path).select("alert_id", "alert_type", "recipient", "status", "subject")
+
+
+def q_notification_table_flow(spark, sf_dir):
+    """Append flow from a named alert table into its outbox."""
+    run = Run(spark, "notification_table_flow")
+    src = DriverTables(spark, sf_dir)
+    table = f"fraud_alerts_{run.root.rsplit('-', 1)[-1]}"
+    alerts = _fraud_alert_stream(run, src, F.expr(FIXED_NOW))
+    run.queries.append(finish(stream_to_table(alerts, table, run.checkpoint("alerts"), path=run.path("alerts"))))
+    path = run.path("outbox")
+    run.queries.append(finish(stream_foreach_batch(stream_scan(spark, table), OutboxWriter(path, render_fraud),
+                                                   run.checkpoint("outbox"))))
+    return spark.read.parquet(path).select("alert_id", "alert_type", "recipient", "status", "subject", "body_html")
+
+
 def _outbox(spark, sf_dir, label):
     run = Run(spark, label)
     src = DriverTables(spark, sf_dir)
@@ -474,11 +611,16 @@ QUERIES = {k: sized(v) for k, v in {
     "rescued_data": q_rescued_data,
     "file_lineage": q_file_lineage,
     "high_water_mark_slice": q_high_water_mark_slice,
+    "high_water_mark_empty": q_high_water_mark_empty,
+    "inferred_schema_stream": q_inferred_schema_stream,
+    "rescued_data_typed": q_rescued_data_typed,
     "stream_table_roundtrip": q_stream_table_roundtrip,
     "silver_transactions": q_silver_transactions,
     "dq_drop": q_dq_drop,
     "dq_warn_counts": q_dq_warn_counts,
     "dq_report": q_dq_report,
+    "dq_report_many_batches": q_dq_report_many_batches,
+    "customer_versions": q_customer_versions,
     "silver_customers": q_silver_customers,
     "silver_watchlist": q_silver_watchlist,
     "high_value_alert": q_high_value_alert,
@@ -487,7 +629,9 @@ QUERIES = {k: sized(v) for k, v in {
     "watchlist_match_bounded": q_watchlist_match_bounded,
     "watchlist_match_salted": q_watchlist_match_salted,
     "watchlist_match_incremental": q_watchlist_match_incremental,
+    "watchlist_match_filtered": q_watchlist_match_filtered,
     "fraud_card_alert": q_fraud_card_alert,
+    "fraud_card_alert_state": q_fraud_card_alert_state,
     "tumbling_counts": q_tumbling_counts,
     "sliding_counts": q_sliding_counts,
     "late_rows_dropped": q_late_rows_dropped,
@@ -496,4 +640,6 @@ QUERIES = {k: sized(v) for k, v in {
     "notification_undeliverable": q_notification_undeliverable,
     "notification_outbox": q_notification_outbox,
     "notification_batch_summary": q_notification_batch_summary,
+    "notification_outbox_high_value": q_notification_outbox_high_value,
+    "notification_table_flow": q_notification_table_flow,
 }.items()}

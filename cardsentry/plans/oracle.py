@@ -32,8 +32,7 @@ good AS (
 def cu_cte() -> str:
     return f"""cu_raw AS (
   SELECT {_cols(D.CUSTOMER_COLUMNS)}
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE {D.CUSTOMER_PRESENT}),
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
 cu AS (
   SELECT * REPLACE (CAST(try_strptime(account_open_date, '%Y-%m-%d') AS DATE) AS account_open_date)
   FROM cu_raw)"""
@@ -256,24 +255,75 @@ UNION ALL SELECT 'valid_event_time', 'warn', count(*) FILTER (WHERE NOT cut AND
   count(*) FILTER (WHERE cut OR ts IS NULL) FROM flags"""
 
 
-def _matches(bound=None) -> str:
+def _matches(bound=None, extra="") -> str:
     cond = ""
     if bound:
         cond = (f" AND t.transaction_timestamp >= w.effective_from"
                 f" AND t.transaction_timestamp <= w.effective_from + INTERVAL {bound}")
     return ALL() + f"""SELECT t.transaction_id, w.watchlist_id, t.card_number, t.amount, t.transaction_timestamp,
-  w.effective_from, w.risk_level
+  w.effective_from, w.risk_level{extra}
 FROM good t JOIN swl w ON upper(t.card_number) = w.entity_id{cond}"""
 
 
+# Values of the roundtrip's tables that are compared: plain columns, and times as text.
+ROUNDTRIP_TEXT = {
+    "bronze_transactions": ["value", "topic", "partition", '"offset"', "@timestamp"],
+    "silver_transactions": ["transaction_id", "customer_id", "card_number", "merchant_name", "country",
+                            "@transaction_timestamp", "event_id"],
+    "silver_customers": ["customer_id", "last_name", "country", "account_open_date", "email"],
+    "bronze_watchlist": ["watchlist_id", "entity_id", "risk_level", "effective_from", "_rescued_data"],
+    "silver_watchlist": ["watchlist_id", "entity_id", "risk_level", "action", "@effective_from", "city"],
+    "high_value_transaction_alert": ["alert_id", "customer_id", "customer_email", "customer_name", "@transaction_timestamp"],
+    "fraud_card_alert": ["alert_id", "customer_id", "customer_email", "risk_level", "@watchlist_effective_from"],
+    "transactions_count_by_min": ["@window_start", "@window_end", "transactions_count"],
+    "transactions_count_by_min_sliding_window": ["@window_start", "@window_end", "transactions_count"],
+}
+
+
+def _text(column: str) -> str:
+    text = f"strftime({column[1:]}, '%Y-%m-%d %H:%M:%S')" if column[0] == "@" else f"CAST({column} AS VARCHAR)"
+    return f"coalesce({text}, '~')"
+
+
+def _versions() -> str:
+    """Alerts against two versions of every customer (the older with half the limit)."""
+    rows = """SELECT 'all' AS rule, cu.* FROM cu
+  UNION ALL SELECT 'all', cu.* REPLACE (cu.transaction_limit / 2 AS transaction_limit) FROM cu
+  UNION ALL SELECT 'latest', cu.* FROM cu"""
+    return with_ctes(tx_cte(), cu_cte()) + f"""SELECT v.rule, l.layout, concat_ws('-', 'ALERT', t.transaction_id) AS alert_id,
+  v.transaction_limit
+FROM good t JOIN ({rows}) v ON t.customer_id = v.customer_id
+  CROSS JOIN (SELECT unnest(['broadcast', 'shuffled']) AS layout) l
+WHERE t.amount > v.transaction_limit"""
+
+
+def _typed_rescue() -> str:
+    """reason_code is text that does not read as a number: rescued, with any extra field."""
+    return ALL() + """SELECT watchlist_id, entity_id, CAST(NULL AS BIGINT) AS reason_code,
+  CASE WHEN cut THEN _rescued_data ELSE '{"reason_code":"' || reason_code || '"' ||
+    CASE WHEN _rescued_data IS NULL THEN '' ELSE ',' || substr(_rescued_data, 2, length(_rescued_data) - 2) END || '}'
+  END AS _rescued_data
+FROM bwl"""
+
+
+def _inferred() -> str:
+    """The extra field is a column of the inferred schema; cut lines are rescued whole."""
+    return ALL() + f"""SELECT {WL13}, CASE WHEN NOT cut THEN json_extract_string(_rescued_data, '$.note') END AS note,
+  CASE WHEN cut THEN _rescued_data END AS _rescued_data
+FROM bwl"""
+
+
 def _roundtrip() -> str:
-    parts = [("bronze_transactions", "tx"), ("silver_transactions", "good"), ("silver_customers", "cu"),
+    parts = [("bronze_transactions", "btx"), ("silver_transactions", "good"), ("silver_customers", "cu"),
              ("bronze_watchlist", "bwl"), ("silver_watchlist", "swl"),
              ("high_value_transaction_alert", "hv"), ("fraud_card_alert", "fca"),
              ("transactions_count_by_min", "tumbling"),
              ("transactions_count_by_min_sliding_window", "sliding")]
-    body = "\nUNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS records FROM {t}" for n, t in parts)
-    return with_ctes(tx_cte(), cu_cte(), wl_cte(), hv_cte(), fca_cte(), tumbling_cte(), sliding_cte()) + body
+    body = "\nUNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS records, "
+        f"CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {', '.join(_text(c) for c in ROUNDTRIP_TEXT[n])})), 1, 8) AS BIGINT)) "
+        f"AS BIGINT) AS checksum FROM {t}" for n, t in parts)
+    return with_ctes(f"btx AS ({with_ctes(tx_cte())}{envelope_select()})", tx_cte(), cu_cte(), wl_cte(), hv_cte(), fca_cte(), tumbling_cte(), sliding_cte()) + body
 
 
 def _late_rows(split: str = "2024-01-15 00:00:00") -> str:
@@ -308,20 +358,24 @@ def oracles() -> dict[str, str]:
         "kafka_envelope_batch": envelope,
         "message_count": "SELECT count(*) AS messages FROM events e JOIN nation n ON n.n_nationkey = e.event_id % 25",
         "bronze_transactions": envelope,
-        "batch_overwrite": """SELECT 'transactions' AS topic, CAST(event_id % 4 AS INTEGER) AS partition,
-  event_id AS "offset", ts AS timestamp FROM events""",
+        "batch_overwrite": envelope,
         "table_scan": with_ctes(cu_cte()) + "SELECT * FROM cu",
         "bronze_watchlist": ALL() + f"SELECT {WL13}, _rescued_data FROM bwl",
         "rescued_data": ALL() + "SELECT watchlist_id, _rescued_data FROM bwl WHERE _rescued_data IS NOT NULL",
         "file_lineage": ALL() + "SELECT effective_month, count(*) AS records "
                                 "FROM bwl GROUP BY 1",
         "high_water_mark_slice": _hwm(),
+        "high_water_mark_empty": ALL() + f"SELECT {WL13}, _rescued_data FROM bwl",
+        "inferred_schema_stream": _inferred(),
+        "rescued_data_typed": _typed_rescue(),
         "stream_table_roundtrip": _roundtrip(),
         "silver_transactions": silver,
         "dq_drop": with_ctes(tx_cte()) + "SELECT event_id AS kafka_offset, transaction_id, customer_id, "
                                          "card_number, amount FROM good",
         "dq_warn_counts": _dq_counts(),
         "dq_report": _dq_counts(),
+        "dq_report_many_batches": _dq_counts(),
+        "customer_versions": _versions(),
         "silver_customers": with_ctes(cu_cte()) + "SELECT * FROM cu",
         "silver_watchlist": ALL() + "SELECT * FROM swl",
         "high_value_alert": with_ctes(tx_cte(), cu_cte(), hv_cte()) + "SELECT * EXCLUDE (alert_ts) FROM hv",
@@ -331,7 +385,10 @@ def oracles() -> dict[str, str]:
         "watchlist_match_bounded": _matches("7 DAY"),
         "watchlist_match_salted": _matches(),
         "watchlist_match_incremental": _matches(),
+        "watchlist_match_filtered": f"SELECT w.way, m.* EXCLUDE (status) FROM ({_matches(extra=', w.status')}) m "
+            "CROSS JOIN (SELECT unnest(['state', 'tables']) AS way) w WHERE m.status = 'ACTIVE'",
         "fraud_card_alert": fraud + "SELECT * EXCLUDE (alert_timestamp) FROM fca",
+        "fraud_card_alert_state": fraud + "SELECT * EXCLUDE (alert_timestamp) FROM fca",
         "tumbling_counts": with_ctes(tx_cte(), tumbling_cte()) + "SELECT * FROM tumbling",
         "sliding_counts": with_ctes(tx_cte(), sliding_cte()) + "SELECT * FROM sliding",
         "late_rows_dropped": _late_rows(),
@@ -342,6 +399,12 @@ def oracles() -> dict[str, str]:
                                                   "FROM fca WHERE coalesce(customer_email, '') = ''",
         "notification_outbox": fraud_now + f"SELECT alert_id, alert_type, customer_email AS recipient, "
                                            f"{_status()} AS status, {fraud_subject()} AS subject FROM fca",
+        "notification_outbox_high_value": with_ctes(tx_cte(), cu_cte(), hv_cte(FIXED_NOW_SQL))
+            + f"SELECT alert_id, alert_type, recipient, CASE WHEN coalesce(recipient, '') <> '' THEN 'ready' "
+              f"ELSE 'no_recipient' END AS status, subject FROM (SELECT {high_value_render()} FROM hv)",
+        "notification_table_flow": fraud_now
+            + f"SELECT r.alert_id, r.alert_type, r.recipient, CASE WHEN coalesce(r.recipient, '') <> '' THEN 'ready' "
+              f"ELSE 'no_recipient' END AS status, r.subject, r.body_html FROM (SELECT {fraud_render()} FROM fca) r",
         "notification_batch_summary": fraud_now + """SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS alerts,
   count(*) FILTER (WHERE coalesce(customer_email, '') <> '') AS ready,
   count(*) FILTER (WHERE coalesce(customer_email, '') = '') AS no_recipient FROM fca""",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardsentry.session import prepare, run_folder
 from cardsentry.sources.tables import stream_path
+from cardsentry.streaming.metrics import ProgressLog
 from cardsentry.streaming.sinks import finish, stream_to_path
 
 TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -35,6 +36,7 @@ class Run:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = prepare(spark)
+        ProgressLog.of(spark)
         self.root = run_folder(spark, label)
         self.queries = []
         Run.recent = (Run.recent + [self])[-4:]

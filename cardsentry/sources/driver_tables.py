@@ -20,7 +20,9 @@ from cardsentry.schemas import WATCHLIST_FIELDS
 # ``nation n`` on ``n.n_nationkey = e.event_id % 25``).
 TRANSACTION_COLUMNS = [
     ("transaction_id", "concat('TXN', e.event_id)"),
-    ("customer_id", "CASE WHEN e.event_id % 89 = 0 THEN NULL ELSE cast(e.user_id AS {STR}) END"),
+    # some transactions carry no customer, some one the dimension does not know
+    ("customer_id", "CASE WHEN e.event_id % 89 = 0 THEN NULL WHEN e.event_id % 5 = 0 "
+                    "THEN concat('X', e.user_id) ELSE cast(e.user_id AS {STR}) END"),
     ("card_number", "concat('4000', lpad(cast(e.user_id AS {STR}), 12, '0'))"),
     ("merchant_id", "concat('M', lpad(cast(e.event_id % 50 AS {STR}), 3, '0'))"),
     ("merchant_name", "concat('Merchant ', e.event_id % 50)"),
@@ -44,9 +46,7 @@ KAFKA_TOPIC = "transactions"
 KAFKA_PARTITIONS = 4
 JSON_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
-# Customers (``customer c`` joined with ``nation n`` on c_nationkey); rows with
-# ``c_custkey % 5 = 0`` are missing from the dimension so that left joins matter.
-CUSTOMER_PRESENT = "c.c_custkey % 5 <> 0"
+# Customers (``customer c`` joined with ``nation n`` on c_nationkey), all of them.
 CUSTOMER_COLUMNS = [
     ("customer_id", "cast(c.c_custkey AS {STR})"),
     ("first_name", "'Customer'"),
@@ -159,7 +159,7 @@ def kafka_records(events: DataFrame, nation: DataFrame) -> DataFrame:
 def customer_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Rows of the customer dimension as ingested from the operational store."""
     joined = _with_nation(customer, "c", nation, "c.c_nationkey")
-    return joined.where(F.expr(CUSTOMER_PRESENT)).selectExpr(*_exprs(CUSTOMER_COLUMNS))
+    return joined.selectExpr(*_exprs(CUSTOMER_COLUMNS))
 
 
 def watchlist_lines(customer: DataFrame, nation: DataFrame) -> DataFrame:

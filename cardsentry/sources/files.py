@@ -13,7 +13,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from cardsentry.functions.parsing import parse_json, rescued_data
+from cardsentry.functions.parsing import with_rescued
+from cardsentry.sources.paths import path_exists
 
 
 def _all_text(schema: T.StructType) -> bool:
@@ -37,11 +38,7 @@ def _project(lines: DataFrame, schema: T.StructType, now=None) -> DataFrame:
         cols += [rescued.alias("_rescued_data"), F.col("source_file"),
                  (now if now is not None else F.current_timestamp()).alias("ingestion_timestamp")]
         return parsed.select(*cols)
-    parsed = lines.select(
-        parse_json(F.col("value"), schema).alias("data"),
-        rescued_data(F.col("value"), schema).alias("_rescued_data"),
-        F.col("_metadata.file_path").alias("source_file"),
-    )
+    parsed = with_rescued(lines.select("value", F.col("_metadata.file_path").alias("source_file")), "value", schema)
     cols = [F.col(f"data.{f.name}").alias(f.name) for f in schema.fields]
     cols += [F.col("_rescued_data"), F.col("source_file"),
              (now if now is not None else F.current_timestamp()).alias("ingestion_timestamp")]
@@ -80,13 +77,12 @@ def stored_schema(spark: SparkSession, sample_path: str, schema_location: str) -
     """Schema inferred once from the files at ``sample_path`` and kept at
     ``schema_location`` so that every later run (and the stream) uses the same
     one.  Fields that appear later go to ``_rescued_data``."""
-    try:
-        text = spark.read.text(schema_location).first()
-    except Exception:  # noqa: BLE001 - nothing stored yet
-        text = None
-    if text is not None:
-        return T.StructType.fromJson(json.loads(text[0]))
-    inferred = spark.read.option("primitivesAsString", "false").json(sample_path).schema
+    if path_exists(spark, schema_location):
+        return T.StructType.fromJson(json.loads(spark.read.text(schema_location).first()[0]))
+    # the lines alone decide: unreadable ones give no column, and neither do
+    # the folders that the files lie in
+    inferred = (spark.read.option("primitivesAsString", "false").option("mode", "DROPMALFORMED")
+                .option("recursiveFileLookup", "true").json(sample_path).schema)
     spark.createDataFrame([(inferred.json(),)], "value string").coalesce(1) \
         .write.mode("overwrite").text(schema_location)
     return inferred

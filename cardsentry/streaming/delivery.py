@@ -1,4 +1,4 @@
-"""Sending the outbox: distributed, idempotent, counted.
+"""Sending the outbox: distributed, at least once, counted.
 
 ``deliver`` takes the outbox rows that are ready and not yet delivered, hands
 each partition to the executors (``mapInPandas``), calls ``send(recipient,
@@ -7,14 +7,19 @@ delivery log.  A re-run skips alerts that are already in the log as
 delivered, so a failed run can simply be repeated; failures are recorded with
 their error and retried next time.  ``send`` is the caller's mail client (an
 SMTP client is not part of this library); it should raise on failure.
+
+The contract is at least once: a task that is retried after an executor is
+lost, or run twice by speculation, sends its messages again, and the log is
+written only when the run ends.  A mail client that must not repeat a message
+uses the ``alert_id`` in it (or its own claim on it) as the message's key.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardsentry.operators.notify import READY
+from cardsentry.sources.paths import path_exists
 
 DELIVERY_SCHEMA = "alert_id string, recipient string, delivered boolean, error string"
 
@@ -31,17 +36,16 @@ def _sender(send):
                     errors.append(None)
                 except Exception as err:  # noqa: BLE001 - recorded, retried next run
                     ok.append(False)
-                    errors.append(str(err)[:500])
+                    errors.append(str(err))
             yield pd.DataFrame({"alert_id": pdf["alert_id"], "recipient": pdf["recipient"],
                                 "delivered": ok, "error": errors})
     return run
 
 
 def delivered_ids(spark: SparkSession, log_path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(log_path).where(F.col("delivered")).select("alert_id")
-    except AnalysisException:
+    if not path_exists(spark, log_path):
         return None
+    return spark.read.parquet(log_path).where(F.col("delivered")).select("alert_id")
 
 
 def deliver(outbox: DataFrame, send, log_path: str, run_id: str) -> DataFrame:

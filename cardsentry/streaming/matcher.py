@@ -27,26 +27,36 @@ history in a table format that has compaction and a file log).
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardsentry.operators.alerts import TXN_ALERT_COLUMNS, WATCHLIST_ALERT_COLUMNS, select_renamed
 from cardsentry.operators.joins import BROADCAST_LIMIT_BYTES, maybe_broadcast
+from cardsentry.sources.paths import glob_exists
 from cardsentry.streaming.sinks import stream_foreach_batch
 
 
+#: So many new cards of a micro-batch are named in the scan of the history, where
+#: Parquet's statistics and bloom filters skip what has none of them.
+PUSHED_CARDS = 1000
+
+
 class WatchlistMatcher:
     """``transform`` (optional) is applied to each micro-batch's pairs before
-    they are written to ``out_path`` (e.g. ``alerts.enrich_matches``)."""
+    they are written to ``out_path`` (e.g. ``alerts.enrich_matches``);
+    ``watch_types`` / ``statuses`` restrict the entries used (default: all);
+    ``written(batch_id)`` is called after a batch's pairs are written."""
 
     def __init__(self, root: str, card_buckets: int = 64, max_lag: str | None = None,
                  broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
-                 transform=None, out_path: str | None = None, out_partition_by: list[str] | None = None):
+                 transform=None, out_path: str | None = None, out_partition_by: list[str] | None = None,
+                 watch_types: list[str] | None = None, statuses: list[str] | None = None, written=None):
         self.root = root
         self.card_buckets = card_buckets
         self.max_lag = max_lag
         self.broadcast_limit_bytes = broadcast_limit_bytes
         self.transform = transform
+        self.watch_types, self.statuses = watch_types, statuses
+        self.written = written
         self.tx_path = f"{root}/transaction_history"
         self.wl_path = f"{root}/watchlist_history"
         self.out_path = out_path or f"{root}/matches"
@@ -65,6 +75,10 @@ class WatchlistMatcher:
         t = t.select(F.lit("T").alias("side"), F.upper("card_number").alias("card_key"),
                      F.struct(*t.columns).alias("t"))
         w = watchlist.select(*select_renamed(WATCHLIST_ALERT_COLUMNS))
+        if self.watch_types:
+            w = w.where(F.col("watch_type").isin(*self.watch_types))
+        if self.statuses:
+            w = w.where(F.col("watchlist_status").isin(*self.statuses))
         w = w.select(F.lit("W").alias("side"), F.col("entity_id").alias("card_key"),
                      F.struct(*w.columns).alias("w"))
         both = t.unionByName(w, allowMissingColumns=True)
@@ -75,15 +89,15 @@ class WatchlistMatcher:
     @staticmethod
     def _write(df: DataFrame, path: str, partition_by: list[str]) -> None:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("parquet.bloom.filter.enabled#card_key", "true")
          .partitionBy(*partition_by).parquet(path))
 
     @staticmethod
     def _read(spark, base: str, pattern: str) -> DataFrame | None:
         """Folders of ``base`` matching ``pattern``; None when there are none."""
-        try:
-            return spark.read.option("basePath", base).parquet(f"{base}/{pattern}")
-        except AnalysisException:
+        if not glob_exists(spark, f"{base}/{pattern}"):
             return None
+        return spark.read.option("basePath", base).parquet(f"{base}/{pattern}")
 
     def _time_bound(self, t: DataFrame, w: DataFrame) -> Column:
         if not self.max_lag:
@@ -111,8 +125,11 @@ class WatchlistMatcher:
         tx_new = new.where(F.col("side") == "T").select("card_key", "t", "batch_id", "card_bucket")
         wl_new = new.where(F.col("side") == "W").select("card_key", "w", "batch_id", "card_bucket")
         # 1. history: rows of a bucket written together (few files); AQE
-        # splits a bucket that holds a hot card over several tasks
-        self._write(tx_new.hint("rebalance", "card_bucket"), self.tx_path, ["card_bucket", "batch_id"])
+        # splits a bucket that holds a hot card over several tasks.  Rows lie in
+        # the order of their card, with bloom filters, so that a lookup of a few
+        # cards skips most row groups.
+        self._write(tx_new.hint("rebalance", "card_bucket").sortWithinPartitions("card_bucket", "card_key"),
+                    self.tx_path, ["card_bucket", "batch_id"])
         # the watchlist is always read whole: folders by batch only (a batch
         # without new entries adds none)
         self._write(wl_new.hint("rebalance", "card_bucket"), self.wl_path, ["batch_id"])
@@ -130,6 +147,9 @@ class WatchlistMatcher:
                                "card_bucket={" + ",".join(str(b) for b in buckets) + "}/batch_id=*")
             if t_old is not None:
                 t_old = t_old.where(F.col("batch_id") < batch_id)
+                cards = [r[0] for r in wl_new.select("card_key").distinct().limit(PUSHED_CARDS + 1).collect()]
+                if len(cards) <= PUSHED_CARDS:      # the join below decides either way
+                    t_old = t_old.where(F.col("card_key").isin([c for c in cards if c is not None]))
                 w_new_side = maybe_broadcast(wl_new, self.broadcast_limit_bytes)
                 parts.append(self._pairs(t_old, w_new_side, (t_old["card_key"] == w_new_side["card_key"])
                                          & self._time_bound(t_old, w_new_side)))
@@ -139,6 +159,8 @@ class WatchlistMatcher:
         if self.transform is not None:
             out = self.transform(out)
         self._write(out.withColumn("batch_id", k), self.out_path, self.out_partition_by)
+        if self.written is not None:
+            self.written(batch_id)
 
     # -- wiring ---------------------------------------------------------------
 

@@ -1,56 +1,63 @@
 """Idempotent notification outbox fed by ``foreachBatch``.
 
-For each micro-batch: render the messages, keep one row per ``alert_id``,
-leave out alerts already in the outbox from *other* batches, and overwrite the
-outbox partitions of *this* batch (dynamic partition overwrite).  Replaying a
-batch after a failure therefore rewrites the same rows instead of adding a
-second copy.  The outbox is partitioned by ``alert_date`` so the look-up of
-earlier alerts only lists and reads the folders of the days present in the
-batch (a path glob, not a listing of the whole outbox).
+For each micro-batch: keep one row per ``alert_id`` (always the same one),
+leave out alerts already in the outbox from *earlier* batches, render what is
+left, and overwrite the outbox partitions of *this* batch (dynamic partition
+overwrite).  Replaying a batch after a failure therefore rewrites the same rows
+instead of adding a second copy.
+
+Beside the outbox lies an index of the ids alone, in folders
+``id_bucket=<hash of alert_id>/batch_id=<k>``.  An alert is known by its id
+whatever its day; a look-up reads the id folders of the batch's buckets and
+never a message.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.errors import AnalysisException
 
-from cardsentry.operators.notify import outbox_rows
+from cardsentry.operators.notify import one_per_alert, outbox_rows
+from cardsentry.sources.paths import glob_exists
+
+#: Folders of the id index (fixed for the life of an outbox).
+ID_BUCKETS = 64
 
 
 class OutboxWriter:
-    def __init__(self, path: str, render):
+    def __init__(self, path: str, render, id_buckets: int = ID_BUCKETS):
         self.path = path
+        self.index_path = f"{path}_ids"
         self.render = render
+        self.id_buckets = id_buckets
 
-    def _existing(self, spark, batch_id: int, days: list) -> DataFrame | None:
-        folders = ",".join(sorted("__HIVE_DEFAULT_PARTITION__" if d is None else str(d) for d in days))
-        try:
-            old = (spark.read.option("basePath", self.path)
-                   .parquet(f"{self.path}/alert_date={{{folders}}}"))
-        except AnalysisException:       # none of these days has alerts yet
+    def _known(self, spark, batch_id: int, buckets: list[int]) -> DataFrame | None:
+        """Ids of earlier batches in the given buckets."""
+        folders = f"{self.index_path}/id_bucket={{{','.join(map(str, buckets))}}}/batch_id=*"
+        if not glob_exists(spark, folders):
             return None
-        return old.where(F.col("batch_id") != batch_id).select("alert_date", "alert_id")
+        old = spark.read.option("basePath", self.index_path).parquet(folders)
+        return old.where(F.col("batch_id") < batch_id).select("alert_id")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # Several actions follow; the micro-batch (joins and all) is computed
-        # once and its rendered rows kept for them.
-        rows = outbox_rows(self.render(batch), batch_id).persist()
+        # once.  Messages are rendered afterwards, for new alerts only.
+        alerts = one_per_alert(batch).withColumn(
+            "id_bucket", F.pmod(F.xxhash64("alert_id"), F.lit(self.id_buckets)).cast("int")).persist()
         try:
-            # The days of one micro-batch: a handful of values.
-            days = [r[0] for r in rows.select("alert_date").distinct().collect()]
-            if not days:
+            buckets = sorted(r[0] for r in alerts.select("id_bucket").distinct().collect())  # <= id_buckets
+            if not buckets:
                 return
-            existing = self._existing(spark, batch_id, days)
-            if existing is None:
-                fresh = rows
-            else:
-                # alerts without event time have no day: compare days NULL-safe
-                same = (rows["alert_id"] == existing["alert_id"]) & \
-                    rows["alert_date"].eqNullSafe(existing["alert_date"])
-                fresh = rows.join(existing, same, "left_anti")
-            (fresh.hint("rebalance", "alert_date").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("alert_date", "batch_id").parquet(self.path))
+            known = self._known(spark, batch_id, buckets)
+            fresh = alerts if known is None else alerts.join(known, "alert_id", "left_anti")
+            self._write(outbox_rows(self.render(fresh), batch_id).hint("rebalance", "alert_date"),
+                        self.path, "alert_date")
+            self._write(fresh.select("alert_id", F.lit(batch_id).cast("long").alias("batch_id"), "id_bucket")
+                        .hint("rebalance", "id_bucket"), self.index_path, "id_bucket")
         finally:
-            rows.unpersist()
+            alerts.unpersist()
+
+    @staticmethod
+    def _write(rows: DataFrame, path: str, first: str) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(first, "batch_id").parquet(path))

@@ -60,10 +60,14 @@ def stream_foreach_batch(df: DataFrame, fn, checkpoint: str, available_now: bool
 
 
 def finish(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
-    """Wait for an ``availableNow`` query to finish; re-raise its failure."""
+    """Wait for an ``availableNow`` query to finish; re-raise its failure.
+
+    A query that is still running after ``timeout_s`` is stopped and raises
+    ``TimeoutError``: what it has written so far is not its whole result."""
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish within {timeout_s} s")
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(f"streaming query {query.name or query.id} failed: {exc}")

@@ -82,8 +82,9 @@ def test_graph_with_hot_keys(spark):
     src = DriverTables(spark, SF_SMALL)
     layout = Layout(run.root, prefix="graph_hot")
     run_graph(spark, layout, C.kafka_stream(src), D.customer_records(src.stream("customer"), src.table("nation")),
-              C.watchlist_feed(run, src), notifications=False, hot_share=0.08)
-    assert spark.read.parquet(layout.path("hot_cards")).count() > 0      # sf0.001: 15 users, some hot
+              C.watchlist_feed(run, src), notifications=False, hot_share=0.05, watchlist_join="state")
+    for hot in ("hot_cards", "hot_customers"):
+        assert spark.read.parquet(layout.path(hot)).count() > 0      # sf0.001: 15 users, some hot
     direct_fraud = C.q_fraud_card_alert(spark, SF_SMALL)
     fraud = C.comparable(spark.table(layout.table("fraud_card_alert"))).select(*direct_fraud.columns)
     assert sorted(map(tuple, fraud.collect())) == sorted(map(tuple, direct_fraud.collect()))
@@ -138,7 +139,11 @@ def test_graph_bounded_micro_batches(spark):
     run = Run(spark, "graph_bounded")
     src = DriverTables(spark, SF_SMALL)
     layout = Layout(run.root, prefix="graph_bounded", max_files_per_trigger=2)
-    queries = run_graph(spark, layout, C.kafka_stream(src),
+    events = src.table("events")
+    events.repartition(6).write.parquet(run.path("events"))
+    kafka = D.kafka_records(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "2").parquet(run.path("events")),
+                            src.table("nation"))
+    queries = run_graph(spark, layout, kafka,
                         D.customer_records(src.stream("customer"), src.table("nation")),
                         C.watchlist_feed(run, src), notifications=False)
     assert len([p for p in queries["silver_transactions"].recentProgress if p["numInputRows"]]) > 1
