@@ -353,10 +353,11 @@ def repeated_ranges(w: Windows, docs: DataFrame, finish: Callable, schema: str)
         ids, offsets, data = in_order(table)
         values, first = w.tokens(offsets, data)
         edge = np.zeros(len(values) + 1, np.int32)
-        for r in settled.to_pylist():
-            pos, size = undelta(unpack(r["a"], np.int64)), unpack(r["b"], np.uint16)
-            edge += np.bincount(pos, minlength=len(edge)).astype(np.int32)
-            edge -= np.bincount(pos + size, minlength=len(edge)).astype(np.int32)
+        rows = [(undelta(unpack(r["a"], np.int64)), unpack(r["b"], np.uint16)) for r in settled.to_pylist()]
+        if rows:
+            pos, size = (np.concatenate(c) for c in zip(*rows))
+            np.add.at(edge, pos, 1)
+            np.add.at(edge, pos + size, -1)
         return finish(ids, offsets, data, first, np.cumsum(edge[:-1]) > 0)
 
     grouped = texts.groupBy("block")
