@@ -12,6 +12,7 @@ import corpus_pipeline
 from . import (op1_ctw, op2_toxicity, op3_mixing, op4_suffixes, op5_jaccard, op6_secrets, op7_recompression, op8_topk,
                op9_decontamination, op10_warc)
 from .common import table
+from .oracles import ORACLES  # noqa: F401
 
 
 def op1_ctw_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +77,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc_query,
     "pipeline": corpus_pipeline.run,
 }
-
-
-ORACLES: dict[str, str] = {}
