@@ -6,16 +6,15 @@ of copies.  Two sets link when their Jaccard similarity reaches the threshold.
 
 1. A fixed-size count sketch over all sets orders shingles from rare to frequent.
 2. Linked sets share a shingle of their prefixes (the rarest quarter) and have
-   sizes in the same or neighbouring bands.  Nodes that share a prefix shingle are
-   tied to the least node of their band and shingle, first within a task, then
-   between tasks, so a frequent shingle costs a row per task and band and no pairs
-   are made.  The ties' components hold every pair that can link.
-3. A component is cut into tiles by size band; tiles of the same and neighbouring
-   bands meet.  In a pair of tiles the parity bitmaps' differing bits bound the
-   symmetric difference from below, so the overlap from above; what passes is
-   decided by exact intersection of the sorted arrays.  Nodes already connected in
-   the tile are not compared again.
-4. The verified links' components are the classes.
+   sizes in the same or neighbouring bands.  Buckets of shingles list the nodes
+   that share one, band by band; a long list is cut into tiles by size band, and
+   tiles of the same and neighbouring bands meet.  Equal lists are looked at once.
+3. In a list the parity bitmaps' differing bits bound the symmetric difference of
+   two sets from below, so their overlap from above.  What passes is tied together
+   (not pair by pair), so every pair that can link is in one component of ties.
+4. The components are cut into tiles likewise, and the exact intersection of the
+   sorted arrays decides; nodes already connected in a tile are not compared again.
+5. The verified links' components are the classes.
 
 Defined cases: null text and text without words have an empty set and link with
 nothing; a text of fewer words than a shingle is one shingle of all its words;
@@ -41,9 +40,12 @@ WORDS = 5
 OVER, UNDER = 100, 75
 #: log2 of the counters of the frequency sketch (32 MiB in memory at most), and of one piece of it.
 SKETCH_LOG2, PIECE_LOG2 = 20, 16
+#: Most bits of a bitmap.
+MAX_BITS = 8192
 #: Bounds of a tile: documents and shingles.
 TILE_DOCS, TILE_SHINGLES = 500, 2_000_000
-BUCKET_BYTES = 256 << 20
+#: Stored input bytes behind one bucket of shingles.
+BUCKET_BYTES = 32 << 20
 #: Bytes of text after which a task sends what it has gathered.
 FLUSH_BYTES = 32 << 20
 _NODE = constants(4, 51)
@@ -110,8 +112,8 @@ def _chunks(batches):
 
 
 def documents_and_sketch(docs: DataFrame) -> DataFrame:
-    """Rows ``(doc_id, print, n, node)`` of all documents, and pieces of the shingle counts (node null)."""
-    names = ["doc_id", "print", "n", "node", "piece", "counts"]
+    """Rows ``(doc_id, print, n, node, bits)`` of all documents, and pieces of the shingle counts (node null)."""
+    names = ["doc_id", "print", "n", "node", "bits", "piece", "counts"]
 
     def run(batches):
         counts, rows = np.zeros(1 << SKETCH_LOG2, np.int64), 0
@@ -120,16 +122,16 @@ def documents_and_sketch(docs: DataFrame) -> DataFrame:
             n = len(first) - 1
             rows += n
             yield pa.RecordBatch.from_arrays(
-                [*ids, pa.array(np.diff(first)), pa.array(node_names(value, first).view(np.int64)), pa.nulls(n, pa.int32()),
-                 pa.nulls(n, pa.binary())], names)
+                [*ids, pa.array(np.diff(first)), pa.array(node_names(value, first).view(np.int64)),
+                 pa.array(bitmaps(value, first), pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         if rows:
             pieces = counts.reshape(-1, 1 << PIECE_LOG2)
             n = len(pieces)
             yield pa.RecordBatch.from_arrays(
-                [*[pa.nulls(n, pa.int64())] * 4, pa.array(range(n), pa.int32()),
+                [*[pa.nulls(n, pa.int64())] * 4, pa.nulls(n, pa.binary()), pa.array(range(n), pa.int32()),
                  pa.array([pack(p) for p in pieces], pa.binary())], names)
 
-    return docs.mapInArrow(run, "doc_id long, print long, n long, node long, piece int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, print long, n long, node long, bits binary, piece int, counts binary")
 
 
 def sketch_of(rows: DataFrame) -> np.ndarray:
@@ -168,46 +170,62 @@ def prefixes(value, first, rank):
     return value[use], text[use]
 
 
-def _stars(shingle, band, node):
-    """Ties of nodes to the least node of their shingle and band; those centres ``(shingle, band, node)``."""
+def lists_of(shingle, band, node, tile: int):
+    """Lists of nodes that share a shingle in the same or neighbouring bands.
+
+    Yields ``(names, left, right)``: lists of up to ``tile`` nodes by name (several
+    at a time, ``right`` null), then pairs of tiles of the longer ones.
+    """
     order = np.lexsort((node, band, shingle))
     shingle, band, node = shingle[order], band[order], node[order]
+    fresh = np.ones(len(node), bool)
+    fresh[1:] = (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])
+    shingle, band, node = shingle[fresh], band[fresh], node[fresh]
     new = np.ones(len(node), bool)
-    new[1:] = (shingle[1:] != shingle[:-1]) | (band[1:] != band[:-1])
+    new[1:] = (shingle[1:] != shingle[:-1]) | (band[1:] > band[:-1] + 1)
     at = np.flatnonzero(new)
-    centre = np.repeat(node[at], np.diff(np.append(at, len(node))))
-    tied = node != centre
-    return (node[tied], centre[tied]), (shingle[at], band[at], node[at])
-
-
-def _distinct(a, b):
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return a[new], b[new]
-
-
-def ties(docs: DataFrame, rank: np.ndarray) -> DataFrame:
-    """``(a, b)``: ties between nodes; every pair that can link is in one component of them."""
+    size = np.diff(np.append(at, len(node)))
+    if not len(at):
+        return
+    name = mix(np.add.reduceat(mix(node), at) * _NODE[2] + size.astype(np.uint64))
+    few = np.flatnonzero((size > 1) & (size <= tile))
+    few = few[np.sort(np.unique(name[few], return_index=True)[1])] if len(few) else few
+    for i in range(0, len(few), 20_000):
+        part = few[i:i + 20_000]
+        flat = np.arange(int(size[part].sum())) + np.repeat(at[part] - np.concatenate(([0], np.cumsum(size[part])[:-1])), size[part])
+        yield name[part], np.split(node[flat], np.cumsum(size[part])[:-1]), None
+    for k in np.flatnonzero(size > tile):
+        own, bands = node[at[k]:at[k] + size[k]], band[at[k]:at[k] + size[k]]
+        cut = starts_of(bands)
+        parts = [(int(bands[i]), own[x:min(x + tile, j)]) for i, j in zip(cut, np.append(cut[1:], len(own)))
+                 for x in range(i, j, tile)]
+        for i, (low, left) in enumerate(parts):
+            for high, right in parts[i:]:
+                if high > low + 1:
+                    break
+                both = np.concatenate((left, mix(right)))
+                yield mix(mix(both).sum(keepdims=True, dtype=np.uint64) * _NODE[3]), [left], [right if right is not left else None]
+
+
+def shared_lists(docs: DataFrame, rank: np.ndarray) -> DataFrame:
+    """``(name, side, node)``: the nodes to compare with each other; with two sides,
+    each with those of the other."""
     spark = docs.sparkSession
-    n_buckets = max(partitions(spark), plan_bytes(docs) // BUCKET_BYTES)
+    n_buckets = max(spark.sparkContext.defaultParallelism, plan_bytes(docs) // BUCKET_BYTES)
     held = spark.sparkContext.broadcast(rank)  # 2**SKETCH_LOG2 bytes
+    tile = TILE_DOCS
 
     def flush(gathered):
         shingle, band, node = (np.concatenate(c) for c in zip(*gathered))
-        (a, b), (shingle, band, node) = _stars(shingle, band, node)
-        a, b = _distinct(a, b)
         bucket = (shingle % np.uint64(n_buckets)).astype(np.int64)
         order = np.lexsort((node, bucket))
         at = starts_of(bucket[order])
-        rows = [(int(bucket[order[i]]), False, pack(shingle[order[i:j]]), pack(band[order[i:j]].astype(np.uint8)),
+        rows = [(int(bucket[order[i]]), pack(shingle[order[i:j]]), pack(band[order[i:j]].astype(np.uint8)),
                  pack(deltas(node[order[i:j]]))) for i, j in zip(at, np.append(at[1:], len(order)))]
-        if len(a):
-            rows.append((int(a[0] % np.uint64(n_buckets)), True, pack(deltas(a)), None, pack(b)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()))],
-            ["bucket", "tied", "a", "band", "b"])
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+                ["bucket", "shingle", "band", "node"])
 
     def send(batches):
         gathered, size = [], 0
@@ -229,30 +247,75 @@ def ties(docs: DataFrame, rank: np.ndarray) -> DataFrame:
             yield from flush(gathered)
 
     def meet(batches):
-        shingle, band, node, a, b = [], [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        shingle, band, node = [], [], []
         for batch in batches:
             for r in batch.to_pylist():
-                if r["tied"]:
-                    a.append(undelta(unpack(r["a"], np.uint64)))
-                    b.append(unpack(r["b"], np.uint64))
-                else:
-                    shingle.append(unpack(r["a"], np.uint64))
-                    band.append(unpack(r["band"], np.uint8).astype(np.int64))
-                    node.append(undelta(unpack(r["b"], np.uint64)))
-        if shingle:
-            (x, y), (shingle, band, node) = _stars(*(np.concatenate(c) for c in (shingle, band, node)))
-            a.append(x)
-            b.append(y)
-            near = np.flatnonzero((shingle[1:] == shingle[:-1]) & (band[1:] == band[:-1] + 1) & (node[1:] != node[:-1]))
-            a.append(node[near])
-            b.append(node[near + 1])
-        a, b = _distinct(np.concatenate(a), np.concatenate(b))
-        for i in range(0, len(a), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(a[i:i + 100_000].view(np.int64)),
-                                              pa.array(b[i:i + 100_000].view(np.int64))], ["a", "b"])
-
-    sent = docs.mapInArrow(send, "bucket int, tied boolean, a binary, band binary, b binary")
-    return sent.repartitionById(n_buckets, F.col("bucket")).mapInArrow(meet, "a long, b long")
+                shingle.append(unpack(r["shingle"], np.uint64))
+                band.append(unpack(r["band"], np.uint8).astype(np.int64))
+                node.append(undelta(unpack(r["node"], np.uint64)))
+        if not shingle:
+            return
+        shingle, band, node = (np.concatenate(c) for c in (shingle, band, node))
+        order = np.argsort(shingle, kind="stable")
+        equal = shingle[order][1:] == shingle[order][:-1]
+        shared = np.zeros(len(shingle), bool)
+        shared[order[1:][equal]] = shared[order[:-1][equal]] = True
+        kind = pa.list_(pa.int64())
+        for name, left, right in lists_of(shingle[shared], band[shared], node[shared], tile):
+            longs = lambda x: None if x is None else x.view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(name.view(np.int64)), pa.array([longs(x) for x in left], kind),
+                 pa.array([longs(x) for x in right] if right else [None] * len(left), kind)], ["name", "a", "b"])
+
+    lists = (docs.mapInArrow(send, "bucket int, shingle binary, band binary, node binary")
+             .repartitionById(n_buckets, F.col("bucket"))
+             .mapInArrow(meet, "name long, a array<bigint>, b array<bigint>"))
+    lists = lists.groupBy("name").agg(F.first("a").alias("a"), F.first("b").alias("b"))
+    sides = F.concat(F.transform("a", lambda x: F.struct(F.lit(False).alias("side"), x.alias("node"))),
+                     F.transform(F.coalesce("b", F.array().cast("array<bigint>")),
+                                 lambda x: F.struct(F.lit(True).alias("side"), x.alias("node"))))
+    return lists.select("name", F.explode(sides).alias("m")).select("name", "m.*")
+
+
+def runs_of(batches, keys: list[str], columns: list[str]):
+    """Rows of sorted batches run by run: ``(key, rows)`` of every run of equal keys."""
+    key, rows = None, []
+    for batch in batches:
+        for k, row in zip(zip(*(batch.column(c).to_pylist() for c in keys)),
+                          zip(*(batch.column(c).to_pylist() for c in columns))):
+            if k != key:
+                if len(rows) > 1:
+                    yield key, rows
+                key, rows = k, []
+            rows.append(row)
+    if len(rows) > 1:
+        yield key, rows
+
+
+def pair_batches(pairs, size: int = 20_000):
+    """Arrow batches of ``(a, b)`` pairs."""
+    out = []
+    for more in pairs:
+        out += more
+        if len(out) >= size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+
+
+def ties(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(a, b)``: ties that connect all nodes of a list whose bitmaps let them link."""
+    def compare(batches):
+        def tied(rows):
+            node, side, n, bits = zip(*rows)
+            side = np.array(side) if any(side) else None
+            return bitmap_ties(np.array(node), side, np.array(n), bits)
+
+        yield from pair_batches(tied(rows) for _, rows in runs_of(batches, ["name"], ["node", "side", "n", "bits"]))
+
+    seated = lists.join(nodes.select("node", "n", "bits"), "node").repartition("name").sortWithinPartitions("name", "node")
+    return seated.select("name", "node", "side", "n", "bits").mapInArrow(compare, "a long, b long").distinct()
 
 
 def tiles(nodes: DataFrame) -> DataFrame:
@@ -281,38 +344,88 @@ def tiles(nodes: DataFrame) -> DataFrame:
     return placed.select("node", "comp", "tile").join(seats, ["comp", "tile"]).select("node", "comp", "ta", "tb", "tile")
 
 
-def bitmaps(value: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Parity bitmaps: a bit tells whether an odd number of the set's shingles hash to it."""
+def bitmaps(value: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Parity bitmap of every set: a bit tells whether an odd number of its shingles
+    hash to it.  The width, a power of two, follows the set's size."""
     size = np.diff(first)
-    width = 64
-    while width < min(2 * int(size.max(initial=1)), 8192):
-        width *= 2
+    width = np.full(len(size), 64)
+    while (wider := (width < np.minimum(size, MAX_BITS))).any():
+        width = np.where(wider, 2 * width, width)
+    begin = np.concatenate(([0], np.cumsum(width)))
     text = np.repeat(np.arange(len(size)), size)
-    bit = (mix(value) & np.uint64(width - 1)).astype(np.int64)
-    odd = (np.bincount(text * width + bit, minlength=len(size) * width) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(len(size), width), axis=1).view(np.uint64)
+    bit = (mix(value) & (width[text] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(begin[text] + bit, minlength=begin[-1]) & 1).astype(np.uint8)
+    packed = np.packbits(odd).tobytes()
+    return [packed[i // 8:j // 8] for i, j in zip(begin[:-1], begin[1:])]
+
+
+class Signatures:
+    """Bitmaps of several nodes, compared at the narrower one's width.
+
+    The halves of a bitmap added modulo two are the bitmap of half its width.  Sets
+    that can link differ in width by a factor of two at most.
+    """
+
+    def __init__(self, bits):
+        self.width = np.array([len(b) for b in bits])
+        self.tables = {}
+        for w in np.unique(self.width).tolist():
+            own = np.flatnonzero((self.width == w) | (self.width == 2 * w))
+            table = np.empty((len(own), w), np.uint8)
+            for row, i in enumerate(own):
+                b = np.frombuffer(bits[i], np.uint8)
+                table[row] = b if len(b) == w else b[:w] ^ b[w:]
+            place = np.full(len(bits), -1)
+            place[own] = np.arange(len(own))
+            self.tables[w] = table.view(np.uint64), place
+
+    def apart(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Differing bits of ``i`` and every ``j``."""
+        width = np.minimum(self.width[i], self.width[j])
+        out = np.empty(len(j), np.int64)
+        for w in np.unique(width).tolist():
+            table, place = self.tables[w]
+            here = width == w
+            out[here] = np.bitwise_count(table[place[j[here]]] ^ table[place[i]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _partners(i, side, label, size, signatures):
+    """Nodes after ``i`` (or of the other side) that are not connected with it and may
+    link by size and bitmap, the nearest first."""
+    if side is None:
+        j = np.arange(i + 1, len(size))
+    elif side[i]:
+        return np.zeros(0, np.int64)
+    else:
+        j = np.flatnonzero(side)
+    j = j[(label[j] != label[i]) & (UNDER * np.maximum(size[j], size[i]) <= OVER * np.minimum(size[j], size[i]))]
+    if not len(j):
+        return j
+    apart = signatures.apart(i, j)
+    # links have a symmetric difference of at most (OVER - UNDER) / (OVER + UNDER) of both sizes
+    near = (OVER + UNDER) * apart <= (OVER - UNDER) * (size[j] + size[i])
+    return j[near][np.argsort(apart[near], kind="stable")]
+
+
+def bitmap_ties(name, side, size, bits):
+    """Ties that connect the nodes whose bitmaps let them link."""
+    label, out, signatures = np.arange(len(name)), [], Signatures(bits)
+    for i in range(len(name)):
+        j = _partners(i, side, label, size, signatures)
+        while len(j):
+            out.append((name[i], name[j[0]]))
+            label[label == label[j[0]]] = label[i]
+            j = j[label[j] != label[i]]
+    return out
 
 
-def tile_links(name: np.ndarray, side: np.ndarray, value: np.ndarray, first: np.ndarray):
-    """Links of a pair of tiles that connect what is linked (``side`` null: one tile)."""
+def tile_links(name, side, value, first):
+    """Links of a tile (or, with ``side``, of a pair of tiles) that connect what is linked."""
     size = np.diff(first)
-    bits = bitmaps(value, first)
-    label = np.arange(len(name))
-    out = []
+    label, out, signatures = np.arange(len(name)), [], Signatures(bitmaps(value, first))
     for i in range(len(name)):
-        if side is None:
-            j = np.arange(i + 1, len(name))
-        elif side[i]:
-            continue
-        else:
-            j = np.flatnonzero(side)
-        j = j[(label[j] != label[i]) & (UNDER * np.maximum(size[j], size[i]) <= OVER * np.minimum(size[j], size[i]))]
-        if not len(j):
-            continue
-        apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-        # links have a symmetric difference of at most (OVER - UNDER) / (OVER + UNDER) of both sizes
-        near = (OVER + UNDER) * apart <= (OVER - UNDER) * (size[j] + size[i])
-        j = j[near][np.argsort(apart[near], kind="stable")]
+        j = _partners(i, side, label, size, signatures)
         own = value[first[i]:first[i + 1]]
         while len(j):
             k, j = j[0], j[1:]
@@ -349,29 +462,15 @@ def verified(docs: DataFrame, nodes: DataFrame, possible: DataFrame) -> DataFram
     seated = (sets.join(seats, "node").repartition("comp", "ta", "tb").sortWithinPartitions("comp", "ta", "tb", "node"))
 
     def compare(batches):
-        def close(key, rows):
-            name = np.array([r[0] for r in rows], np.int64)
-            side = None if key[1] == key[2] else np.array([r[1] != key[1] for r in rows])
-            sets_ = [np.frombuffer(r[2], np.uint64) for r in rows]
+        def links(key, rows):
+            node, tile, blobs = zip(*rows)
+            side = None if key[1] == key[2] else np.array(tile) != key[1]
+            sets_ = [np.frombuffer(x, np.uint64) for x in blobs]
             first = np.concatenate(([0], np.cumsum([len(x) for x in sets_])))
-            return tile_links(name, side, np.concatenate(sets_), first)
+            return tile_links(np.array(node), side, np.concatenate(sets_), first)
 
-        key, rows, out = None, [], []
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("comp", "ta", "tb", "node", "tile", "shingles")]
-            for comp, ta, tb, *row in zip(*columns):
-                if (comp, ta, tb) != key:
-                    if len(rows) > 1:
-                        out += close(key, rows)
-                    key, rows = (comp, ta, tb), []
-                rows.append(row)
-            if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
-                out = []
-        if len(rows) > 1:
-            out += close(key, rows)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+        yield from pair_batches(links(key, rows) for key, rows in runs_of(
+            batches, ["comp", "ta", "tb"], ["node", "tile", "shingles"]))
 
     return seated.select("comp", "ta", "tb", "node", "tile", "shingles").mapInArrow(compare, "a long, b long")
 
@@ -382,9 +481,11 @@ def classes(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("print", F.xxhash64("text"))
     both = checkpointed(documents_and_sketch(rows))
-    documents = both.filter(F.col("piece").isNull()).select("doc_id", "print", "n", "node")
+    every = both.filter(F.col("piece").isNull())
+    documents = every.select("doc_id", "print", "n", "node")
     nodes = documents.filter("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("least"))
-    possible = components(ties(rows, sketch_of(both)))
+    signed = every.filter("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.first("bits").alias("bits"))
+    possible = components(ties(shared_lists(rows, sketch_of(both)), signed))
     linked = components(verified(rows, nodes, possible)).join(nodes.select("node", "least"), "node")
     component = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = nodes.select("node", "least").join(

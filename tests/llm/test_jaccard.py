@@ -90,3 +90,16 @@ def test_components_of_chains_and_hubs(spark):
 
 def test_empty_table(spark):
     assert op5.classes(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_bitmaps_bound_the_symmetric_difference():
+    rng = np.random.default_rng(3)
+    sizes = [1, 60, 70, 90, 120, 130, 170, 900, 1100, 9000, 11000]
+    base = np.unique(rng.integers(0, 1 << 62, 20000).astype(np.uint64))
+    sets = [np.sort(rng.choice(base, s, replace=False)) for s in sizes]
+    first = np.concatenate(([0], np.cumsum(sizes)))
+    signatures = op5.Signatures(op5.bitmaps(np.concatenate(sets), first))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if 3 * max(len(a), len(b)) <= 4 * min(len(a), len(b)):
+                assert signatures.apart(i, np.array([j]))[0] <= len(set(a.tolist()) ^ set(b.tolist()))
