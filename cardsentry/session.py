@@ -89,7 +89,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Set one only where none is configured (tests, a bare local session).
+    Set one only where none is configured and the session is local (tests).
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -97,6 +97,8 @@ def shared_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current.rstrip("/")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="cardsentry-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
