@@ -44,7 +44,7 @@ DEPTH = 5
 MARK = 255
 HELD_OUT, FOLDS = 1, 5
 CHUNK = 2 << 20
-BUCKET_BYTES = 256 << 20
+BUCKET_BYTES = 64 << 20
 STRINGS, WORDS, TOP, ASK, STAT = 0, 1, 2, 3, 4
 ROW = "kind int, bucket int, block int, a binary, b binary, c binary"
 _NAMES = ["kind", "bucket", "block", "a", "b", "c"]

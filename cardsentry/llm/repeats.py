@@ -31,7 +31,7 @@ from .common import (NO_ID, blocks, byte_view, constants, deltas, mix, pack, par
                      undelta, unpack)
 
 #: Stored input bytes behind one bucket, at least one bucket per shuffle partition.
-BUCKET_BYTES = 256 << 20
+BUCKET_BYTES = 64 << 20
 #: Tokens handled at a time (bounds a task's memory, also within a long text).
 SEGMENT = 1 << 20
 #: What a row carries: bundles for a bucket, settled ranges of a block, requests to a block, tokens.
