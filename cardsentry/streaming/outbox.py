@@ -20,7 +20,7 @@ from cardsentry.operators.notify import one_per_alert, outbox_rows
 from cardsentry.sources.paths import glob_exists
 
 #: Folders of the id index (fixed for the life of an outbox).
-ID_BUCKETS = 64
+ID_BUCKETS = 16
 
 
 class OutboxWriter:
