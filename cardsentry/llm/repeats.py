@@ -387,7 +387,7 @@ def radix(tokens: np.ndarray, start: np.ndarray, group: np.ndarray, length: int,
         digit = digits[start + depth].astype(np.uint64)
         if length - depth < width:
             digit >>= np.uint64(8 * (width - (length - depth)))
-        group = _shaped(digit, 1) * _SHAPE[3] + group
+        group = mix(group * _SHAPE[3] + _shaped(digit, depth))  # chained: the order of the digits counts
         alive = _shared(group)
         if not alive.all():
             start, group = start[alive], group[alive]

@@ -74,3 +74,15 @@ def test_long_texts_and_empty_table(spark, monkeypatch):
     got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in op7.dedup(df).collect()]
     assert sorted(got, key=str) == brute(rows, 13)
     assert op7.dedup(df.limit(0)).collect() == []
+
+
+def test_order_of_the_words_around_a_shared_passage(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(60):
+        passage = " ".join(f"p{k}x{rng.randrange(10 ** 6)}" for _ in range(11))
+        for i, ab in enumerate(("a b", "b a", "a c", "b d")):
+            rows.append((4 * k + i, f"{ab} {passage}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in op7.dedup(df).collect()]
+    assert sorted(got, key=str) == brute(rows, 13)

@@ -73,3 +73,15 @@ def test_long_texts_in_pieces(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert op4.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_order_of_the_bytes_around_a_shared_passage(spark):
+    rng = random.Random(8)
+    rows, a, b, c, d = [], "aAaaAaAA", "bBbBBbbB", "cCCCcCcc", "dDddDDdD"
+    for k in range(40):
+        passage = "".join(rng.choice("efghijklmnopqrstuvwxyz ") for _ in range(84))
+        for i, ab in enumerate((a + b, b + a, a + c, b + d)):
+            rows.append((4 * k + i, ab + passage))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_bytes, r.n_removed, [tuple(s) for s in r.spans], bytes(r.kept)) for r in op4.dedup(df).collect()]
+    assert sorted(got, key=str) == brute(rows, 100)
