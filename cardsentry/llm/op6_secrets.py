@@ -5,8 +5,9 @@ scan collects weak parts: short assigned values, short access identifiers,
 short hexadecimal runs and endpoints (URLs).  Each part has a role
 (identifier, secret, endpoint).  An interval join finds, within ``scope`` code
 points in the same text, parts of a complementary role; a weak part is reported
-only if there is one.  Non-overlapping parts of bounded length keep the number
-of partners of a part in its scope bounded, so the join grows with the parts.
+only if there is one.  A part may be of any length and is met through its two
+ends; parts of a kind do not overlap, so a scope holds a bounded number of ends
+and the join grows with the parts.
 
 Spans are code points, end exclusive.  Defined cases: null or empty text has no
 span; rows that repeat an id and text get the same spans; rows that repeat an id
@@ -89,21 +90,22 @@ def _of_role(role: str) -> list[int]:
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``(key, linked)``: the weak parts with a complementary part within ``scope``.
 
-    Parts are laid in cells of ``scope`` code points; a weak part meets the parts
-    that touch its own cells and the neighbouring ones.
+    Ends of parts are laid in cells of ``scope`` code points; a weak part meets the
+    parts with an end in the cells from its start back and from its end on.
     """
+    cell = lambda at: F.floor(at / scope)
     weak_kinds = [k for k, n in enumerate(KINDS) if k > 2]
     own = (found.select("key", F.explode("parts").alias("w")).filter(F.col("w.kind").isin(weak_kinds))
-           .withColumn("cell", F.explode(F.sequence(F.floor((F.col("w.s") - scope) / scope),
-                                                    F.floor((F.col("w.e") + scope) / scope)))).distinct())
+           .withColumn("cell", F.explode(F.array(cell(F.col("w.s") - scope), cell(F.col("w.s")),
+                                                 cell(F.col("w.e")), cell(F.col("w.e") + scope)))).distinct())
     other = (found.filter(F.exists("parts", lambda p: p["kind"] > 2))
              .select("key", F.explode("parts").alias("p"))
-             .withColumn("cell", F.floor(F.col("p.s") / scope)).distinct())
+             .withColumn("cell", F.explode(F.array(cell(F.col("p.s")), cell(F.col("p.e"))))).distinct())
     complementary = F.lit(False)
     for role, partners in COMPLEMENTS.items():
         complementary = complementary | (F.col("w.kind").isin(_of_role(role))
                                          & F.col("p.kind").isin([k for r in partners for k in _of_role(r)]))
-    # a long part is met through its start; its end counts through the distance
+    # a partner behind is met through its start, one in front through its end
     near = (F.col("p.s") - F.col("w.e") <= scope) & (F.col("w.s") - F.col("p.e") <= scope)
     apart = (F.col("p.s") >= F.col("w.e")) | (F.col("w.s") >= F.col("p.e"))
     return (own.join(other, ["key", "cell"]).filter(complementary & near & apart)

@@ -59,3 +59,16 @@ def test_redact_and_empty_table(spark):
     got = {r.doc_id: (r.text, r.parts) for r in op6.redact(df).collect()}
     assert got == {1: ("a [secret] b", 7), 2: (None, 8), 3: ("clean", 9)}
     assert op6.report(df.limit(0)).collect() == []
+
+
+def test_partners_longer_than_the_scope(spark):
+    links = ["https://h.example/" + "q" * n for n in (300, 1000)]
+    tokens = ["token: " + "x.Yz-" * (n // 5) for n in (300, 800)]
+    rows = [t + "\nAKIA12345678" for t in tokens] + ["AKIA12345678 " + t for t in tokens]
+    rows += [u + " password=abc123" for u in links] + ["password=abc123 " + u for u in links]
+    rows += ["y " * 77 + t for t in rows] + [links[1] + " " * 121 + "password=abc123", links[0] + " " * 120 + "password=abc123"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in op6.report(df).collect()}
+    assert got == {i: ",".join(weak(t)) for i, t in enumerate(rows)}
+    assert all("weak" in got[i] for i in range(16)) and not got[16] and "weak" in got[17]
+    assert all("AKIA" not in r.text and "abc123" not in r.text for r in op6.redact(df.filter("doc_id <> 16")).collect())
