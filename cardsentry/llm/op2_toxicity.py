@@ -3,7 +3,9 @@
 A document is a bag of sentences; a sentence's score is logistic in its word
 features, and the document's score is the noisy-or of its sentences.  Only
 document labels are known: the model maximizes their likelihood, so the
-sentence scores come out of training and locate the offending sentences.
+sentence scores come out of training and locate the offending sentences.  In
+scoring a sentence counts by what its features add to the bias, so a text does
+not become toxic by its number of sentences.
 
 The model is fitted in one task on a bounded, seeded sample of labelled
 documents (``MAX_TOXIC`` and ``MAX_CLEAN``); scoring covers every whole text.
@@ -196,7 +198,8 @@ class Scorer:
             pair = np.sort(sent * len(self.keys) + place)
             pair = pair[starts_of(pair)]  # a feature counts once in a sentence
             z += np.bincount(pair // len(self.keys), weights=self.weights[pair % len(self.keys)], minlength=len(at))
-        spread = np.bincount(text[at], weights=_softplus(z), minlength=n) if len(at) else np.zeros(n)
+        above = np.maximum(_softplus(z) - _softplus(self.bias), 0)  # none for a sentence without weighted words
+        spread = np.bincount(text[at], weights=above, minlength=n) if len(at) else np.zeros(n)
         return -np.expm1(-spread), (text[at] if len(at) else text, begin, end, 1 / (1 + np.exp(-z)))
 
 

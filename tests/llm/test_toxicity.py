@@ -51,3 +51,13 @@ def test_no_labels_or_rows(spark):
     clean = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("toxic", F.lit(0))
     assert all(r.score < 1e-6 for r in op2.classify(d, clean).collect())
     assert op2.classify(d.limit(0), clean).collect() == []
+
+
+def test_clean_text_of_many_sentences(spark):
+    docs, labels = corpus()
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = op2.train(spark.createDataFrame(docs, "doc_id long, text string, x long"), lab)
+    clean = ". ".join(f"ban dest gilk {i % 7}" for i in range(20000))
+    rows = [(0, clean), (1, "new words\n" * 20000), (2, clean + ". you grubber"), (3, "zorkhead! " + clean)]
+    got = {r.doc_id: r.score for r in op2.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got[0] < 0.01 and got[1] < 0.01 and got[2] >= 0.5 and got[3] >= 0.5
