@@ -111,6 +111,28 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d"""
 
+_CLUSTER_ROUND = """a{n} AS MATERIALIZED (
+  SELECT i, min_by(k, (d, k)) AS k, min(d) AS d FROM (
+    SELECT e.i, c.k, sum((e.x - c.x) * (e.x - c.x)) AS d FROM e JOIN c{n} c USING (j) GROUP BY ALL) GROUP BY i)"""
+_CLUSTER_MOVE = """c{m} AS MATERIALIZED (
+  SELECT c.k, c.j, coalesce(s.x, c.x) AS x FROM c{n} c LEFT JOIN (
+    SELECT k, j, (t - ((t % n) + n) % n) // n AS x FROM (
+      SELECT a.k, e.j, sum(e.x) AS t, count(*) AS n FROM a{n} a JOIN e USING (i) GROUP BY ALL)) s USING (k, j))"""
+CLUSTERING = """WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS MATERIALIZED (SELECT i, unnest(range(64)) AS j, unnest(w) AS x FROM v),
+c0 AS MATERIALIZED (
+  SELECT k, j, x FROM e JOIN (
+    SELECT i, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k FROM v QUALIFY k < 8) USING (i)),
+""" + ",\n".join(_CLUSTER_ROUND.format(n=n) + ",\n" + _CLUSTER_MOVE.format(n=n, m=n + 1) for n in range(10)) + """,
+""" + _CLUSTER_ROUND.format(n=10) + """,
+h AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM c10 GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a10 JOIN h USING (k) JOIN v USING (i)"""
+
 ORACLES: dict[str, str] = {
     "op3_mixing": MIXING,
     "op5_jaccard": JACCARD,
@@ -118,4 +140,5 @@ ORACLES: dict[str, str] = {
     "op8_topk": TOPK,
     "op9_decontamination": DECONTAMINATION,
     "op10_warc": WARC,
+    "op13_clustering": CLUSTERING,
 }

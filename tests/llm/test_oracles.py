@@ -12,7 +12,7 @@ TABLES = ("documents", "embeddings", "pages", "benchmark")
 
 
 def test_registered():
-    assert len(QUERIES) == 11 and set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert len(QUERIES) == 13 and set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     assert [sum(k.startswith(f"op{n}_") for k in QUERIES) for n in range(1, 11)] == [1] * 10
 
 
