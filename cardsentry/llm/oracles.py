@@ -111,6 +111,30 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d"""
 
+MINHASH = f"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({LOWERED}, '{SPACED}') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) >= 2
+    THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END)) AS s FROM w),
+nodes AS (SELECT min(doc_id) AS node, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+sh AS (SELECT node, n, unnest(s) AS g FROM nodes),
+df AS (SELECT g, count(*) AS c FROM sh GROUP BY g),
+placed AS (SELECT node, n, g, row_number() OVER (PARTITION BY node ORDER BY c, g) AS place FROM sh JOIN df USING (g)),
+pre AS (SELECT * FROM placed WHERE place <= n - ceil(0.8 * n) + 1),
+pair AS (
+  SELECT DISTINCT a.node AS a, b.node AS b FROM pre a JOIN pre b ON a.g = b.g AND a.node < b.node
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+link AS (
+  SELECT a, b FROM (
+    SELECT a, b, x.n AS p, y.n AS q, len(list_intersect(x.s, y.s)) AS c
+    FROM pair JOIN nodes x ON x.node = a JOIN nodes y ON y.node = b) WHERE 100 * c >= 80 * (p + q - c)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a, b FROM both_ways UNION SELECT reach.a, l.b FROM reach JOIN both_ways l ON reach.b = l.a),
+least_of AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(least(node, m), node, doc_id) AS component_id,
+  doc_id = coalesce(least(node, m), node, doc_id) AS kept
+FROM sets LEFT JOIN nodes USING (s) LEFT JOIN least_of ON a = node"""
+
 _CLUSTER_ROUND = """a{n} AS MATERIALIZED (
   SELECT i, min_by(k, (d, k)) AS k, min(d) AS d FROM (
     SELECT e.i, c.k, sum((e.x - c.x) * (e.x - c.x)) AS d FROM e JOIN c{n} c USING (j) GROUP BY ALL) GROUP BY i)"""
@@ -140,5 +164,6 @@ ORACLES: dict[str, str] = {
     "op8_topk": TOPK,
     "op9_decontamination": DECONTAMINATION,
     "op10_warc": WARC,
+    "op12_minhash": MINHASH,
     "op13_clustering": CLUSTERING,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import (op1_ctw, op2_toxicity, op3_mixing, op4_suffixes, op5_jaccard, op6_secrets, op7_recompression, op8_topk,
-               op9_decontamination, op10_warc, op11_whitening, op13_clustering)
+               op9_decontamination, op10_warc, op11_whitening, op12_minhash, op13_clustering)
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -69,6 +69,10 @@ def op11_whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op13_clustering_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op13_clustering.cluster(table(spark, sf_dir, "embeddings"))
     return found.withColumns({c: F.col(c).try_cast("long") for c in ("distance", "cluster_inertia", "inertia")})
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination_query,
     "op10_warc": op10_warc_query,
     "op11_whitening": op11_whitening_query,
+    "op12_minhash": op12_minhash_query,
     "op13_clustering": op13_clustering_query,
     "pipeline": corpus_pipeline.run,
 }
