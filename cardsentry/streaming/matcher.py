@@ -3,26 +3,27 @@
 The stream-stream join of the reference (no time bound) must remember every
 transaction forever in its state store.  This matcher gives the same pairs --
 every transaction with every watchlist entry of its card, in either arrival
-order, at any time distance -- while the history lives in two tables on the
-shared file system, laid out by card so that a lookup reads only the cards it
-needs.
+order, at any time distance -- while the history lives in two segmented tables
+(``streaming.segments``) on the shared file system, laid out by card so that a
+lookup reads only the cards it needs.
 
 One streaming query reads both inputs (a union), and every micro-batch ``k``:
 
 1. appends its transactions ``T_k`` to the transaction history, in folders
-   ``card_bucket=<hash of the card>/batch_id=<k>``, and its entries ``W_k``
-   to the watchlist history, in folders ``batch_id=<k>``;
-2. emits ``T_k JOIN W(batch <= k)`` -- new transactions against all entries;
+   ``segment=<k>/card_bucket=<hash of the card>``, and its entries ``W_k``
+   to the watchlist history;
+2. emits ``T_k JOIN W(batch <= k)`` -- new transactions against all entries,
+   which stay cached until the entries change;
 3. emits ``W_k JOIN T(batch < k)`` -- new entries against earlier transactions,
    reading only the folders of the card buckets of the (few) new entries (a
    path glob: the rest of the history is neither listed nor read).
 
 A pair is produced in the batch where its later record arrives, so exactly
-once.  Every write replaces only the partitions of batch ``k`` and lookups
+once.  Every write replaces only the segment of batch ``k`` and lookups
 only read batches before it, so a replayed micro-batch rewrites the same rows.
-Each micro-batch writes at most ``card_buckets`` files per history table;
-for a long-lived history, compact old batch folders of a bucket (or keep the
-history in a table format that has compaction and a file log).
+Segments of earlier batches are merged by size before a batch is worked on, so
+the number of folders and files of a lookup stays bounded however many
+micro-batches there have been.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardsentry.operators.alerts import TXN_ALERT_COLUMNS, WATCHLIST_ALERT_COLUMNS, select_renamed
 from cardsentry.operators.joins import BROADCAST_LIMIT_BYTES, maybe_broadcast
-from cardsentry.sources.paths import glob_exists
+from cardsentry.streaming.segments import SegmentTable
 from cardsentry.streaming.sinks import stream_foreach_batch
 
 
@@ -44,12 +45,13 @@ class WatchlistMatcher:
     """``transform`` (optional) is applied to each micro-batch's pairs before
     they are written to ``out_path`` (e.g. ``alerts.enrich_matches``);
     ``watch_types`` / ``statuses`` restrict the entries used (default: all);
-    ``written(batch_id)`` is called after a batch's pairs are written."""
+    ``written(batch_id)`` is called after a batch's pairs are written;
+    ``fan_in`` segments of a size are merged into one (``SegmentTable``)."""
 
     def __init__(self, root: str, card_buckets: int = 64, max_lag: str | None = None,
                  broadcast_limit_bytes: int | None = BROADCAST_LIMIT_BYTES,
                  transform=None, out_path: str | None = None, out_partition_by: list[str] | None = None,
-                 watch_types: list[str] | None = None, statuses: list[str] | None = None, written=None):
+                 watch_types: list[str] | None = None, statuses: list[str] | None = None, written=None, fan_in: int = 8):
         self.root = root
         self.card_buckets = card_buckets
         self.max_lag = max_lag
@@ -59,6 +61,15 @@ class WatchlistMatcher:
         self.written = written
         self.tx_path = f"{root}/transaction_history"
         self.wl_path = f"{root}/watchlist_history"
+        # rows of a bucket lie together in the order of their card, with bloom filters, so
+        # that a lookup of a few cards skips most row groups; AQE splits a bucket that
+        # holds a hot card over several tasks
+        self.tx = SegmentTable(
+            self.tx_path, ["card_bucket"], fan_in=fan_in, options={"parquet.bloom.filter.enabled#card_key": "true"},
+            arrange=lambda df: df.hint("rebalance", "card_bucket").sortWithinPartitions("card_bucket", "card_key"))
+        # the watchlist is always read whole: one folder a segment
+        self.wl = SegmentTable(self.wl_path, ["part"], fan_in=fan_in, arrange=lambda df: df.hint("rebalance", "part"))
+        self._entries = None         # (segments read, cached entries)
         self.out_path = out_path or f"{root}/matches"
         # output folders: batch_id first (a replay rewrites its own), then these
         self.out_partition_by = ["batch_id"] + list(out_partition_by or [])
@@ -89,15 +100,21 @@ class WatchlistMatcher:
     @staticmethod
     def _write(df: DataFrame, path: str, partition_by: list[str]) -> None:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("parquet.bloom.filter.enabled#card_key", "true")
          .partitionBy(*partition_by).parquet(path))
 
-    @staticmethod
-    def _read(spark, base: str, pattern: str) -> DataFrame | None:
-        """Folders of ``base`` matching ``pattern``; None when there are none."""
-        if not glob_exists(spark, f"{base}/{pattern}"):
-            return None
-        return spark.read.option("basePath", base).parquet(f"{base}/{pattern}")
+    def _known_entries(self, spark, batch_id: int) -> DataFrame | None:
+        """Every watchlist entry up to the batch, read again only when the segments have changed."""
+        segments = self.wl.segments(spark, batch_id + 1)
+        if self._entries is None or self._entries[0] != segments:
+            self._forget_entries()
+            if segments:
+                self._entries = (segments, self.wl.read(spark, segments).persist())
+        return self._entries[1] if self._entries else None
+
+    def _forget_entries(self) -> None:
+        if self._entries is not None:
+            self._entries[1].unpersist()
+            self._entries = None
 
     def _time_bound(self, t: DataFrame, w: DataFrame) -> Column:
         if not self.max_lag:
@@ -124,29 +141,26 @@ class WatchlistMatcher:
         new = batch.withColumn("batch_id", k)
         tx_new = new.where(F.col("side") == "T").select("card_key", "t", "batch_id", "card_bucket")
         wl_new = new.where(F.col("side") == "W").select("card_key", "w", "batch_id", "card_bucket")
-        # 1. history: rows of a bucket written together (few files); AQE
-        # splits a bucket that holds a hot card over several tasks.  Rows lie in
-        # the order of their card, with bloom filters, so that a lookup of a few
-        # cards skips most row groups.
-        self._write(tx_new.hint("rebalance", "card_bucket").sortWithinPartitions("card_bucket", "card_key"),
-                    self.tx_path, ["card_bucket", "batch_id"])
-        # the watchlist is always read whole: folders by batch only (a batch
-        # without new entries adds none)
-        self._write(wl_new.hint("rebalance", "card_bucket"), self.wl_path, ["batch_id"])
+        # 1. history: batches before this one are closed, so they may be merged
+        for table in (self.tx, self.wl):
+            table.compact(spark, before=batch_id)
+        self.tx.append(tx_new, batch_id)
+        added = self.wl.append(wl_new.withColumn("part", F.lit(0)), batch_id)
+        if added is not None:
+            self._forget_entries()
         parts = []
         # 2. new transactions (the persisted micro-batch) against every entry so far
-        w_all = self._read(spark, self.wl_path, "batch_id=*")
+        w_all = self._known_entries(spark, batch_id)
         if w_all is not None:
-            w_side = maybe_broadcast(w_all.where(F.col("batch_id") <= batch_id), self.broadcast_limit_bytes)
+            w_side = maybe_broadcast(w_all, self.broadcast_limit_bytes)
             parts.append(self._pairs(tx_new, w_side, (tx_new["card_key"] == w_side["card_key"])
                                      & self._time_bound(tx_new, w_side)))
         # 3. new entries against earlier transactions of their card buckets
-        buckets = sorted(r[0] for r in wl_new.select("card_bucket").distinct().collect())  # <= card_buckets
-        if buckets:
-            t_old = self._read(spark, self.tx_path,
-                               "card_bucket={" + ",".join(str(b) for b in buckets) + "}/batch_id=*")
+        if added is not None:
+            buckets = sorted(r[0] for r in wl_new.select("card_bucket").distinct().collect())  # <= card_buckets
+            t_old = self.tx.read(spark, self.tx.segments(spark, batch_id),
+                                 "card_bucket={" + ",".join(str(b) for b in buckets) + "}")
             if t_old is not None:
-                t_old = t_old.where(F.col("batch_id") < batch_id)
                 cards = [r[0] for r in wl_new.select("card_key").distinct().limit(PUSHED_CARDS + 1).collect()]
                 if len(cards) <= PUSHED_CARDS:      # the join below decides either way
                     t_old = t_old.where(F.col("card_key").isin([c for c in cards if c is not None]))
