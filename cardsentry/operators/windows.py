@@ -34,6 +34,25 @@ def tumbling_counts(df: DataFrame, size: str = "1 minute", **kw) -> DataFrame:
     return window_counts(df, size, None, **kw)
 
 
-def sliding_counts(df: DataFrame, size: str = "5 minutes", slide: str = "1 minute", **kw) -> DataFrame:
-    """Overlapping windows: every row counts in size/slide windows."""
-    return window_counts(df, size, slide, **kw)
+def sliding_counts(df: DataFrame, size: str = "5 minutes", slide: str = "1 minute", event_time: str = EVENT_TIME,
+                   watermark: str | None = WATERMARK_DELAY, count_name: str = "transactions_count") -> DataFrame:
+    """Overlapping windows: every row counts in size/slide windows.
+
+    Rows are counted once, in panes of one slide; windows then add up panes, so it is the
+    panes that are multiplied by size/slide and shuffled, never the rows.  ``size`` must be a
+    multiple of ``slide``.
+    """
+    panes = window_counts(df, slide, None, event_time, watermark, "pane_count") if watermark is None else _panes(
+        df, slide, event_time, watermark)
+    time = F.col("window_start") if watermark is None else F.window_time("window")
+    return (panes.groupBy(F.window(time, size, slide).alias("window"))
+            .agg(F.sum("pane_count").alias(count_name))
+            .select(F.col("window.start").alias("window_start"),
+                    F.col("window.end").alias("window_end"),
+                    F.col(count_name)))
+
+
+def _panes(df: DataFrame, slide: str, event_time: str, watermark: str) -> DataFrame:
+    """Counts of one-slide windows; the window column carries the event time on to the next aggregation."""
+    return (df.select(event_time).withWatermark(event_time, watermark)
+            .groupBy(F.window(event_time, slide).alias("window")).agg(F.count(F.lit(1)).alias("pane_count")))

@@ -12,6 +12,7 @@ timestamps are returned without time zone, as DuckDB's are.
 from __future__ import annotations
 
 import functools
+import json
 import math
 from contextlib import contextmanager
 
@@ -33,11 +34,15 @@ from cardsentry.plans.runs import DriverTables, Run
 from cardsentry.schemas import WATCHLIST_RECORD
 from cardsentry.sources import driver_tables as D
 from cardsentry.sources.files import read_json_records, stream_json_records
+from cardsentry.sources.schema_log import read_evolved, run_evolving
+from cardsentry.sources.topic import read_topic, stream_topic, write_topic
 from cardsentry.sources.tables import overwrite_table, scan, stream_scan, write_bucketed
 from cardsentry.streaming.metrics import observed, progress_rows
 from cardsentry.streaming.matcher import WatchlistMatcher
 from cardsentry.streaming.outbox import OutboxWriter
-from cardsentry.streaming.sinks import finish, stream_foreach_batch, stream_to_path, stream_to_table
+from cardsentry.streaming.late import keep_late_rows
+from cardsentry.streaming.state import join_state
+from cardsentry.streaming.sinks import drain, finish, stream_foreach_batch, stream_to_path, stream_to_table
 
 # Fixed values of the scenarios.
 FIXED_NOW = "timestamp'2024-02-01 00:00:00'"      # alert time in rendered messages
@@ -51,6 +56,12 @@ MANY_FILES = 6                                     # dq_report_many_batches: mic
 MATCH_STATUSES = ["ACTIVE"]                        # watchlist_match_filtered
 PUBLISHED_BEFORE = "2024-02"                       # high_water_mark_slice: months already delivered
 LATE_SPLIT = "2024-01-15 00:00:00"                 # late_rows_dropped: second drop holds the older rows
+TOPIC_START = 100                                  # kafka_offsets_resume: first offset wanted of partition 0
+TOPIC_BATCHES = 5                                  # kafka_offsets_resume: bounded micro-batches of the first run
+LATE_PARTITIONS = 4                                # late_rows_kept: the late half comes in partitions of its own
+OUTBOX_DROPS = 4                                   # notification_outbox_repeated: drops, each with alerts of the one before
+MATCH_DROPS = 6                                    # watchlist_match_compacted: micro-batches of the run
+MERGE_FAN_IN = 2                                   # watchlist_match_compacted: segments merged into one
 CLOCK_COLUMNS = {"ingesttime", "bronze_ingestion_ts", "silver_ingestion_ts", "ingestion_timestamp",
                  "bronze_ingestion_timestamp", "silver_ingestion_timestamp", "alert_ts",
                  "alert_timestamp", "source_file"}
@@ -296,6 +307,40 @@ def _plain_text(df: DataFrame, column: str):
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss") if isinstance(kind, T.TimestampType) else F.col(column).cast("string")
 
 
+def q_kafka_offsets_resume(spark, sf_dir):
+    """The topic as a stream with offsets: half of it is delivered, read in bounded
+    micro-batches from given starting offsets, and the query is stopped; then the
+    rest is delivered and the query started again, with starting offsets that no
+    longer matter.  Every (partition, offset) arrives once."""
+    run = Run(spark, "kafka_offsets_resume")
+    records = kafka_batch(DriverTables(spark, sf_dir))
+    middle = records.agg(F.floor(F.max("offset") / 2)).first()[0]
+    topic, out, checkpoint = run.path("topic"), run.path("out"), run.checkpoint("out")
+    limit = max(1, int(middle) // TOPIC_BATCHES)
+    for half, start in ((F.col("offset") <= middle, f'{{"{D.KAFKA_TOPIC}": {{"0": {TOPIC_START}}}}}'),
+                        (F.col("offset") > middle, "latest")):
+        write_topic(records.where(half), topic)
+        stream = stream_topic(spark, topic, D.KAFKA_TOPIC, start, max_offsets_per_trigger=limit, checkpoint=checkpoint)
+        run.queries.append(drain(stream, out, checkpoint))
+    return (spark.read.parquet(out).groupBy("partition", "offset")
+            .agg(F.count(F.lit(1)).alias("copies"), F.max(F.col("value").cast("string")).alias("value"),
+                 F.max(F.col("timestamp").cast("timestamp_ntz")).alias("timestamp")))
+
+
+def q_schema_evolution_stream(spark, sf_dir):
+    """The watchlist feed whose later files hold a field that the schema, inferred
+    from the first ones, does not know."""
+    run = Run(spark, "schema_evolution_stream")
+    src = DriverTables(spark, sf_dir)
+    lines = D.watchlist_lines(src.table("customer"), src.table("nation"))
+    extra, feed = D.WATCHLIST_EXTRA_FIELD[0], run.path("watchlist_feed")
+    later = F.contains("value", F.lit(f'"{extra}"'))
+    for part in (~later, later):
+        D.write_feed(lines.where(part), feed)
+        run_evolving(spark, feed, run.path("schema"), run.path("out"), run.checkpoint("out"))
+    return read_evolved(spark, run.path("schema"), run.path("out")).select(*WATCHLIST_RECORD.fieldNames(), extra, "_rescued_data")
+
+
 # --- silver and data quality ----------------------------------------------
 
 def q_silver_transactions(spark, sf_dir):
@@ -526,6 +571,59 @@ def q_late_rows_dropped(spark, sf_dir):
                     F.lit(dropped > 0).alias("late_rows_dropped")))
 
 
+def q_late_rows_kept(spark, sf_dir):
+    """As ``late_rows_dropped``, from a topic, with the dropped rows set aside: the
+    count's checkpoint tells the offsets and the watermark of each micro-batch."""
+    run = Run(spark, "late_rows_kept")
+    src = DriverTables(spark, sf_dir)
+    records = kafka_batch(src)
+    split = F.col("timestamp") >= F.lit(LATE_SPLIT).cast("timestamp")
+    topic, counts_path, ckpt = run.path("topic"), run.path("counts"), run.checkpoint("counts")
+    parsed = lambda rows: silver_transactions(bronze_transactions(rows), observation=None)
+    for late in (False, True):
+        part = records.where(~split if late else split)
+        # offsets of a partition only grow: what comes late comes in other partitions
+        write_topic(part.withColumn("partition", F.col("partition") + (LATE_PARTITIONS if late else 0)), topic)
+        counts = tumbling_counts(parsed(stream_topic(spark, topic, D.KAFKA_TOPIC)))
+        run.queries.append(drain(counts, counts_path, ckpt))
+    keep_late_rows(spark, ckpt, lambda start, end: parsed(read_topic(
+        spark, topic, D.KAFKA_TOPIC, json.dumps(start), json.dumps(end))), run.path("late"))
+    late = spark.read.parquet(run.path("late"))
+    return late.select("transaction_id", "kafka_partition", "kafka_offset",
+                       F.col("transaction_timestamp").cast("timestamp_ntz").alias("transaction_timestamp"),
+                       F.col("late_watermark").cast("timestamp_ntz").alias("late_watermark"))
+
+
+def q_join_state_rows(spark, sf_dir):
+    """What the stream-stream join remembers, read from its state store: rows of each
+    side by card."""
+    run = Run(spark, "join_state_rows")
+    src = DriverTables(spark, sf_dir)
+    run.materialize(watchlist_matches(silver_tx_stream(src), silver_wl_stream(run, src)).select(*MATCH_COLUMNS))
+    state = join_state(spark, run.checkpoint("out"))
+    return state.groupBy("side", F.col("join_key").alias("card_number")).agg(F.sum("rows").alias("state_rows"))
+
+
+def q_watchlist_match_compacted(spark, sf_dir):
+    """The matcher over several micro-batches, with the segments of its history merged
+    between them."""
+    run = Run(spark, "watchlist_match_compacted")
+    src = DriverTables(spark, sf_dir)
+    drops, lines = run.path("event_files"), D.watchlist_lines(src.table("customer"), src.table("nation"))
+    events, feed = src.table("events"), run.path("watchlist_feed")
+    slot = F.pmod(F.xxhash64("event_id"), F.lit(MATCH_DROPS)).cast("int")
+    matcher = WatchlistMatcher(run.path("matcher"), card_buckets=CARD_BUCKETS, fan_in=MERGE_FAN_IN)
+    for k in range(MATCH_DROPS):
+        events.where(slot == k).write.parquet(f"{drops}/drop={k}")
+        D.write_feed(lines.where(F.pmod(F.xxhash64("value"), F.lit(MATCH_DROPS)) == k), feed)
+        stream = spark.readStream.schema(events.schema).parquet(drops)
+        txns = silver_transactions(bronze_transactions(D.kafka_records(stream.drop("drop"), src.table("nation"))))
+        wl = silver_watchlist(stream_json_records(spark, feed, WATCHLIST_RECORD))
+        run.queries.append(finish(matcher.start(txns, wl, run.checkpoint("matcher"))))
+    assert len(matcher.tx.segments(spark)) < MATCH_DROPS and len(matcher.wl.segments(spark)) < MATCH_DROPS
+    return comparable(matcher.matches(spark).select(*MATCH_COLUMNS))
+
+
 # --- notifications ----------------------------------------------------------
 
 def _batch_high_value(run: Run, src: DriverTables) -> DataFrame:
@@ -597,6 +695,22 @@ def q_notification_outbox(spark, sf_dir):
         "alert_id", "alert_type", "recipient", "status", "subject")
 
 
+def q_notification_outbox_repeated(spark, sf_dir):
+    """Alerts delivered in several drops, each with all alerts of the drop before once
+    more: one message per alert, from the drop that brought it first."""
+    run = Run(spark, "notification_outbox_repeated")
+    alerts_path, drops = run.path("alerts"), run.path("alert_drops")
+    _batch_fraud(run, DriverTables(spark, sf_dir)).write.parquet(alerts_path)
+    alerts = spark.read.parquet(alerts_path)
+    slot = F.conv(F.substring(F.md5("alert_id"), 1, 4), 16, 10).cast("long") % OUTBOX_DROPS
+    sink = OutboxWriter(run.path("outbox"), render_fraud, fan_in=MERGE_FAN_IN)
+    for k in range(OUTBOX_DROPS):
+        alerts.where(slot.isin(k, max(k - 1, 0))).write.parquet(f"{drops}/drop={k}")
+        stream = spark.readStream.schema(alerts.schema).parquet(drops).drop("drop")
+        run.queries.append(finish(stream_foreach_batch(stream, sink, run.checkpoint("outbox"))))
+    return spark.read.parquet(run.path("outbox")).select("alert_id", "recipient", "status", F.col("batch_id").cast("long").alias("drop"))
+
+
 def q_notification_batch_summary(spark, sf_dir):
     return batch_summary(_outbox(spark, sf_dir, "notification_batch_summary"))
 
@@ -610,6 +724,8 @@ QUERIES = {k: sized(v) for k, v in {
     "bronze_watchlist": q_bronze_watchlist,
     "rescued_data": q_rescued_data,
     "file_lineage": q_file_lineage,
+    "kafka_offsets_resume": q_kafka_offsets_resume,
+    "schema_evolution_stream": q_schema_evolution_stream,
     "high_water_mark_slice": q_high_water_mark_slice,
     "high_water_mark_empty": q_high_water_mark_empty,
     "inferred_schema_stream": q_inferred_schema_stream,
@@ -635,10 +751,14 @@ QUERIES = {k: sized(v) for k, v in {
     "tumbling_counts": q_tumbling_counts,
     "sliding_counts": q_sliding_counts,
     "late_rows_dropped": q_late_rows_dropped,
+    "late_rows_kept": q_late_rows_kept,
+    "join_state_rows": q_join_state_rows,
+    "watchlist_match_compacted": q_watchlist_match_compacted,
     "render_high_value_notification": q_render_high_value_notification,
     "render_fraud_notification": q_render_fraud_notification,
     "notification_undeliverable": q_notification_undeliverable,
     "notification_outbox": q_notification_outbox,
+    "notification_outbox_repeated": q_notification_outbox_repeated,
     "notification_batch_summary": q_notification_batch_summary,
     "notification_outbox_high_value": q_notification_outbox_high_value,
     "notification_table_flow": q_notification_table_flow,

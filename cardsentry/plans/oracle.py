@@ -232,6 +232,8 @@ def sliding_cte() -> str:
   WHERE w + INTERVAL 5 MINUTE <= (SELECT max(transaction_timestamp) - INTERVAL 10 MINUTE FROM good))"""
 
 
+# Fixed values of the scenarios, as in the catalog.
+TOPIC_START, LATE_PARTITIONS, OUTBOX_DROPS, LATE_SPLIT = 100, 4, 4, "2024-01-15 00:00:00"
 FIXED_NOW_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
 
 
@@ -385,6 +387,23 @@ def oracles() -> dict[str, str]:
         "watchlist_match_bounded": _matches("7 DAY"),
         "watchlist_match_salted": _matches(),
         "watchlist_match_incremental": _matches(),
+        "watchlist_match_compacted": _matches(),
+        "kafka_offsets_resume": with_ctes(tx_cte()) + f"""SELECT partition, "offset", CAST(1 AS BIGINT) AS copies, value,
+  timestamp FROM ({envelope_select()}) WHERE NOT (partition = 0 AND "offset" < {TOPIC_START})""",
+        "schema_evolution_stream": with_ctes(wl_cte()) + f"""SELECT {", ".join(D.WATCHLIST_FIELDS)},
+  CASE WHEN has_extra AND NOT cut THEN {D.WATCHLIST_EXTRA_FIELD[1]} END AS {D.WATCHLIST_EXTRA_FIELD[0]},
+  CASE WHEN cut THEN _rescued_data END AS _rescued_data
+FROM bwl JOIN (SELECT c_custkey AS k, has_extra FROM wl_src) ON k = c_custkey""",
+        "late_rows_kept": with_ctes(tx_cte()) + f""", w AS (
+  SELECT date_trunc('millisecond', max(transaction_timestamp)) - INTERVAL 10 MINUTE AS late_watermark FROM good
+  WHERE transaction_timestamp >= TIMESTAMP '{LATE_SPLIT}')
+SELECT transaction_id, CAST(event_id % {D.KAFKA_PARTITIONS} + {LATE_PARTITIONS} AS INTEGER) AS kafka_partition,
+  event_id AS kafka_offset, transaction_timestamp, late_watermark
+FROM good, w WHERE transaction_timestamp < TIMESTAMP '{LATE_SPLIT}'
+  AND date_trunc('minute', transaction_timestamp) + INTERVAL 1 MINUTE <= late_watermark""",
+        "join_state_rows": ALL() + """SELECT 'left' AS side, upper(card_number) AS card_number, count(*) AS state_rows
+FROM good WHERE card_number IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'right', entity_id, count(*) FROM swl WHERE entity_id IS NOT NULL GROUP BY ALL""",
         "watchlist_match_filtered": f"SELECT w.way, m.* EXCLUDE (status) FROM ({_matches(extra=', w.status')}) m "
             "CROSS JOIN (SELECT unnest(['state', 'tables']) AS way) w WHERE m.status = 'ACTIVE'",
         "fraud_card_alert": fraud + "SELECT * EXCLUDE (alert_timestamp) FROM fca",
@@ -399,6 +418,8 @@ def oracles() -> dict[str, str]:
                                                   "FROM fca WHERE coalesce(customer_email, '') = ''",
         "notification_outbox": fraud_now + f"SELECT alert_id, alert_type, customer_email AS recipient, "
                                            f"{_status()} AS status, {fraud_subject()} AS subject FROM fca",
+        "notification_outbox_repeated": fraud_now + f"""SELECT alert_id, customer_email AS recipient, {_status()} AS status,
+  CAST('0x' || substr(md5(alert_id), 1, 4) AS BIGINT) % {OUTBOX_DROPS} AS drop FROM fca""",
         "notification_outbox_high_value": with_ctes(tx_cte(), cu_cte(), hv_cte(FIXED_NOW_SQL))
             + f"SELECT alert_id, alert_type, recipient, CASE WHEN coalesce(recipient, '') <> '' THEN 'ready' "
               f"ELSE 'no_recipient' END AS status, subject FROM (SELECT {high_value_render()} FROM hv)",

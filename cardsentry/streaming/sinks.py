@@ -59,6 +59,19 @@ def stream_foreach_batch(df: DataFrame, fn, checkpoint: str, available_now: bool
     return w.foreachBatch(fn).start()
 
 
+def drain(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+    """Append the stream to files until nothing is left to read, then stop.
+
+    Unlike ``availableNow`` this takes as many bounded micro-batches as a source wants, and
+    the closing batch without data that evicts state by the newest watermark."""
+    query = df.writeStream.option("checkpointLocation", checkpoint).format(fmt).start(path)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def finish(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query to finish; re-raise its failure.
 
