@@ -36,9 +36,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, byte_view, chunk_rows, constants, id_or_null, mix, pack, partitions, plan_bytes, unpack
+from .common import NO_ID, byte_view, chunk_rows, constants, id_or_null, mix, pack, partitions, plan_bytes, starts_of, unpack
 from .components import components
-from .op5_jaccard import node_names, pair_batches, runs_of, shingle_sets
+from .op5_jaccard import node_names, shingle_sets
 from .skew import keyed_join, written
 
 WORDS = 2
@@ -50,7 +50,9 @@ SKETCH_LOG2, PIECE_LOG2 = 20, 12
 #: log2 of the nodes from which a posting list is spread over several buckets.
 SPLIT_LOG2 = 16
 #: Nodes of a tile.
-TILE = 500
+TILE = 256
+#: So many tiles of nodes outside a group's largest component meet each other at once.
+FEW_TILES = 4
 #: Stored input bytes behind one bucket of postings.
 BUCKET_BYTES = 32 << 20
 #: Nodes after which a task sends the postings it has gathered.
@@ -242,9 +244,12 @@ def meetings_left(sig: np.ndarray) -> np.ndarray:
 def collide(node, n, sig, side=None, label=None, sets=None):
     """Edges that connect the pairs of a tile at the match threshold, confirmed by ``sets`` where given.
 
-    With ``side`` only pairs of different sides meet, with ``label`` only those of different labels.
+    With ``side`` only pairs of different sides meet, with ``label`` only those of different labels;
+    without labels every component found is tied to its least node, so that tiles with nearly
+    the same members give the same edges.
     """
-    label = np.arange(len(node)) if label is None else np.unique(label, return_inverse=True)[1]
+    fresh = label is None
+    label = np.arange(len(node)) if fresh else np.unique(label, return_inverse=True)[1]
     alive, out = meetings_left(sig), []
     if not len(alive):
         return out
@@ -258,6 +263,19 @@ def collide(node, n, sig, side=None, label=None, sets=None):
         at = np.append(np.flatnonzero(np.concatenate(([True], value[1:, c] != value[:-1, c]))), len(value))
         length[order[:, c], c] = np.repeat(np.diff(at), np.diff(at))
     length = np.where(length > 1, length, len(sig) + 1)  # a list of one meets nobody
+    if sets is not None:
+        sets = [sets[k] for k in alive]
+        size = np.array([len(x) for x in sets])
+        shingles, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        ids, held = np.split(ids, np.cumsum(size)[:-1]), np.zeros(len(shingles), bool)
+
+    def linked(i, j):
+        """Which of ``j`` share enough shingles with ``i``, by exact counts."""
+        held[ids[i]] = True
+        common = np.add.reduceat(held[np.concatenate([ids[k] for k in j])], np.cumsum(size[j]) - size[j], dtype=np.int64)
+        held[ids[i]] = False
+        return OVER * common >= UNDER * (size[i] + size[j] - common)
+
     for i in range(len(node)):
         j = np.arange(i + 1, len(node)) if side is None else np.flatnonzero(side != side[i])
         j = j[(j > i) & (label[j] != label[i]) & (UNDER * np.maximum(n[j], n[i]) <= OVER * np.minimum(n[j], n[i]))]
@@ -274,37 +292,67 @@ def collide(node, n, sig, side=None, label=None, sets=None):
             rest = rest[len(lot):]
             near = count + len(rest) >= MATCHES
             j, count = j[near], count[near]
-        j = j[np.argsort(-count, kind="stable")]
+        if sets is not None and len(j):
+            j = j[linked(i, j)]
         while len(j):
-            k, j = j[0], j[1:]
-            if sets is not None:
-                a, b = sets[alive[i]], sets[alive[k]]
-                place = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                common = int((b[place] == a).sum())
-                if OVER * common < UNDER * (len(a) + len(b) - common):
-                    continue
-            out.append((node[i], node[k]))
-            label[label == label[k]] = label[i]
+            out.append((node[i], node[j[0]]))
+            label[label == label[j[0]]] = label[i]
             j = j[label[j] != label[i]]
-    return out
+    if not fresh:
+        return out
+    order = np.lexsort((node, label))
+    at = starts_of(label[order])
+    least = np.repeat(node[order][at], np.diff(np.append(at, len(order))))
+    return [(a, b) for a, b in zip(least.tolist(), node[order].tolist()) if a != b]
+
+
+def tiles_of(batches, columns: list[str]):
+    """Rows of sorted batches tile by tile: ``((g, ta, tb), rows)``."""
+    key, rows = None, []
+    for batch in batches:
+        for k, row in zip(zip(*(batch.column(c).to_pylist() for c in ("g", "ta", "tb"))),
+                          zip(*(batch.column(c).to_pylist() for c in columns))):
+            if k != key:
+                if rows:
+                    yield key, rows
+                key, rows = k, []
+            rows.append(row)
+    if rows:
+        yield key, rows
 
 
 def compared(seats: DataFrame, features: DataFrame, confirm: bool) -> DataFrame:
-    """``(a, b)``: edges found in the tiles ``(g, ta, tb, node, tile, label)``, by the nodes' features."""
-    columns = ["node", "tile", "label", "n", "sig"] + ["shingles"] * confirm
+    """``(g, a, b)``: edges (``g`` null) found in the tiles ``(g, ta, tb, node, tile, label, report)``.
 
-    def run(batches):
-        def edges(key, rows):
-            node, tile, label, n, sig, *sets = zip(*rows)
+    A tile that reports also gives one node of each of its components as ``(g, a, null)``.
+    """
+    columns = ["node", "tile", "label", "report", "n", "sig"] + ["shingles"] * confirm
+
+    def edges(key, rows):
+        node, tile, label, report, n, sig, *sets = zip(*rows)
+        found = []
+        if len(node) > 1:
             side = None if key[1] == key[2] else np.array(tile) != key[1]
-            return collide(np.array(node), np.array(n), np.frombuffer(b"".join(sig), np.uint32).reshape(-1, COORDINATES),
-                           side, None if label[0] is None else np.array(label),
-                           [np.frombuffer(s, np.uint64) for s in sets[0]] if sets else None)
+            found = collide(np.array(node), np.array(n), np.frombuffer(b"".join(sig), np.uint32).reshape(-1, COORDINATES),
+                            side, None if label[0] is None else np.array(label),
+                            [np.frombuffer(s, np.uint64) for s in sets[0]] if sets else None)
+        out = [(None, int(a), int(b)) for a, b in found]
+        if report[0]:
+            out += [(key[0], x, None) for x in sorted(set(node) - {b for _, _, b in out})]
+        return out
 
-        yield from pair_batches(edges(key, rows) for key, rows in runs_of(batches, ["g", "ta", "tb"], columns))
+    def run(batches):
+        out = []
+        for key, rows in tiles_of(batches, columns):
+            out += edges(key, rows)
+            if len(out) >= 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["g", "a", "b"])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["g", "a", "b"])
 
     return (seats.join(features, "node").repartition("g", "ta", "tb").sortWithinPartitions("g", "ta", "tb", "node")
-            .select("g", "ta", "tb", *columns).mapInArrow(run, "a long, b long").distinct())
+            .select("g", "ta", "tb", *columns).mapInArrow(run, "g long, a long, b long").distinct())
 
 
 def size_band(n):
@@ -330,41 +378,67 @@ def still_apart(groups: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def seats_of(apart: DataFrame, everyone: bool) -> DataFrame:
-    """Tiles in which the largest component of a group meets the others (and, with ``everyone``, these each other)."""
+    """Tiles in which the largest component of a group meets the others, and these each other.
+
+    The others of a group of many tiles only do so with ``everyone``.
+    """
     tile = F.when(F.col("main"), F.pmod(F.xxhash64("node"), F.col("p"))).otherwise(
         F.col("p") + F.pmod(F.xxhash64("node"), F.col("q"))).cast("int")
     last = F.col("p") + F.col("q") - 1
-    meets = F.when(F.col("main"), F.sequence(F.col("p"), last)).otherwise(
-        F.sequence(F.lit(0), last if everyone else F.col("p") - 1))
+    meets = F.when(F.col("main"), F.sequence(F.col("p"), last)).otherwise(F.sequence(
+        F.lit(0), F.when(F.lit(everyone) | (F.col("q") <= FEW_TILES), last).otherwise(F.col("p") - 1)))
     out = apart.withColumn("tile", tile).withColumn("other", F.explode(meets))
     return out.select("g", F.least("tile", "other").alias("ta"), F.greatest("tile", "other").alias("tb"), "node", "tile",
-                      F.col("comp").alias("label"))
+                      F.col("comp").alias("label"), F.lit(False).alias("report"))
 
 
-def joined(first: DataFrame, groups: DataFrame, features: DataFrame, confirm: bool) -> DataFrame:
-    """Components of all edges inside ``groups``, from the edges ``first`` found inside their tiles."""
-    edges = written(first)
-    found = components(edges)
-    for everyone in () if groups.isEmpty() else (False, True):
+def joined(first: DataFrame, members, features: DataFrame, confirm: bool) -> DataFrame:
+    """Components of all edges inside groups, from the edges ``first`` found inside their tiles.
+
+    ``members(open)`` gives the groups ``(g, node, n)`` of the tile groups ``open`` (column ``g``)
+    whose reported nodes are not all connected.
+    """
+    first = written(first)
+    found = components(first.filter("b IS NOT NULL").select("a", "b"))
+    told = first.filter("b IS NULL").select("g", F.col("a").alias("node"))
+    if told.isEmpty():
+        return found
+    groups, root = members(told.join(found, "node", "left").select("g", F.coalesce("root", "node").alias("comp")))
+    for everyone in (False, True):
         apart = still_apart(groups, found)
         if apart.isEmpty():
             break
         more = written(compared(seats_of(apart, everyone), features, confirm))
-        edges = edges.union(more)
-        found = components(edges)
+        # what is known already is a star by component
+        found = components(written(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b"))))
+        groups = apart.filter(F.col("q") > FEW_TILES).join(root, "node").select("g", "node", "n")
+        if everyone or groups.isEmpty():
+            break
     return found
 
 
+def open_groups(comps: DataFrame, group: str = "g") -> DataFrame:
+    """The groups with nodes of several components."""
+    return (comps.groupBy(group).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select(group))
+
+
 def possible_classes(nodes: DataFrame, n_buckets: int) -> DataFrame:
     """``(node, root)``: components of the pairs at the match threshold."""
     nodes = nodes.filter(F.col("sig").isNotNull()).select("node", "n", "sig")
     lists = written(postings(nodes, frequencies(nodes), n_buckets))
-    seats = (lists.groupBy("name").agg(F.first("nodes").alias("nodes"))
-             .select(F.col("name").alias("g"), F.explode("nodes").alias("node"))
+    seats = (lists.groupBy("name").agg(F.first("nodes").alias("nodes"), F.max(F.col("long_key").isNotNull()).alias("report"))
+             .select(F.col("name").alias("g"), F.explode("nodes").alias("node"), "report")
              .select("g", F.lit(0).alias("ta"), F.lit(0).alias("tb"), "node", F.lit(0).alias("tile"),
-                     F.lit(None).cast("long").alias("label")))
-    long_lists = lists.filter(F.col("long_key").isNotNull()).select(F.col("long_key").alias("g"), F.explode("nodes").alias("node"))
-    return joined(compared(seats, nodes, False), long_lists.join(nodes.select("node", "n"), "node"), nodes, False)
+                     F.lit(None).cast("long").alias("label"), "report"))
+    long_lists = lists.filter(F.col("long_key").isNotNull())
+    sizes = nodes.select("node", "n")
+
+    def members(comps):
+        keys = open_groups(comps.join(long_lists.select(F.col("name").alias("g"), "long_key"), "g"), "long_key")
+        rows = long_lists.join(keys, "long_key").select(F.col("long_key").alias("g"), F.explode("nodes").alias("node"))
+        return written(rows.distinct().join(sizes, "node")), sizes
+
+    return joined(compared(seats, nodes, False), members, nodes, False)
 
 
 def confirmed_classes(rows: DataFrame, nodes: DataFrame, possible: DataFrame) -> DataFrame:
@@ -391,9 +465,13 @@ def confirmed_classes(rows: DataFrame, nodes: DataFrame, possible: DataFrame) ->
     placed = keyed_join(wanted.select("node", "n", "root"), sizes, "root", "c")
     tile = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     seats = placed.select(F.col("root").alias("g"), tile.alias("ta"), tile.alias("tb"), "node", tile.alias("tile"),
-                          F.lit(None).cast("long").alias("label"))
-    large = placed.filter("parts > 1").select(F.col("root").alias("g"), "node", "n")
-    return joined(compared(seats, features, True), large, features, True)
+                          F.lit(None).cast("long").alias("label"), (F.col("parts") > 1).alias("report"))
+
+    def members(comps):
+        rows = placed.select(F.col("root").alias("g"), "node", "n").join(open_groups(comps), "g")
+        return written(rows), wanted.select("node", "n")
+
+    return joined(compared(seats, features, True), members, features, True)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
