@@ -69,6 +69,14 @@ def id_or_null(col: str = "doc_id"):
     return F.when(F.col(col) != NO_ID, F.col(col)).alias(col)
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """Names for helper columns that clash with none of ``columns``, whatever their case."""
+    taken, prefix = {c.lower() for c in columns}, "__"
+    while any((prefix + n).lower() in taken for n in names):
+        prefix += "_"
+    return [prefix + n for n in names]
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only in a local session without it."""
     sc = spark.sparkContext

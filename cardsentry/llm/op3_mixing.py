@@ -17,11 +17,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import free_names, plan_bytes
+from .skew import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-#: Leading hexadecimal digits of the seeded key that split a source's running sum.
-SPLIT_DIGITS = 2
+#: Least leading hexadecimal digits of the seeded key that split a source's running sum,
+#: and the stored input bytes from which a further digit splits it.
+SPLIT_DIGITS, PART_BYTES = 2, 64 << 20
 
 
 def n_words(text: Column) -> Column:
@@ -58,6 +62,14 @@ def targets(sources: DataFrame, max_epochs: float = MAX_EPOCHS) -> DataFrame:
             .drop("stop", "ratio", "level", "place", "water"))
 
 
+def split_digits(docs: DataFrame) -> int:
+    """Leading digits of the seeded key that split a source: more for a larger table, with the same result."""
+    digits, size = SPLIT_DIGITS, plan_bytes(docs)
+    while size > PART_BYTES * 16 ** digits:
+        digits += 1
+    return digits
+
+
 def mix(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, max_epochs: float = MAX_EPOCHS) -> DataFrame:
     """Every document with ``size``, ``source_size``, ``target``, ``taken``.
 
@@ -66,28 +78,26 @@ def mix(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, max_epochs: float =
     in part.  So a source's taken words are its target rounded down, and no
     document exceeds ``max_epochs`` times its size.  The running sum of a source
     is split by the leading digits of the seeded key, so a hot source is many
-    groups.
+    groups.  Texts are shuffled only where the caller keeps them.
     """
     own = ("size", "source_size", "target", "taken")
-    sized = docs.drop(*own, "_key", "_part").withColumns({
-        "size": n_words(F.col("text")),
-        "_key": F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
-    }).withColumn("_part", F.substring("_key", 1, SPLIT_DIGITS))
-    parts = sized.groupBy("source", "_part").agg(F.sum("size").alias("part_size"))
-    goals = targets(cycled_weights(parts.groupBy("source").agg(F.sum("part_size").alias("source_size")), weights),
-                    max_epochs).drop("weight")
-    before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (parts.withColumn("part_start", F.coalesce(F.sum("part_size").over(before), F.lit(0)))
-              .join(goals.withColumnRenamed("source", "g"), F.expr("source <=> g")).drop("g", "part_size")
-              .withColumnRenamed("source", "s").withColumnRenamed("_part", "p"))
-    running = Window.partitionBy("source", "_part").orderBy("_key", "size", F.xxhash64("text")) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    begin = F.col("part_start") + F.coalesce(F.sum("size").over(running), F.lit(0))
+    extra = [c for c in docs.columns if c.lower() not in own]
+    key, part, tie, ahead, g, p, start = free_names(docs.columns, "key", "part", "tie", "ahead", "source", "p", "start")
+    sized = docs.select(*extra, n_words(F.col("text")).alias("size"), F.xxhash64("text").alias(tie),
+                        F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias(key)) \
+        .withColumn(part, F.substring(key, 1, split_digits(docs)))
+    parts = written(sized.groupBy(F.col("source").alias(g), F.col(part).alias(p)).agg(F.sum("size").alias("part_size")))
+    goals = targets(cycled_weights(parts.groupBy(F.col(g).alias("source")).agg(F.sum("part_size").alias("source_size")),
+                                   weights), max_epochs).select("source", "source_size", "target")
+    before = Window.partitionBy(g).orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(parts.withColumn(start, F.coalesce(F.sum("part_size").over(before), F.lit(0)))
+                     .join(goals, F.col(g).eqNullSafe(F.col("source"))).select(g, p, start, "source_size", "target"))
+    running = Window.partitionBy("source", part).orderBy(key, "size", tie).rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumn(ahead, F.coalesce(F.sum("size").over(running), F.lit(0)))
     goal = F.floor("target")
     whole = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(0)
-    rest = goal - whole * F.col("source_size")
-    taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_begin")))
-    out = (sized.join(starts, F.expr("source <=> s AND _part = p")).withColumn("_begin", begin)
-           .withColumn("taken", taken.cast("long")))
-    extra = [c for c in docs.columns if c not in own]
-    return out.select(*extra, *own)
+    rest = goal - whole * F.col("source_size") - F.col(start) - F.col(ahead)
+    taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
+    # the starts are a table of sources times parts; its file size decides whether it is broadcast
+    out = placed.join(starts, F.col("source").eqNullSafe(F.col(g)) & (F.col(part) == F.col(p)))
+    return out.withColumn("taken", taken.cast("long")).select(*extra, *own)
