@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, free_names
 
 # The patterns of the findings, in the order in which kinds are listed.
 ASSIGN = (r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
@@ -35,9 +35,35 @@ COMPLEMENTS = {"secret": ("identifier", "endpoint"), "identifier": ("secret",),
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 WEAK_ASSIGN, WEAK_ACCESS = 6, 12
 SCOPE = 120
+#: Entries of a block of running sums; code points of a piece of text that is redacted at a time.
+SUM_BLOCK, PIECE = 64, 8192
 
 
-def _matches(text: Column, pattern: str, kind: Column, accept=None) -> Column:
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _before(lengths: Column) -> Column:
+    """For every entry of an integer array the sum of those before it.
+
+    Sums run inside blocks and over the blocks, so the time follows the array's length.
+    """
+    add = lambda x: F.aggregate(x, F.lit(0), lambda a, b: a + b)
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def over_blocks(blocks):
+        starts = F.aggregate(blocks, zero, lambda a, b: F.struct(
+            (a["at"] + add(b)).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        return F.flatten(F.zip_with(blocks, starts, lambda b, at: F.transform(
+            b, lambda _, i: at + add(F.slice(b, F.lit(1), i)))))
+
+    return _let(lengths, lambda x: _let(
+        F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / SUM_BLOCK).cast("int")),
+                    lambda c: F.slice(x, c * SUM_BLOCK + 1, F.lit(SUM_BLOCK))), over_blocks))
+
+
+def _matches(text: Column, pattern: str, kind: Column) -> Column:
     """Array of ``(s, e, kind)`` of a pattern's matches, leftmost and non-overlapping.
 
     The pieces between matches give the positions.  ``kind`` maps a match (a
@@ -45,19 +71,18 @@ def _matches(text: Column, pattern: str, kind: Column, accept=None) -> Column:
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<s:int,e:int,kind:int>>")
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    # the piece after the last match comes with a null match, and is dropped
+    pairs = F.zip_with(gaps, found, lambda g, m: F.struct(
+        F.length(g).alias("g"), F.length(m).alias("m"),
+        F.when(m.isNotNull(), kind(m)).cast("int").alias("kind")))
 
-    def step(acc, pair):
-        s = acc["at"] + F.length(pair["g"])
-        e = s + F.length(pair["m"])
-        k = kind(pair["m"])
-        one = F.struct(s.cast("int").alias("s"), e.cast("int").alias("e"), k.cast("int").alias("kind"))
-        return F.struct(e.cast("int").alias("at"),
-                        F.when(k.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
+    def placed(ps):
+        return F.zip_with(ps, _before(F.transform(ps, lambda p: p["g"] + p["m"])), lambda p, at: F.struct(
+            (at + p["g"]).alias("s"), (at + p["g"] + p["m"]).alias("e"), p["kind"].alias("kind")))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, zero, step, lambda a: a["out"])).otherwise(empty)
+    empty = F.array().cast("array<struct<s:int,e:int,kind:int>>")
+    return F.when(F.regexp_like(text, F.lit(pattern)),
+                  F.filter(_let(pairs, placed), lambda p: p["kind"].isNotNull())).otherwise(empty)
 
 
 def _by_length(length, strong: int, strong_kind: int, weak: int, weak_kind: int) -> Column:
@@ -143,19 +168,31 @@ def report(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[secret]", scope: int = SCOPE) -> DataFrame:
-    """The rows with every span (overlapping ones as one) replaced by ``mark``."""
-    hits = (scan(docs, scope).filter(F.size("spans") > 0).groupBy(F.col("key").alias("__key"))
-            .agg(F.first("spans").alias("__spans")))
-    text = F.col("text")
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, p):
-        piece = F.when(p["s"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, p["s"] - acc["at"]), F.lit(mark))) \
-            .otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], p["e"]).alias("at"), F.concat(acc["out"], piece).alias("out"))
-
-    clean = F.aggregate("__spans", zero, step, lambda a: F.concat(
-        a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return (docs.withColumn("__key", row_key(F.col("doc_id"), text)).join(hits, "__key", "left")
-            .withColumn("text", F.when(F.col("__spans").isNotNull(), clean).otherwise(text))
+    """The rows with every span (overlapping ones as one) replaced by ``mark``.
+
+    A text is worked on piece by piece, so the time follows its length and its spans.
+    """
+    key, own, spans = free_names(docs.columns, "key", "own", "spans")
+    hits = (scan(docs.select("doc_id", "text"), scope).filter(F.size("spans") > 0).groupBy(F.col("key").alias(own))
+            .agg(F.first("spans").alias(spans)))
+    text = F.col("text").cast("string")
+
+    def clean(piece, number):
+        begin = number * PIECE
+        covered = F.aggregate(F.filter(spans, lambda p: p["s"] < begin), begin, lambda a, p: F.greatest(a, p["e"]))
+        inside = F.filter(spans, lambda p: (p["s"] >= begin) & (p["s"] < begin + PIECE))
+        zero = F.struct(covered.alias("at"), F.lit("").alias("out"))
+
+        def step(acc, p):
+            more = F.when(p["s"] >= acc["at"], F.concat(
+                F.substring(piece, acc["at"] - begin + 1, p["s"] - acc["at"]), F.lit(mark))).otherwise(F.lit(""))
+            return F.struct(F.greatest(acc["at"], p["e"]).alias("at"), F.concat(acc["out"], more).alias("out"))
+
+        return F.aggregate(inside, zero, step, lambda a: F.concat(
+            a["out"], F.substring(piece, a["at"] - begin + 1, F.lit(PIECE))))
+
+    pieces = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % PIECE), F.lit(0))
+    return (docs.withColumn(key, row_key(F.col("doc_id"), text)).join(hits, F.col(key) == F.col(own), "left")
+            .withColumn("text", F.when(F.col(spans).isNotNull(), F.array_join(F.transform(pieces, clean), ""))
+                        .otherwise(F.col("text")))
             .select(*docs.columns))
