@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, StructType
 
-from .common import byte_view, chunk_rows, lower, mix, powers, prefix_hash, starts_of, word_bounds
+from .common import byte_view, chunk_rows, free_names, lower, mix, powers, prefix_hash, starts_of, word_bounds
 from .common import _BASE_INVERSE
 
 #: Bounds of the labelled sample that the model is fitted on.
@@ -147,12 +147,14 @@ def fit(offsets: np.ndarray, data: np.ndarray, toxic: np.ndarray):
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(text, toxic)``: the bounded labelled sample, chosen by a hash of the id."""
+    labels = labels.select("doc_id", "toxic")
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
              .groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").cast("int").alias("toxic")))
     pick = lambda value, n: (known.filter(F.col("toxic") == value)
                              .orderBy(F.xxhash64("label_id"), "label_id").limit(n))
     chosen = pick(1, MAX_TOXIC).union(pick(0, MAX_CLEAN))  # at most MAX_TOXIC + MAX_CLEAN rows: broadcast
-    return (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return (rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
             .groupBy("label_id", "toxic").agg(F.min("text").alias("text")))
 
 
@@ -212,12 +214,12 @@ def score(docs: DataFrame, model, locate: bool = False) -> DataFrame:
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)  # at most MAX_FEATURES weights
     rows = docs.drop("score", "offending")
-    names = rows.columns
+    names, (whole,) = rows.columns, free_names(docs.columns, "text")
 
     def run(batches):
         scorer = Scorer(held.value)
         for batch in batches:
-            offsets, data = byte_view(batch.column("__text"))
+            offsets, data = byte_view(batch.column(whole))
             for i, j in chunk_rows(offsets):
                 base = offsets[i]
                 s, (text, begin, end, p) = scorer(offsets[i:j + 1] - base, data[base:offsets[j]])
@@ -234,7 +236,7 @@ def score(docs: DataFrame, model, locate: bool = False) -> DataFrame:
     schema = StructType(rows.schema.fields).add("score", DoubleType())
     if locate:
         schema = schema.add("offending", DataType.fromDDL("array<struct<start:bigint,end:bigint,score:double>>"))
-    return rows.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit(""))).mapInArrow(run, schema)
+    return rows.withColumn(whole, F.coalesce(F.col("text").cast("string"), F.lit(""))).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

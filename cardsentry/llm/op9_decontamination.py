@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import (byte_view, checkpointed, chunk_rows, constants, lower, mix, sequence_hashes,
+from .common import (free_names, byte_view, checkpointed, chunk_rows, constants, lower, mix, sequence_hashes,
                      word_bounds, word_hashes)
 
 WINDOW = 13
@@ -204,6 +204,7 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, in their own columns."""
-    bad = judge(docs, items).filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"))
-    print_ = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(bad, (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))) & (print_ == F.col("__print")), "left_anti")
+    id_, print_ = free_names(docs.columns, "id", "print")
+    bad = judge(docs, items).filter("contaminated").select(F.col("doc_id").alias(id_), F.col("print").alias(print_))
+    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return docs.join(bad, (F.col("doc_id").cast("long").eqNullSafe(F.col(id_))) & (own == F.col(print_)), "left_anti")
