@@ -19,14 +19,14 @@ def components(links: DataFrame) -> DataFrame:
     """
     now = checkpointed(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                        .distinct())
-    seen = None
     while True:
-        state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if state == seen or not state[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                now.select("b", "b").distinct()).distinct() if state[0] else now.select(
-                F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
+        # a forest of stars: every node but the roots has one link, and no root has one upwards
+        ends = now.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            now.select("b", F.lit(0), F.lit(1)))
+        unfinished = (ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+                      .filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))))
+        if unfinished.isEmpty():
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())

@@ -31,9 +31,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (NO_ID, byte_view, checkpointed, chunk_rows, constants, deltas, id_or_null, lower, mix, pack,
+from .common import (NO_ID, byte_view, checkpointed, chunk_rows, constants, deltas, free_names, id_or_null, lower, mix, pack,
                      partitions, plan_bytes, sequence_hashes, starts_of, undelta, unpack, word_bounds, word_hashes)
 from .components import components
+from .skew import keyed_join, written
 
 WORDS = 5
 #: Similarity as a fraction: links have OVER * intersection >= UNDER * union.
@@ -441,7 +442,7 @@ def tile_links(name, side, value, first):
 
 def verified(docs: DataFrame, nodes: DataFrame, possible: DataFrame) -> DataFrame:
     """``(a, b)``: exact links that connect every class."""
-    wanted = checkpointed(possible.join(nodes, "node").select("node", F.col("root").alias("comp"), "n", "least"))
+    wanted = checkpointed(possible.join(nodes, "node").select("node", F.col("root").alias("comp"), "n", "first"))
     seats = tiles(wanted.select("node", "comp", "n"))
 
     def spell(batches):
@@ -456,8 +457,10 @@ def verified(docs: DataFrame, nodes: DataFrame, possible: DataFrame) -> DataFram
                                                    ["node", "own", "shingles"])
                 yield table.filter(pc.equal(table.column("node"), table.column("own"))).select(["node", "shingles"])
 
-    texts = docs.join(wanted.select("node", "least"), F.col("doc_id") == F.col("least")).select("node", "text")
-    # rows that repeat an id may have another set (dropped in spell) or the same one (one is enough)
+    # one row spells a node, whether or not it has an id: the least by id and text
+    spelled = wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.print").alias("print"))
+    texts = docs.join(spelled, ["doc_id", "print"]).select("node", "text")
+    # rows that repeat an id and text spell the same set; one is enough
     sets = texts.mapInArrow(spell, "node long, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles"))
     seated = (sets.join(seats, "node").repartition("comp", "ta", "tb").sortWithinPartitions("comp", "ta", "tb", "node"))
 
@@ -483,16 +486,19 @@ def classes(docs: DataFrame) -> DataFrame:
     both = checkpointed(documents_and_sketch(rows))
     every = both.filter(F.col("piece").isNull())
     documents = every.select("doc_id", "print", "n", "node")
-    nodes = documents.filter("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("least"))
+    nodes = documents.filter("n > 0").groupBy("node").agg(
+        F.min("n").alias("n"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "print")).alias("first"),
+        F.count(F.lit(1)).alias("copies"))
     signed = every.filter("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.first("bits").alias("bits"))
     possible = components(ties(shared_lists(rows, sketch_of(both)), signed))
     linked = components(verified(rows, nodes, possible)).join(nodes.select("node", "least"), "node")
     component = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.select("node", "least").join(
-        linked.select("node", "root").join(component, "root").select("node", "component_id"), "node", "left") \
-        .select("node", F.coalesce("component_id", "least").alias("component_id"))
-    own = documents.filter("n = 0").withColumn("component_id", F.col("doc_id"))
-    out = documents.filter("n > 0").join(named, "node").select("doc_id", "print", "n", "node", "component_id").union(own)
+    named = written(nodes.select("node", "least", "copies").join(
+        linked.select("node", "root").join(component, "root").select("node", "component_id"), "node", "left")
+        .select("node", "copies", F.coalesce("component_id", "least").alias("component_id")))
+    own = documents.filter("n = 0").select("doc_id", "print", "n", "node", F.col("doc_id").alias("component_id"))
+    out = keyed_join(documents.filter("n > 0"), named, "node", "copies").select(
+        "doc_id", "print", "n", "node", "component_id").union(own)
     return out.select(id_or_null("doc_id"), "print", F.col("n").alias("n_shingles"), id_or_null("component_id"))
 
 
@@ -505,8 +511,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = classes(docs).withColumn("component_id", F.coalesce("component_id", F.lit(NO_ID)))
     keep = (found.filter("n_shingles > 0").groupBy("component_id").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "print")).alias("k")).select("k.*"))
-    name = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-                             "__print": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    empty = ~F.coalesce(F.regexp_like(F.col("text"), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-    chosen = name.filter(~empty).join(keep, (F.col("__id") == F.col("id")) & (F.col("__print") == F.col("print")), "left_semi")
-    return chosen.dropDuplicates(["__id", "__print"]).select(*docs.columns).union(docs.filter(empty))
+    id_, print_ = free_names(docs.columns, "id", "print")
+    keep = keep.toDF(*(f"{c}_kept" for c in (id_, print_)))
+    name = docs.withColumns({id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+                             print_: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    empty = ~F.coalesce(F.regexp_like(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    chosen = name.filter(~empty).join(keep, (F.col(id_) == F.col(f"{id_}_kept")) & (F.col(print_) == F.col(f"{print_}_kept")),
+                                      "left_semi")
+    return chosen.dropDuplicates([id_, print_]).select(*docs.columns).union(docs.filter(empty))
