@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express over whole tables.
 
-The others (trained or weighted models, byte strings, linked secrets) are held
-against brute-force versions in the tests.
+The others (trained or weighted models, eigenvectors) are held against
+brute-force versions in the tests.
 """
 
 from __future__ import annotations
@@ -111,6 +111,67 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d"""
 
+SUFFIXES = """WITH b AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+g AS (
+  SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM b WHERE n >= 100)),
+f AS (SELECT doc_id, p FROM g QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+e AS (SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100, -1) AS fresh FROM f),
+i AS (SELECT doc_id, p, count(*) FILTER (WHERE fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM e),
+runs AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS z FROM i GROUP BY doc_id, run),
+cut AS (
+  SELECT doc_id, h, a, z, n, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs JOIN b USING (doc_id)),
+kept AS (
+  SELECT doc_id, sum(z - a) AS lost, count(*) AS spans,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS h
+  FROM cut GROUP BY doc_id)
+SELECT b.doc_id, b.n AS n_bytes, CAST(coalesce(lost, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept.h, b.h))) AS kept_sha256
+FROM b LEFT JOIN kept USING (doc_id)"""
+
+# Patterns of the secret scan, by kind; letters of the first one in either case.
+_KEYWORD = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
+                    for w in ("password", "passwd", "secret", "token", "api_?key"))
+_ASSIGN = "(" + _KEYWORD + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_PATTERNS = [("assign", _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 2))", 12, 6, "weak_assign"),
+             ("access", "AKIA[A-Z0-9]+", "length(m)", 18, 12, "weak_access"),
+             ("hex", "[0-9a-f]{12,}", "length(m)", 16, 0, "weak_hex"),
+             ("endpoint", r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?", "1", 0, 0, "")]
+_ROLES = {"assign": "secret", "hex": "secret", "weak_assign": "secret", "weak_hex": "secret", "access": "identifier",
+          "weak_access": "identifier", "endpoint": "endpoint"}
+_ORDER = ["assign", "access", "hex", "weak_assign", "weak_access", "weak_hex", "endpoint"]
+
+
+def _found(strong: str, pattern: str, length: str, least: int, weak: int, weak_name: str) -> str:
+    kind = f"CASE WHEN {length} >= {least} THEN '{strong}' WHEN {length} >= {weak} THEN nullif('{weak_name}', '') END"
+    return f"""SELECT doc_id, s, e, kind FROM (
+  SELECT doc_id, at - length(m) AS s, at AS e, {kind} AS kind FROM (
+    SELECT doc_id, m, sum(length(g) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS at FROM (
+      SELECT doc_id, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g, unnest(range(1, len(ms) + 1)) AS i FROM (
+        SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM t)
+      WHERE len(ms) > 0))) WHERE kind IS NOT NULL"""
+
+
+SECRETS = f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+k AS (
+  SELECT kind, o, role FROM (VALUES {", ".join(f"('{k}', {o}, '{_ROLES[k]}')" for o, k in enumerate(_ORDER))}) AS v(kind, o, role)),
+f AS (SELECT * FROM ({" UNION ALL ".join(_found(*p) for p in _PATTERNS)}) JOIN k USING (kind)),
+near AS (
+  SELECT DISTINCT w.doc_id, w.s, w.e, w.kind, w.o FROM f w JOIN f p ON w.doc_id = p.doc_id AND w.o > 2
+    AND ((w.role = 'secret' AND p.role IN ('identifier', 'endpoint')) OR (w.role <> 'secret' AND p.role = 'secret'))
+    AND p.s - w.e <= 120 AND w.s - p.e <= 120 AND (p.s >= w.e OR w.s >= p.e)),
+every AS (SELECT doc_id, s, e, kind, o FROM f WHERE o <= 2 UNION ALL SELECT * FROM near),
+r AS (
+  SELECT doc_id, count(*) FILTER (WHERE o = 0) AS n_assign, count(*) FILTER (WHERE o = 1) AS n_access,
+    count(*) FILTER (WHERE o = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) FILTER (WHERE o <= 2) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) AS spans
+  FROM every GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN r USING (doc_id)"""
+
 MINHASH = f"""WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({LOWERED}, '{SPACED}') AS ws FROM documents),
 sets AS (
@@ -159,7 +220,9 @@ FROM a10 JOIN h USING (k) JOIN v USING (i)"""
 
 ORACLES: dict[str, str] = {
     "op3_mixing": MIXING,
+    "op4_suffixes": SUFFIXES,
     "op5_jaccard": JACCARD,
+    "op6_secrets": SECRETS,
     "op7_recompression": RECOMPRESSION,
     "op8_topk": TOPK,
     "op9_decontamination": DECONTAMINATION,
