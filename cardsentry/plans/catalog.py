@@ -40,6 +40,7 @@ from cardsentry.sources.tables import overwrite_table, scan, stream_scan, write_
 from cardsentry.streaming.metrics import observed, progress_rows
 from cardsentry.streaming.matcher import WatchlistMatcher
 from cardsentry.streaming.outbox import OutboxWriter
+from cardsentry.streaming.heavy import HeavyKeys
 from cardsentry.streaming.late import keep_late_rows
 from cardsentry.streaming.state import join_state
 from cardsentry.streaming.sinks import drain, finish, stream_foreach_batch, stream_to_path, stream_to_table
@@ -455,6 +456,25 @@ def q_high_value_alert_skew_split(spark, sf_dir):
         return comparable(run.materialize(alerts))
 
 
+def q_heavy_customers(spark, sf_dir):
+    """Customers that hold HOT_SHARE of the transactions: candidates from the summary
+    that the stream's micro-batches keep, confirmed by counting these keys alone."""
+    run = Run(spark, "heavy_customers")
+    src = DriverTables(spark, sf_dir)
+    events, drops = src.table("events"), run.path("event_files")
+    slot = F.pmod(F.xxhash64("event_id"), F.lit(MANY_FILES)).cast("int")
+    events.withColumn("slot", slot).repartition("slot").write.partitionBy("slot").parquet(drops)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(drops)
+    silver = silver_transactions(bronze_transactions(D.kafka_records(stream, src.table("nation"))))
+    heavy = HeavyKeys(run.path("heavy"), "customer_id", capacity=round(2 / HOT_SHARE))
+    run.queries.append(finish(stream_foreach_batch(silver, heavy, run.checkpoint("heavy"))))
+    history = silver_transactions(bronze_batch(run, src), observation=None)
+    rows = heavy.summary(spark).agg(F.max("rows")).first()[0]
+    few = F.broadcast(heavy.candidates(spark, HOT_SHARE))        # at most the summary's capacity
+    return (history.join(few, "customer_id").groupBy("customer_id").agg(F.count(F.lit(1)).alias("transactions"))
+            .where(F.col("transactions") >= F.lit(HOT_SHARE) * rows))
+
+
 MATCH_COLUMNS = ["transaction_id", "watchlist_id", "card_number", "amount", "transaction_timestamp",
                  "effective_from", "risk_level"]
 
@@ -741,6 +761,7 @@ QUERIES = {k: sized(v) for k, v in {
     "silver_watchlist": q_silver_watchlist,
     "high_value_alert": q_high_value_alert,
     "high_value_alert_skew_split": q_high_value_alert_skew_split,
+    "heavy_customers": q_heavy_customers,
     "watchlist_match": q_watchlist_match,
     "watchlist_match_bounded": q_watchlist_match_bounded,
     "watchlist_match_salted": q_watchlist_match_salted,

@@ -234,6 +234,7 @@ def sliding_cte() -> str:
 
 # Fixed values of the scenarios, as in the catalog.
 TOPIC_START, LATE_PARTITIONS, OUTBOX_DROPS, LATE_SPLIT = 100, 4, 4, "2024-01-15 00:00:00"
+HOT_SHARE = 0.0075
 FIXED_NOW_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
 
 
@@ -383,6 +384,8 @@ def oracles() -> dict[str, str]:
         "high_value_alert": with_ctes(tx_cte(), cu_cte(), hv_cte()) + "SELECT * EXCLUDE (alert_ts) FROM hv",
         "high_value_alert_skew_split": with_ctes(tx_cte(), cu_cte(), hv_cte())
             + "SELECT * EXCLUDE (alert_ts) FROM hv",
+        "heavy_customers": with_ctes(tx_cte()) + f"""SELECT customer_id, count(*) AS transactions FROM good GROUP BY customer_id
+HAVING count(*) >= {HOT_SHARE} * (SELECT count(*) FROM good)""",
         "watchlist_match": _matches(),
         "watchlist_match_bounded": _matches("7 DAY"),
         "watchlist_match_salted": _matches(),

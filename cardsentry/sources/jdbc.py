@@ -28,14 +28,38 @@ def column_bounds(spark: SparkSession, url: str, table: str, column: str, props:
     return row["lo"], row["hi"]
 
 
+def depth_bounds(spark: SparkSession, url: str, table: str, column: str, parts: int, props: dict) -> list:
+    """Upper bounds of ``parts`` equal-depth slices of ``column``, computed by the database
+    (at most ``parts`` rows); a value that fills several slices is one bound."""
+    query = (f"(SELECT max(v) AS hi FROM (SELECT {column} AS v, ntile({parts}) OVER (ORDER BY {column}) AS part "
+             f"FROM {table} WHERE {column} IS NOT NULL) slices GROUP BY part) bounds")
+    return sorted({row["hi"] for row in spark.read.jdbc(url, query, properties=props).collect()})
+
+
+def depth_predicates(column: str, bounds: list) -> list[str]:
+    """One predicate for each slice; every row, those without a value too, satisfies exactly one."""
+    if len(bounds) < 2:
+        return [f"{column} IS NULL OR {column} IS NOT NULL"]
+    text = [str(b) if isinstance(b, (int, float)) else "'" + str(b).replace("'", "''") + "'" for b in bounds[:-1]]
+    middle = [f"{column} > {low} AND {column} <= {high}" for low, high in zip(text, text[1:])]
+    return [f"{column} <= {text[0]} OR {column} IS NULL", *middle, f"{column} > {text[-1]}"]
+
+
 def read_jdbc_table(spark: SparkSession, url: str, table: str, user: str | None = None,
                     password: str | None = None, partition_column: str | None = None,
                     lower_bound: int | None = None, upper_bound: int | None = None,
                     num_partitions: int = 8, fetch_size: int = 10_000,
-                    driver: str | None = None) -> DataFrame:
+                    driver: str | None = None, equal_depth: bool = False) -> DataFrame:
     """Read ``table``; with ``partition_column`` in ``num_partitions`` range
-    queries.  Bounds left out are taken from the data (``column_bounds``)."""
+    queries.  Bounds left out are taken from the data (``column_bounds``).
+
+    Ranges of equal width give unequal partitions where ids are skewed; with
+    ``equal_depth`` the database's own quantiles bound ranges of equal row
+    counts (of any ordered type), at the price of one sort of the column there."""
     props = _props(user, password, driver, fetch_size)
+    if partition_column is not None and equal_depth:
+        bounds = depth_bounds(spark, url, table, partition_column, num_partitions, props)
+        return spark.read.jdbc(url, table, predicates=depth_predicates(partition_column, bounds), properties=props)
     if partition_column is not None and (lower_bound is None or upper_bound is None):
         lo, hi = column_bounds(spark, url, table, partition_column, props)
         lower_bound = lo if lower_bound is None else lower_bound

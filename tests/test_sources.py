@@ -91,3 +91,31 @@ def test_jdbc_partitioned_read_arguments():
     assert calls[0][0].startswith("(SELECT min(id) AS lo, max(id) AS hi FROM customers)")
     assert calls[1][:5] == ("customers", "id", 5, 905, 16)
     assert calls[1][5] == {"fetchsize": "10000", "user": "u", "password": "p"}
+
+
+def test_jdbc_equal_depth_predicates():
+    """Skewed ids: slices of equal depth, each row in exactly one of them."""
+    import sqlite3
+    from types import SimpleNamespace
+
+    from cardsentry.sources.jdbc import depth_bounds, depth_predicates, read_jdbc_table
+    con = sqlite3.connect(":memory:")
+    con.execute("CREATE TABLE customers (id INTEGER, name TEXT)")
+    rows = [(i, f"o'{i}") for i in range(90)] + [(10 ** 9 + i, "far") for i in range(10)] + [(7, "hot")] * 40 + [(None, None)] * 5
+    con.executemany("INSERT INTO customers VALUES (?, ?)", rows)
+    calls = []
+
+    class Reader:
+        def jdbc(self, url, table, predicates=None, properties=None):
+            calls.append(predicates)
+            return SimpleNamespace(collect=lambda: [{"hi": r[0]} for r in con.execute(f"SELECT * FROM {table}")])
+
+    fake = SimpleNamespace(read=Reader())
+    for column, value in (("id", lambda r: r[0]), ("name", lambda r: r[1])):
+        bounds = depth_bounds(fake, "jdbc:x", "customers", column, 7, {})
+        read_jdbc_table(fake, "jdbc:x", "customers", partition_column=column, num_partitions=7, equal_depth=True)
+        assert calls[-1] == depth_predicates(column, bounds)
+        sizes = [con.execute(f"SELECT count(*) FROM customers WHERE {p}").fetchone()[0] for p in calls[-1]]
+        assert sum(sizes) == len(rows) and len(sizes) <= 7
+        assert max(sizes) <= len(rows) // 7 + 41                # a slice, and the hot value
+    assert depth_predicates("id", [3]) == depth_predicates("id", []) == ["id IS NULL OR id IS NOT NULL"]
