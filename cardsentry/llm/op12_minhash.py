@@ -46,13 +46,13 @@ WORDS = 2
 OVER, UNDER = 100, 80
 COORDINATES, MATCHES = 64, 28
 #: log2 of the counters of the frequency sketch, and of one piece of it.
-SKETCH_LOG2, PIECE_LOG2 = 20, 12
+SKETCH_LOG2, PIECE_LOG2 = 20, 16
 #: log2 of the nodes from which a posting list is spread over several buckets.
 SPLIT_LOG2 = 16
 #: Nodes of a tile.
 TILE = 256
 #: So many tiles of nodes outside a group's largest component meet each other at once.
-FEW_TILES = 4
+FEW_TILES = 16
 #: Stored input bytes behind one bucket of postings.
 BUCKET_BYTES = 32 << 20
 #: Nodes after which a task sends the postings it has gathered.

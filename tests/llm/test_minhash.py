@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-import pytest
 
 from cardsentry.llm import op12_minhash as op12
 
@@ -49,13 +48,13 @@ def corpus(seed, n=260):
                    (None, "only here five words now"), (1, " \n")]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_classes_against_all_pairs(spark, monkeypatch, small):
-    if small:  # groups larger than a tile, lists spread over buckets
-        monkeypatch.setattr(op12, "TILE", 4)
-        monkeypatch.setattr(op12, "FLUSH_NODES", 10)
-        monkeypatch.setattr(op12, "SPLIT_LOG2", 3)
-    rows = corpus(1 + small)
+def test_classes_against_all_pairs(spark, monkeypatch):
+    """Groups larger than a tile, lists spread over buckets; the SQL test runs with the settings as they are."""
+    monkeypatch.setattr(op12, "TILE", 4)
+    monkeypatch.setattr(op12, "FEW_TILES", 3)
+    monkeypatch.setattr(op12, "FLUSH_NODES", 10)
+    monkeypatch.setattr(op12, "SPLIT_LOG2", 3)
+    rows = corpus(2)
     names = "doc_id long, text string, node int, sig string, n int, print int, g int, root int, least string"
     df = spark.createDataFrame([(*r, 1, "s", 2, 3, 4, 5, "l") for r in rows], names).repartition(5)
     got = op12.classes(df).collect()
