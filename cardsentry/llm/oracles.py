@@ -146,8 +146,8 @@ _ORDER = ["assign", "access", "hex", "weak_assign", "weak_access", "weak_hex", "
 def _found(strong: str, pattern: str, length: str, least: int, weak: int, weak_name: str) -> str:
     kind = f"CASE WHEN {length} >= {least} THEN '{strong}' WHEN {length} >= {weak} THEN nullif('{weak_name}', '') END"
     return f"""SELECT doc_id, s, e, kind FROM (
-  SELECT doc_id, at - length(m) AS s, at AS e, {kind} AS kind FROM (
-    SELECT doc_id, m, sum(length(g) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS at FROM (
+  SELECT doc_id, z - length(m) AS s, z AS e, {kind} AS kind FROM (
+    SELECT doc_id, m, sum(length(g) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS z FROM (
       SELECT doc_id, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g, unnest(range(1, len(ms) + 1)) AS i FROM (
         SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM t)
       WHERE len(ms) > 0))) WHERE kind IS NOT NULL"""
