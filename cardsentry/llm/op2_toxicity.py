@@ -1,11 +1,11 @@
 """Toxicity by multiple-instance learning over sentences.
 
-A document is a bag of sentences; a sentence's score is logistic in its word
-features, and the document's score is the noisy-or of its sentences.  Only
-document labels are known: the model maximizes their likelihood, so the
-sentence scores come out of training and locate the offending sentences.  In
-scoring a sentence counts by what its features add to the bias, so a text does
-not become toxic by its number of sentences.
+A document is a bag of sentences; the document's score is the noisy-or of its
+sentences.  A sentence's evidence is what its word features add to that of a
+sentence without any (``evidence``), so a text does not become toxic by its
+number of sentences.  Only document labels are known: the model maximizes
+their likelihood under the same noisy-or that scores texts, so the sentence
+scores come out of training and locate the offending sentences.
 
 The model is fitted in one task on a bounded, seeded sample of labelled
 documents (``MAX_TOXIC`` and ``MAX_CLEAN``); scoring covers every whole text.
@@ -78,6 +78,15 @@ def _softplus(z):
     return np.logaddexp(0, z)
 
 
+def _logistic(z):
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def evidence(z, b):
+    """Evidence -log(1 - p) of sentences with logit ``z``, beyond that of the bias alone."""
+    return np.maximum(_softplus(z) - _softplus(b), 0)
+
+
 def association(docs, toxic, n, n_toxic):
     """Likelihood-ratio statistic of features held by ``docs`` texts, ``toxic`` of them toxic."""
     total = np.zeros(len(docs))
@@ -129,13 +138,15 @@ def fit(offsets: np.ndarray, data: np.ndarray, toxic: np.ndarray):
     n, w, b = len(vocabulary), np.zeros(len(vocabulary)), -6.0
     speed, n_docs = np.zeros(n + 1), len(label)
     by_doc = label[sent_doc]
+    size = np.bincount(sent_doc, minlength=n_docs)
     for _ in range(EPOCHS):
         z = b + np.bincount(sent, weights=w[column], minlength=n_sent)
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        total = np.maximum(np.bincount(sent_doc, weights=_softplus(z), minlength=n_docs), 1e-12)
-        # a toxic document pulls each sentence up by its share of the noisy-or
-        g = p * np.where(by_doc, -1 / np.expm1(np.minimum(total, 700))[sent_doc], 1.0)
-        grad = np.append(np.bincount(column, weights=g[sent], minlength=n), g.sum() / 10) / n_docs
+        p, rest = _logistic(z), _logistic(b)
+        # Without evidence the pull of a toxic document has no bound: take that of sentences at the bias.
+        total = np.maximum(np.bincount(sent_doc, weights=evidence(z, b), minlength=n_docs), size * _softplus(b) + 1e-12)
+        # A toxic document pulls each sentence up by its share of the noisy-or.
+        g = np.where(by_doc, -1 / np.expm1(np.minimum(total, 700))[sent_doc], 1.0) * (z >= b)
+        grad = np.append(np.bincount(column, weights=(g * p)[sent], minlength=n), (g * (p - rest)).sum() / 10) / n_docs
         grad[:-1] += SHRINK * w
         # steps follow the gradient's size: what many documents share is learned first
         speed = MOMENTUM * speed - RATE * grad
@@ -200,9 +211,8 @@ class Scorer:
             pair = np.sort(sent * len(self.keys) + place)
             pair = pair[starts_of(pair)]  # a feature counts once in a sentence
             z += np.bincount(pair // len(self.keys), weights=self.weights[pair % len(self.keys)], minlength=len(at))
-        above = np.maximum(_softplus(z) - _softplus(self.bias), 0)  # none for a sentence without weighted words
-        spread = np.bincount(text[at], weights=above, minlength=n) if len(at) else np.zeros(n)
-        return -np.expm1(-spread), (text[at] if len(at) else text, begin, end, 1 / (1 + np.exp(-z)))
+        spread = np.bincount(text[at], weights=evidence(z, self.bias), minlength=n) if len(at) else np.zeros(n)
+        return -np.expm1(-spread), (text[at] if len(at) else text, begin, end, _logistic(z))
 
 
 def score(docs: DataFrame, model, locate: bool = False) -> DataFrame:

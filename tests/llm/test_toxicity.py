@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import zlib
 
 from pyspark.sql import functions as F
@@ -61,3 +63,62 @@ def test_clean_text_of_many_sentences(spark):
     rows = [(0, clean), (1, "new words\n" * 20000), (2, clean + ". you grubber"), (3, "zorkhead! " + clean)]
     got = {r.doc_id: r.score for r in op2.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert got[0] < 0.01 and got[1] < 0.01 and got[2] >= 0.5 and got[3] >= 0.5
+
+
+def plain_sentences(text):
+    """Per sentence with words: its set of features (kind, word or beginning)."""
+    for part in re.split(r"[.!?\n]", text):
+        found = {(0, w) for w in re.findall("[a-z0-9]+", part.lower())}
+        if found:
+            yield found | {(size, w[:size]) for _, w in found for size in op2.BEGINNINGS}
+
+
+def plain_fit(texts, labels):
+    """The model in plain Python: ``{feature: weight}`` and the bias."""
+    docs = [list(plain_sentences(t)) for t in texts]
+    n, n_toxic, held = len(docs), sum(labels), {}
+    for sentences, y in zip(docs, labels):
+        for f in set().union(*sentences):
+            a, b = held.get(f, (0, 0))
+            held[f] = a + 1, b + y
+    w = {}
+    for f, (a, b) in held.items():
+        cells = ((b, a, n_toxic), (a - b, a, n - n_toxic), (n_toxic - b, n - a, n_toxic), (n - a - n_toxic + b, n - a, n - n_toxic))
+        ratio = 2 * sum(c * math.log(c * n / (row * col)) for c, row, col in cells if c)
+        if a >= op2.MIN_DOCS and ratio >= op2.MIN_ASSOCIATION:
+            w[f] = 0.0
+    docs = [[[f for f in s if f in w] for s in d] for d in docs]
+    speed, bias, bias_speed = dict.fromkeys(w, 0.0), -6.0, 0.0
+    soft, logistic = lambda z: math.log1p(math.exp(z)), lambda z: 1 / (1 + math.exp(-z))
+    for _ in range(op2.EPOCHS):
+        grad, bias_grad = dict.fromkeys(w, 0.0), 0.0
+        for sentences, y in zip(docs, labels):
+            logits = [bias + sum(w[f] for f in s) for s in sentences]
+            total = max(sum(max(soft(z) - soft(bias), 0) for z in logits), len(logits) * soft(bias) + 1e-12)
+            pull = -1 / math.expm1(total) if y else 1.0
+            for z, s in zip(logits, sentences):
+                if z >= bias:
+                    bias_grad += pull * (logistic(z) - logistic(bias)) / 10 / n
+                    for f in s:
+                        grad[f] += pull * logistic(z) / n
+        for f in w:
+            speed[f] = op2.MOMENTUM * speed[f] - op2.RATE * (grad[f] + op2.SHRINK * w[f])
+        bias_speed = op2.MOMENTUM * bias_speed - op2.RATE * bias_grad
+        w, bias = {f: w[f] + speed[f] for f in w}, min(bias + bias_speed, -4.0)
+    return w, bias
+
+
+def test_equals_plain_python(spark):
+    docs, labels = corpus(300)
+    truth = {i: t for i, _, t in labels}
+    learn = [(t, truth[i]) for i, t, _ in docs if zlib.crc32(str(i).encode()) % 5]
+    w, bias = plain_fit(*zip(*learn))
+    got = op2.classify(spark.createDataFrame(docs, "doc_id long, text string, x long"),
+                       spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert len(w) > 3
+    texts = {i: t for i, t, _ in docs}
+    for r in got:
+        logits = [bias + sum(w.get(f, 0) for f in s) for s in plain_sentences(texts[r.doc_id])]
+        total = sum(max(math.log1p(math.exp(z)) - math.log1p(math.exp(bias)), 0) for z in logits)
+        assert abs(r.score + math.expm1(-total)) < 1e-3
+        assert len(r.offending) == sum(z >= 0 for z in logits)
