@@ -15,6 +15,7 @@ import functools
 import json
 import math
 from contextlib import contextmanager
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -41,6 +42,7 @@ from cardsentry.streaming.metrics import observed, progress_rows
 from cardsentry.streaming.matcher import WatchlistMatcher
 from cardsentry.streaming.outbox import OutboxWriter
 from cardsentry.streaming.heavy import HeavyKeys
+from cardsentry.streaming.keyed import keyed_matches
 from cardsentry.streaming.late import keep_late_rows
 from cardsentry.streaming.state import join_state
 from cardsentry.streaming.sinks import drain, finish, stream_foreach_batch, stream_to_path, stream_to_table
@@ -56,7 +58,7 @@ FIRST_DROP_BEFORE = "2024-02"                      # watchlist_match_incremental
 MANY_FILES = 6                                     # dq_report_many_batches: micro-batches of the run
 MATCH_STATUSES = ["ACTIVE"]                        # watchlist_match_filtered
 PUBLISHED_BEFORE = "2024-02"                       # high_water_mark_slice: months already delivered
-LATE_SPLIT = "2024-01-15 00:00:00"                 # late_rows_dropped: second drop holds the older rows
+LATE_SPLIT = "2024-01-15 00:00:00"                 # late_rows_dropped: second drop holds the older rows; watchlist_match_ttl: the newer
 TOPIC_START = 100                                  # kafka_offsets_resume: first offset wanted of partition 0
 TOPIC_BATCHES = 5                                  # kafka_offsets_resume: bounded micro-batches of the first run
 LATE_PARTITIONS = 4                                # late_rows_kept: the late half comes in partitions of its own
@@ -494,6 +496,24 @@ def q_watchlist_match_bounded(spark, sf_dir):
     return _matches(spark, sf_dir, "watchlist_match_bounded", max_lag=BOUNDED_LAG)
 
 
+def q_watchlist_match_ttl(spark, sf_dir):
+    """The bounded match by keyed state with timers.  Transactions arrive in two
+    drops, so that state of the first expires while the second is matched."""
+    run = Run(spark, "watchlist_match_ttl")
+    src = DriverTables(spark, sf_dir)
+    days, amount = BOUNDED_LAG.split()
+    feed, events, drops = watchlist_feed(run, src), src.table("events"), run.path("event_files")
+    early = F.col("ts") < F.lit(LATE_SPLIT).cast(events.schema["ts"].dataType)
+    for k, part in enumerate((early | F.col("ts").isNull(), ~early)):
+        events.where(part).write.parquet(f"{drops}/drop={k}")
+        stream = spark.readStream.schema(events.schema).parquet(drops).drop("drop")
+        txns = silver_transactions(bronze_transactions(D.kafka_records(stream, src.table("nation"))))
+        wl = silver_watchlist(stream_json_records(spark, feed, WATCHLIST_RECORD))
+        pairs = keyed_matches(txns, wl, timedelta(**{amount: int(days)}))
+        out = run.materialize(pairs.select(*MATCH_COLUMNS))
+    return comparable(out)
+
+
 def q_watchlist_match_salted(spark, sf_dir):
     return _matches(spark, sf_dir, "watchlist_match_salted", salt_buckets=SALT_BUCKETS)
 
@@ -764,6 +784,7 @@ QUERIES = {k: sized(v) for k, v in {
     "heavy_customers": q_heavy_customers,
     "watchlist_match": q_watchlist_match,
     "watchlist_match_bounded": q_watchlist_match_bounded,
+    "watchlist_match_ttl": q_watchlist_match_ttl,
     "watchlist_match_salted": q_watchlist_match_salted,
     "watchlist_match_incremental": q_watchlist_match_incremental,
     "watchlist_match_filtered": q_watchlist_match_filtered,

@@ -388,6 +388,7 @@ def oracles() -> dict[str, str]:
 HAVING count(*) >= {HOT_SHARE} * (SELECT count(*) FROM good)""",
         "watchlist_match": _matches(),
         "watchlist_match_bounded": _matches("7 DAY"),
+        "watchlist_match_ttl": _matches("7 DAY"),
         "watchlist_match_salted": _matches(),
         "watchlist_match_incremental": _matches(),
         "watchlist_match_compacted": _matches(),
