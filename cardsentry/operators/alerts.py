@@ -56,7 +56,7 @@ def high_value_alerts(txns: DataFrame, customers: DataFrame, now: Column | None
     )
 
 
-# Columns each side contributes to an alert, renamed where both sides carry
+# Columns each side contributes to an alert, renamed where both sides carry
 # the same name (city, country, status).
 TXN_ALERT_COLUMNS = [
     "transaction_id", "customer_id", "card_number", "amount", "currency", "merchant_id",

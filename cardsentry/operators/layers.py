@@ -9,6 +9,8 @@ from cardsentry.operators.quality import apply_expectations, expect, expect_or_d
 from cardsentry.schemas import (CUSTOMER_DATE_FORMAT, CUSTOMER_RECORD, TRANSACTION_PAYLOAD,
                                 WATCHLIST_TIME_FORMAT)
 
+# Names and conditions of the expectations (valid_event_time and those of the watchlist are our own),
+# and the column names and orders of the datasets below.
 TRANSACTION_EXPECTATIONS = [
     expect_or_drop("valid_transaction_id", "transaction_id IS NOT NULL"),
     expect_or_drop("valid_customer_id", "customer_id IS NOT NULL"),

@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+# The field names and types below are those of the sources' records.
+
 # Record as delivered by Spark's Kafka source (key and value are binary).
 KAFKA_RECORD = T.StructType([
     T.StructField("key", T.BinaryType()),
