@@ -41,6 +41,8 @@ MIN_DOCS, MAX_FEATURES = 4, 50_000
 #: Least likelihood-ratio statistic between a feature and the label.
 MIN_ASSOCIATION = 16.0
 EPOCHS, RATE, MOMENTUM, SHRINK = 150, 6.0, 0.8, 3e-5
+#: Further steps if toxic documents of the sample stay under the threshold (Adam: a rare feature moves as far as a frequent one).
+RARE_EPOCHS, RARE_RATE, MEAN, SQUARE = 300, 0.1, 0.9, 0.99
 THRESHOLD = 0.5
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?\n"]] = True
@@ -139,18 +141,39 @@ def fit(offsets: np.ndarray, data: np.ndarray, toxic: np.ndarray):
     speed, n_docs = np.zeros(n + 1), len(label)
     by_doc = label[sent_doc]
     size = np.bincount(sent_doc, minlength=n_docs)
-    for _ in range(EPOCHS):
+
+    def gradient(w, b):
+        """Of the weights and the bias, and each document's evidence."""
         z = b + np.bincount(sent, weights=w[column], minlength=n_sent)
         p, rest = _logistic(z), _logistic(b)
         # Without evidence the pull of a toxic document has no bound: take that of sentences at the bias.
-        total = np.maximum(np.bincount(sent_doc, weights=evidence(z, b), minlength=n_docs), size * _softplus(b) + 1e-12)
+        seen = np.bincount(sent_doc, weights=evidence(z, b), minlength=n_docs)
+        total = np.maximum(seen, size * _softplus(b) + 1e-12)
         # A toxic document pulls each sentence up by its share of the noisy-or.
         g = np.where(by_doc, -1 / np.expm1(np.minimum(total, 700))[sent_doc], 1.0) * (z >= b)
         grad = np.append(np.bincount(column, weights=(g * p)[sent], minlength=n), (g * (p - rest)).sum() / 10) / n_docs
         grad[:-1] += SHRINK * w
+        return grad, seen
+
+    for _ in range(EPOCHS):
         # steps follow the gradient's size: what many documents share is learned first
-        speed = MOMENTUM * speed - RATE * grad
+        speed = MOMENTUM * speed - RATE * gradient(w, b)[0]
         w, b = w + speed[:-1], min(b + speed[-1], -4.0)
+    missed = label & (gradient(w, b)[1] < -np.log1p(-THRESHOLD))
+    # What few documents share has hardly moved.  Features that tell the missed documents from the
+    # clean ones go on, by steps of the same size for every feature.
+    held_by = np.sort(column.astype(np.int64) * n_docs + sent_doc[sent])
+    held_by = held_by[starts_of(held_by)]
+    in_missed = np.bincount(held_by // n_docs, weights=missed[held_by % n_docs], minlength=n)
+    in_rest = in_missed + np.bincount(held_by // n_docs, weights=~label[held_by % n_docs], minlength=n)
+    n_missed, n_rest = missed.sum(), missed.sum() + (~label).sum()
+    rare = (in_missed * n_rest > in_rest * n_missed) & (in_missed >= MIN_DOCS)
+    rare &= association(in_rest, in_missed, n_rest, n_missed) >= MIN_ASSOCIATION
+    mean, square = np.zeros(n), np.zeros(n)
+    for step in range(1, RARE_EPOCHS * rare.any() + 1):
+        grad = np.where(rare, gradient(w, b)[0][:-1], 0)
+        mean, square = MEAN * mean + (1 - MEAN) * grad, SQUARE * square + (1 - SQUARE) * grad ** 2
+        w = w - RARE_RATE * (mean / (1 - MEAN ** step)) / (np.sqrt(square / (1 - SQUARE ** step)) + 1e-9)
     keep = np.argsort(-np.abs(w), kind="stable")[:MAX_FEATURES]
     keep = np.sort(keep[np.abs(w[keep]) > 1e-3])
     return vocabulary[keep], w[keep].astype(np.float32), float(b)

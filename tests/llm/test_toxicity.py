@@ -3,9 +3,12 @@ import random
 import re
 import zlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cardsentry.llm import op2_toxicity as op2
+from cardsentry.llm.common import byte_view
 
 
 def corpus(n=400):
@@ -122,3 +125,24 @@ def test_equals_plain_python(spark):
         total = sum(max(math.log1p(math.exp(z)) - math.log1p(math.exp(bias)), 0) for z in logits)
         assert abs(r.score + math.expm1(-total)) < 1e-3
         assert len(r.offending) == sum(z >= 0 for z in logits)
+
+
+def test_rare_words_beside_a_frequent_one():
+    rng = random.Random(3)
+    vocab = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in ("n", "r", "st", "lk")]
+    rare = [f"{a}{b}{c}x" for a in "zkv" for b in "aeiou" for c in ("rt", "mm", "pf", "tt")]
+
+    def text(word):
+        sentences = [" ".join(rng.choice(vocab) for _ in range(8)) for _ in range(60)]
+        sentences[rng.randrange(60)] += f" {word}" if word else ""
+        return ". ".join(sentences)
+
+    def rows(n):
+        words = [("grubber" if i % 6 == 0 else rng.choice(rare)) if i % 3 == 0 else "" for i in range(n)]
+        return byte_view(pa.chunked_array([pa.array([text(w) for w in words])])), np.array([bool(w) for w in words])
+
+    (offsets, data), toxic = rows(4800)
+    scorer = op2.Scorer(op2.fit(offsets, data, toxic))
+    (offsets, data), toxic = rows(600)
+    found = scorer(offsets, data)[0] >= op2.THRESHOLD
+    assert found[toxic].mean() > 0.9 and not found[~toxic].any()
