@@ -19,46 +19,47 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cardsentry.operators.alerts import TXN_ALERT_COLUMNS, WATCHLIST_ALERT_COLUMNS, select_renamed
 
 # Transactions that are appended to the state in one call.
 APPEND_ROWS = 1000
+JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+# A remembered row: its event time in microseconds and its columns as one text.
+STATE = StructType([StructField("at", LongType()), StructField("row", StringType())])
 
 
-def _processor(t_schema: StructType, w_schema: StructType, lag_us: int, append_rows: int = APPEND_ROWS):
+def _processor(lag_us: int, append_rows: int = APPEND_ROWS):
     # A local class travels to the executors by value: they need not have this package.
-    t_names, w_names = t_schema.fieldNames(), w_schema.fieldNames()
-    t_time, w_time = t_names.index("transaction_timestamp"), w_names.index("effective_from")
-    pair = Row(*t_names, *w_names)
+    pair = Row("t", "w")
 
     class PeriodMatch(StatefulProcessor):
         def init(self, handle):
             self.handle = handle
-            self.transactions = handle.getListState("transactions", t_schema)
-            self.entries = handle.getListState("entries", w_schema)
+            self.transactions = handle.getListState("transactions", STATE)
+            self.entries = handle.getListState("entries", STATE)
 
         def handleInputRows(self, key, rows, timerValues):
             entries = [tuple(e) for e in self.entries.get()]
             fresh, fresh_entries = [], []
 
             def pairs(transactions, known):
-                for t in transactions:
-                    for e in known:
-                        if e[w_time] <= t[t_time] <= e[w_time] + lag_us:
-                            yield pair(*t, *e)
-
-            for row in rows:
-                if row.w is None:
-                    fresh.append(tuple(row.t[c] for c in t_names))
+                for at, t in transactions:
+                    for start, w in known:
+                        if start <= at <= start + lag_us:
+                            yield pair(t, w)
+
+            for _, _, _, _, at, t, w in rows:
+                if w is None:
+                    fresh.append((at, t))
                     yield from pairs(fresh[-1:], entries)
                     if len(fresh) == append_rows:
                         self.transactions.appendList(fresh)
                         fresh = []
                 else:
-                    entry = tuple(row.w[c] for c in w_names)
-                    yield from pairs((tuple(t) for t in self.transactions.get()), [entry])
+                    entry = (at, w)
+                    yield from pairs((tuple(x) for x in self.transactions.get()), [entry])
                     yield from pairs(fresh, [entry])
                     entries.append(entry)
                     fresh_entries.append(entry)
@@ -79,37 +80,42 @@ def _processor(t_schema: StructType, w_schema: StructType, lag_us: int, append_r
     return PeriodMatch()
 
 
-def _in_micros(df: DataFrame) -> DataFrame:
-    return df.select(*[F.unix_micros(f.name).alias(f.name) if f.dataType.typeName() == "timestamp" else f.name
-                       for f in df.schema.fields])
-
-
 def keyed_matches(txns: DataFrame, watchlist: DataFrame, max_lag: timedelta, salt_buckets: int = 1) -> DataFrame:
     """Transactions joined with watchlist entries on the card number, in the layout of ``watchlist_matches``."""
     lag_us = int(max_lag.total_seconds() * 1_000_000)
     t = txns.select(*select_renamed(TXN_ALERT_COLUMNS))
     w = watchlist.select(*select_renamed(WATCHLIST_ALERT_COLUMNS))
-    times = {f.name for f in (*t.schema.fields, *w.schema.fields) if f.dataType.typeName() == "timestamp"}
-    t_schema, w_schema = _in_micros(t).schema, _in_micros(w).schema
     delay = f"{lag_us} microseconds"
     period = lambda micros: ((micros - F.pmod(micros, F.lit(lag_us))) / F.lit(lag_us)).cast("long")
 
+    def packed(df):
+        # One JSON text a row: Python passes it on without a look at its fields.
+        return F.to_json(F.struct(*[F.unix_micros(f.name).alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name)
+                                    for f in df.schema.fields]), JSON_OPTIONS)
+
+    def unpacked(df, name):
+        schema = StructType([StructField(f.name, LongType() if f.dataType.typeName() == "timestamp" else f.dataType)
+                             for f in df.schema.fields])
+        row = F.from_json(name, schema, JSON_OPTIONS)
+        return [(F.timestamp_micros(row[f.name]) if f.dataType.typeName() == "timestamp" else row[f.name]).alias(f.name)
+                for f in df.schema.fields]
+
     def side(df, card, time, name, keys):
-        other, schema = ("w", w_schema) if name == "t" else ("t", t_schema)
         rows = df.where(card.isNotNull() & F.col(time).isNotNull()).withColumns({"_card": card, "_event_time": F.col(time)})
         rows = rows.withWatermark("_event_time", delay)
-        payload = F.struct(*[F.unix_micros(c).alias(c) if c in times else F.col(c) for c in df.columns])
-        return (rows.select("_event_time", "_card", payload.alias(name), F.lit(None).cast(schema).alias(other))
-                .select("*", *keys(F.col(f"{name}.{time}"))).select("_event_time", "_card", "_period", "_salt", "t", "w"))
+        other = "w" if name == "t" else "t"
+        at = F.unix_micros(time)
+        return (rows.select("_event_time", "_card", *keys(at), at.alias("_at"), packed(df).alias(name),
+                            F.lit(None).cast("string").alias(other))
+                .select("_event_time", "_card", "_period", "_salt", "_at", "t", "w"))
 
-    salt = F.pmod(F.xxhash64("t.transaction_id"), F.lit(salt_buckets)).cast("int")
+    salt = F.pmod(F.xxhash64("transaction_id"), F.lit(salt_buckets)).cast("int")
     left = side(t, F.upper("card_number"), "transaction_timestamp", "t",
                 lambda at: (period(at).alias("_period"), salt.alias("_salt")))
     right = side(w, F.col("entity_id"), "effective_from", "w",
                  lambda at: (F.explode(F.array(period(at), period(at + F.lit(lag_us)))).alias("_period"), F.lit(0).alias("_salt")))
     if salt_buckets > 1:
         right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    out = StructType([*t_schema.fields, *w_schema.fields])
     pairs = (left.unionByName(right).groupBy("_card", "_period", "_salt")
-             .transformWithState(_processor(t_schema, w_schema, lag_us), out, "Append", "EventTime"))
-    return pairs.select(*[F.timestamp_micros(c).alias(c) if c in times else F.col(c) for c in out.fieldNames()])
+             .transformWithState(_processor(lag_us), "t string, w string", "Append", "EventTime"))
+    return pairs.select(*unpacked(t, "t"), *unpacked(w, "w"))

@@ -3,6 +3,7 @@
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardsentry.schemas import TRANSACTION_PAYLOAD
 from cardsentry.streaming.keyed import keyed_matches
@@ -42,3 +43,18 @@ def test_pairs_and_expiry(spark, tmp_dir, salt):
     assert (one.card_number, one.amount, one.transaction_timestamp, one.effective_from) == ("c1", 1.0, t(10, 0), t(9, 30))
     assert len(left[0]) == 4 and len(left[1]) == 5      # rows without card or time are no state
     assert set(left[2]) == set(left[3]) == {"C9"}       # the morning's state is gone
+
+
+def test_rows_travel_as_one_text(spark, tmp_dir):
+    card, at = 'c"1\\é', t(10, 0).replace(microsecond=123457)
+    spark.createDataFrame([tx_row("T1", card, at)], TRANSACTION_PAYLOAD).withColumn("amount", F.lit(float("nan"))) \
+        .withColumn("currency", F.lit("")).withColumn("city", F.lit(None).cast("string")).write.parquet(f"{tmp_dir}/tx")
+    spark.createDataFrame([wl_row("W1", card.upper(), t(9, 30))], WL_SCHEMA).write.parquet(f"{tmp_dir}/wl")
+    tx = spark.readStream.schema(TRANSACTION_PAYLOAD).parquet(f"{tmp_dir}/tx")
+    wl = spark.readStream.schema(WL_SCHEMA).parquet(f"{tmp_dir}/wl")
+    finish(stream_to_path(keyed_matches(tx, wl, timedelta(hours=1)), f"{tmp_dir}/out", f"{tmp_dir}/ck"))
+    got = spark.read.parquet(f"{tmp_dir}/out").first()
+    assert (got.card_number, got.transaction_timestamp, got.currency, got.watchlist_id) == (card, at, "", "W1")
+    assert got.amount != got.amount
+    state = spark.read.format("statestore").option("stateVarName", "transactions").load(f"{tmp_dir}/ck")
+    assert state.selectExpr("list_element.*").columns == ["at", "row"]
