@@ -158,9 +158,9 @@ def customers_dim(run: Run, src: DriverTables) -> DataFrame:
     return run.spark.read.parquet(path)
 
 
-def watchlist_feed(run: Run, src: DriverTables) -> str:
+def watchlist_feed(run: Run, src: DriverTables, by: str | None = None) -> str:
     path = run.path("watchlist_feed")
-    D.write_watchlist_feed(src.table("customer"), src.table("nation"), path)
+    D.write_watchlist_feed(src.table("customer"), src.table("nation"), path, by)
     return path
 
 
@@ -227,7 +227,8 @@ def q_rescued_data(spark, sf_dir):
 def q_file_lineage(spark, sf_dir):
     run = Run(spark, "file_lineage")
     src = DriverTables(spark, sf_dir)
-    bronze = run.materialize(stream_json_records(spark, watchlist_feed(run, src), WATCHLIST_RECORD))
+    feed = watchlist_feed(run, src, D.WATCHLIST_DROP)      # the folders' names are the result
+    bronze = run.materialize(stream_json_records(spark, feed, WATCHLIST_RECORD))
     drop = F.regexp_extract("source_file", f"{D.WATCHLIST_DROP}=([^/]+)/", 1)
     return bronze.groupBy(drop.alias(D.WATCHLIST_DROP)).agg(F.count(F.lit(1)).alias("records"))
 

@@ -104,7 +104,7 @@ WATCHLIST_COLUMNS = [
 WATCHLIST_EXTRA_FIELD = ("note", "'manual'", "c.c_custkey % 11 = 0")
 WATCHLIST_TRUNCATED = "c.c_custkey % 13 = 0"
 WATCHLIST_TRUNCATED_LENGTH = 24
-WATCHLIST_DROP = "effective_month"   # one folder per month of effective_from
+WATCHLIST_DROP = "effective_month"   # the drop of a line: the month of effective_from
 WATCHLIST_DROP_TEXT = {
     "spark": "date_format({t}, 'yyyy-MM')",
     "duckdb": "strftime({t}, '%Y-%m')",
@@ -163,8 +163,8 @@ def customer_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def watchlist_lines(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Watchlist feed lines (``value``: one JSON object) with the drop folder
-    they are delivered in (``effective_month``)."""
+    """Watchlist feed lines (``value``: one JSON object) with the drop they
+    belong to (``effective_month``)."""
     joined = _with_nation(customer, "c", nation, "c.c_nationkey").where(F.expr(WATCHLIST_MEMBER))
     extra_name, extra_value, extra_when = WATCHLIST_EXTRA_FIELD
     fields = _exprs(WATCHLIST_COLUMNS) + [
@@ -178,15 +178,21 @@ def watchlist_lines(customer: DataFrame, nation: DataFrame) -> DataFrame:
     return rows.select(text.alias("value"), F.col(WATCHLIST_DROP))
 
 
-def write_feed(lines: DataFrame, path: str) -> None:
-    """Write feed lines as text files, one folder per drop and few files per
-    folder (rows of a drop are brought together first -- without that every
-    task would write a small file into every folder; AQE still splits a drop
-    that is much larger than the others)."""
-    (lines.hint("rebalance", WATCHLIST_DROP).write.mode("append")
-     .partitionBy(WATCHLIST_DROP).text(path))
+def write_feed(lines: DataFrame, path: str, by: str | None = None) -> None:
+    """Append feed lines as text files, few and of AQE's advisory size.
 
+    ``by`` (``effective_month``) puts them into one folder per value, for readers
+    that take a value from the folder's name.  The folders then grow with the
+    values, and with them what the writing task and every listing of the feed
+    have to do.  Rows of a folder are brought together first -- without that every
+    task would write a small file into every folder; AQE still splits a folder
+    that is much larger than the others."""
+    if by is None:
+        lines.select("value").hint("rebalance").write.mode("append").text(path)
+    else:
+        lines.select("value", by).hint("rebalance", by).write.mode("append").partitionBy(by).text(path)
 
-def write_watchlist_feed(customer: DataFrame, nation: DataFrame, path: str) -> None:
-    """Deliver the watchlist feed as JSON-lines files, one folder per month."""
-    write_feed(watchlist_lines(customer, nation), path)
+
+def write_watchlist_feed(customer: DataFrame, nation: DataFrame, path: str, by: str | None = None) -> None:
+    """Deliver the watchlist feed as JSON-lines files."""
+    write_feed(watchlist_lines(customer, nation), path, by)

@@ -157,14 +157,17 @@ class WatchlistMatcher:
                                      & self._time_bound(tx_new, w_side)))
         # 3. new entries against earlier transactions of their card buckets
         if added is not None:
-            buckets = sorted(r[0] for r in wl_new.select("card_bucket").distinct().collect())  # <= card_buckets
+            # read back from their segment: the micro-batch tells the planner only its whole size,
+            # and the history would be shuffled to meet entries that are few enough to be broadcast
+            entries = self.wl.read(spark, [added])
+            buckets = sorted(r[0] for r in entries.select("card_bucket").distinct().collect())  # <= card_buckets
             t_old = self.tx.read(spark, self.tx.segments(spark, batch_id),
                                  "card_bucket={" + ",".join(str(b) for b in buckets) + "}")
             if t_old is not None:
-                cards = [r[0] for r in wl_new.select("card_key").distinct().limit(PUSHED_CARDS + 1).collect()]
+                cards = [r[0] for r in entries.select("card_key").distinct().limit(PUSHED_CARDS + 1).collect()]
                 if len(cards) <= PUSHED_CARDS:      # the join below decides either way
                     t_old = t_old.where(F.col("card_key").isin([c for c in cards if c is not None]))
-                w_new_side = maybe_broadcast(wl_new, self.broadcast_limit_bytes)
+                w_new_side = maybe_broadcast(entries, self.broadcast_limit_bytes)
                 parts.append(self._pairs(t_old, w_new_side, (t_old["card_key"] == w_new_side["card_key"])
                                          & self._time_bound(t_old, w_new_side)))
         if not parts:

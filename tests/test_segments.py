@@ -114,3 +114,22 @@ def test_matcher_over_many_batches(spark, tmp_dir):
     want = sorted((t, w) for s, t, c in events if s == "T" for s2, w, c2 in events if s2 == "W" and c == c2)
     assert sorted((r.transaction_id, r.watchlist_id) for r in m.matches(spark).collect()) == want
     assert len(m.tx.segments(spark)) <= 7 and len(m.wl.segments(spark)) <= 7
+
+
+def test_new_entries_are_broadcast_to_the_history_whatever_the_batch_holds(spark, tmp_dir):
+    """The size that decides is that of the entries, not of the micro-batch they came in."""
+    pairs, bucket = [], F.pmod(F.xxhash64("card_key"), F.lit(4)).cast("int")
+    m = WatchlistMatcher(f"{tmp_dir}/m", card_buckets=4, broadcast_limit_bytes=50_000, transform=lambda df: pairs.append(df) or df)
+    tx, wl = F.col("side") == "T", F.col("side") == "W"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for k in range(2):
+            events = [("W", f"w{k}", f"c{k}")] + [("T", f"t{k}-{i}-" + "x" * 100, f"c{i % 50}") for i in range(2000)]
+            part = spark.createDataFrame(events, "side string, id string, card_key string")
+            m(part.select("side", "card_key", F.when(tx, F.struct(F.col("id").alias("transaction_id"))).alias("t"),
+                          F.when(wl, F.struct(F.col("id").alias("watchlist_id"))).alias("w"), bucket.alias("card_bucket")), k)
+        plan = pairs[1]._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert m.matches(spark).groupBy("watchlist_id").count().orderBy("watchlist_id").collect() == [("w0", 80), ("w1", 80)]

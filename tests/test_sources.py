@@ -4,7 +4,9 @@ from cardsentry.operators.joins import maybe_broadcast
 from cardsentry.operators.layers import latest_customers
 from cardsentry.operators.resume import unpublished
 from cardsentry.schemas import WATCHLIST_RECORD
+from cardsentry.sources import driver_tables as D
 from cardsentry.sources.files import read_json_records, stored_schema, stream_json_records
+from cardsentry.sources.paths import folder_size, list_names
 from cardsentry.streaming.sinks import finish, stream_to_path
 
 
@@ -119,3 +121,16 @@ def test_jdbc_equal_depth_predicates():
         assert sum(sizes) == len(rows) and len(sizes) <= 7
         assert max(sizes) <= len(rows) // 7 + 41                # a slice, and the hot value
     assert depth_predicates("id", [3]) == depth_predicates("id", []) == ["id IS NULL OR id IS NOT NULL"]
+
+
+def test_files_of_the_feed_do_not_grow_with_its_months(spark, tmp_dir):
+    lines = spark.range(2000).select(F.concat(F.lit('{"watchlist_id":"WL'), "id", F.lit('"}')).alias("value"),
+                                     F.concat(F.lit("m"), F.col("id") % 200).alias("effective_month"))
+    for k in range(2):                                      # two drops
+        D.write_feed(lines.where(F.col("id") % 2 == k), f"{tmp_dir}/feed")
+    assert folder_size(spark, f"{tmp_dir}/feed")[1] == 2 and not [n for n in list_names(spark, f"{tmp_dir}/feed") if "=" in n]
+    D.write_feed(lines, f"{tmp_dir}/by_month", "effective_month")
+    assert len([n for n in list_names(spark, f"{tmp_dir}/by_month") if n.startswith("effective_month=m")]) == 200
+    for path in ("feed", "by_month"):
+        found = read_json_records(spark, f"{tmp_dir}/{path}", WATCHLIST_RECORD).select("watchlist_id").collect()
+        assert sorted(r[0] for r in found) == sorted(f"WL{i}" for i in range(2000))
